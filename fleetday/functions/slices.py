@@ -1,0 +1,73 @@
+"""Ordered scans over a key of any size.
+
+A window over a rider alone would put all rows of that rider into one task. Here the rows of a key
+are cut into time slices: the window runs inside (key, slice), a small table with one row per
+(key, slice) carries the state across slices, and both meet on (key, slice), the partitioning the
+window already has.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from fleetday.functions.clock import time_chunk
+
+_SLICE = "_slice"
+
+
+def with_next(
+    df: DataFrame, keys: list[str], ts: str, ties: list[str], name: str, chunk_hours: int
+) -> DataFrame:
+    """Add `name`: the `ts` of the next row of the same key in (ts, ties) order."""
+    sliced = df.withColumn(_SLICE, time_chunk(F.col(ts), chunk_hours))
+    inside = F.lead(ts).over(Window.partitionBy(*keys, _SLICE).orderBy(ts, *ties))
+    following = (
+        sliced.groupBy(*keys, _SLICE)
+        .agg(F.min(ts).alias("_head"))
+        .withColumn("_following", F.lead("_head").over(Window.partitionBy(*keys).orderBy(_SLICE)))
+        .drop("_head")
+    )
+    return (
+        sliced.withColumn(name, inside)
+        .join(following, [*keys, _SLICE], "left")
+        .withColumn(name, F.coalesce(name, "_following"))
+        .drop(_SLICE, "_following")
+    )
+
+
+def with_previous_max(
+    df: DataFrame,
+    keys: list[str],
+    ts: str,
+    ties: list[str],
+    value: Column,
+    name: str,
+    chunk_hours: int,
+) -> DataFrame:
+    """Add `name`: the largest `value` among the earlier rows of the same key, null for the first."""
+    sliced = df.withColumn(_SLICE, time_chunk(F.col(ts), chunk_hours)).withColumn("_value", value)
+    inside = F.max("_value").over(
+        Window.partitionBy(*keys, _SLICE)
+        .orderBy(ts, *ties)
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    earlier = (
+        sliced.groupBy(*keys, _SLICE)
+        .agg(F.max("_value").alias("_peak"))
+        .withColumn(
+            "_carried",
+            F.max("_peak").over(
+                Window.partitionBy(*keys)
+                .orderBy(_SLICE)
+                .rowsBetween(Window.unboundedPreceding, -1)
+            ),
+        )
+        .drop("_peak")
+    )
+    return (
+        sliced.withColumn(name, inside)
+        .join(earlier, [*keys, _SLICE], "left")
+        .withColumn(name, F.greatest(name, "_carried"))
+        .drop(_SLICE, "_value", "_carried")
+    )
