@@ -11,10 +11,8 @@ from fleetday import schema as S
 from fleetday.config import Config
 from fleetday.functions.clock import days
 from fleetday.functions.dedup import keep_one
-from fleetday.functions.numbers import ratio
 
 RIDER_DAY = ["driver_uuid", "datestr"]
-_AVERAGES = {f"{c}_avg": c for c in S.DISTANCE_COLUMNS}
 _TRACE_COLUMNS = [
     "datestr", "market_name", "city_name", "file_name",
     "online_hours", "active_hours", "num_of_trips",
@@ -73,23 +71,31 @@ def sum_markets(markets: DataFrame) -> DataFrame:
     A column that is empty in every row sums to 0, except the late counters: empty there means
     "not measured" and stays empty.
     """
-    by_trips = Window.partitionBy(*RIDER_DAY).orderBy(
-        F.col("num_of_trips").desc_nulls_last(), "market_name", "city_id", "city_name"
+    by_trips = (
+        "PARTITION BY driver_uuid, datestr "
+        "ORDER BY num_of_trips DESC NULLS LAST, market_name, city_id, city_name"
+    )
+    whole_day = f"({by_trips} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
+
+    def total(column: str) -> str:
+        day_sum = f"sum({column}) OVER {whole_day}"
+        return day_sum if column in S.LATE_COUNTERS else f"coalesce({day_sum}, 0D)"
+
+    return (
+        markets.selectExpr(
+            *RIDER_DAY,
+            *[f"{total(c)} AS {c}" for c in S.SUMMED_COLUMNS],
+            *S.IDENTITY_COLUMNS,
+            f"row_number() OVER ({by_trips}) AS _position",
+        )
+        .filter("_position = 1")
+        .drop("_position")
     )
-    ranked = markets.withColumn("_position", F.row_number().over(by_trips))
-    totals = [
-        (F.sum(c) if c in S.LATE_COUNTERS else F.coalesce(F.sum(c), F.lit(0.0))).alias(c)
-        for c in S.SUMMED_COLUMNS
-    ]
-    identity = [
-        F.max(F.when(F.col("_position") == 1, F.col(c))).alias(c) for c in S.IDENTITY_COLUMNS
-    ]
-    return ranked.groupBy(*RIDER_DAY).agg(*totals, *identity)
 
 
 def recompute_averages(silver: DataFrame) -> DataFrame:
-    trips = F.col("num_of_trips")
-    return silver.withColumns({avg: ratio(F.col(c), trips) for avg, c in _AVERAGES.items()})
+    per_trip = "if(num_of_trips > 0, {0} / num_of_trips, 0D) AS {0}_avg"
+    return silver.selectExpr("*", *[per_trip.format(c) for c in S.DISTANCE_COLUMNS])
 
 
 def build_silver(bronze: DataFrame, cfg: Config, whole_history: bool = False) -> DataFrame:

@@ -13,9 +13,14 @@ _SESSION_SHARE = "courier_uuid string, dia date, frac_horas double, horas_conn d
 _OFFER_SHARE = "courier_uuid string, dia date, frac_rta double, rta_madrugada long"
 
 
-def _total(column: str):
-    """A total with empty as 0; the late counters stay empty."""
-    return F.col(column) if column in S.LATE_COUNTERS else F.coalesce(F.col(column), F.lit(0.0))
+def _total(column: str) -> str:
+    """SQL for a total with empty as 0; the late counters stay empty."""
+    return column if column in S.LATE_COUNTERS else f"coalesce({column}, 0D)"
+
+
+def _offered(column: str) -> str:
+    amount = f"{_total(column)} * frac_horas"
+    return f"bround({amount}, 0)" if column in S.COUNT_COLUMNS else amount
 
 
 def attach_shares(
@@ -55,33 +60,32 @@ def transfer(shared: DataFrame) -> DataFrame:
 
     Adds `_early_share` (the share after the destination check), `_has_next`, `mv_*` and `in_*`.
     """
-    by_day = Window.partitionBy("driver_uuid").orderBy(F.unix_date("_dia"))
-    day_before, day_after = by_day.rangeBetween(-1, -1), by_day.rangeBetween(1, 1)
-    one = F.lit(1)
-
-    def share_of(column: str):
-        amount = _total(column) * F.col("frac_horas")
-        return F.bround(amount, 0) if column in S.COUNT_COLUMNS else amount
-
-    offered = shared.withColumns({f"mv_{c}": share_of(c) for c in S.MOVED_COLUMNS})
-    seen = offered.withColumns(
-        {
-            "_has_previous": F.count(one).over(day_before) > 0,
-            "_has_next": F.count(one).over(day_after) > 0,
-            **{f"in_{c}": F.sum(f"mv_{c}").over(day_after) for c in S.MOVED_COLUMNS},
-        }
+    days = "PARTITION BY driver_uuid ORDER BY unix_date(_dia) RANGE BETWEEN"
+    day_before = f"({days} 1 PRECEDING AND 1 PRECEDING)"
+    day_after = f"({days} 1 FOLLOWING AND 1 FOLLOWING)"
+    kept = [c for c in shared.columns if c not in S.MOVED_COLUMNS]
+
+    offered = shared.selectExpr("*", *[f"{_offered(c)} AS mv_{c}" for c in S.MOVED_COLUMNS])
+    seen = offered.selectExpr(
+        "*",
+        f"count(*) OVER {day_before} > 0 AS _has_previous",
+        f"count(*) OVER {day_after} > 0 AS _has_next",
+        *[f"sum(mv_{c}) OVER {day_after} AS in_{c}" for c in S.MOVED_COLUMNS],
     )
-    leaving = {
-        f"mv_{c}": F.when(F.col("_has_previous"), F.col(f"mv_{c}")).otherwise(_total(c) * F.lit(0.0))
-        for c in S.MOVED_COLUMNS
-    }
-    kept_share = F.when(F.col("_has_previous"), F.col("frac_horas")).otherwise(F.lit(0.0))
-    moved = seen.withColumns({"_early_share": kept_share, **leaving})
-    return moved.withColumns(
-        {
-            c: _total(c) - F.col(f"mv_{c}") + F.coalesce(f"in_{c}", F.lit(0.0))
-            for c in S.MOVED_COLUMNS
-        }
+    settled = seen.selectExpr(
+        *kept,
+        *S.MOVED_COLUMNS,
+        "_has_next",
+        "if(_has_previous, frac_horas, 0D) AS _early_share",
+        *[f"if(_has_previous, mv_{c}, {_total(c)} * 0D) AS mv_{c}" for c in S.MOVED_COLUMNS],
+        *[f"coalesce(in_{c}, 0D) AS in_{c}" for c in S.MOVED_COLUMNS],
+    )
+    return settled.selectExpr(
+        *kept,
+        "_has_next",
+        "_early_share",
+        *[f"{_total(c)} - mv_{c} + in_{c} AS {c}" for c in S.MOVED_COLUMNS],
+        *[f"{p}_{c}" for p in ("mv", "in") for c in S.MOVED_COLUMNS],
     )
 
 
@@ -111,7 +115,7 @@ def drop_helpers(moved: DataFrame) -> DataFrame:
         {"_frac_horas_dbg": F.col("_early_share"), "_frac_rta_dbg": F.col("frac_rta")}
     ).drop(
         "frac_rta", "frac_horas", "rta_madrugada", "horas_conn",
-        "_early_share", "_has_previous", "_has_next", *helpers,
+        "_early_share", "_has_next", *helpers,
     )
 
 

@@ -126,30 +126,28 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("file_name"),
     )
 
-    def hours(kind: str | None = None) -> Column:
-        secs = F.col("secs") if kind is None else F.when(_is(kind), F.col("secs")).otherwise(0)
-        return F.sum(secs) / F.lit(3600.0)
-
-    def count(condition: Column) -> Column:
-        return F.count_if(condition).cast("double")
-
     totals = rows.groupBy("user_id", "d", "market_name", "file_name").agg(
-        hours().alias("online_hours"),
-        (F.lit(0.75) * F.sum("secs") / F.lit(3600.0)).alias("active_hours"),
-        hours("view").alias("open_hours"),
-        hours("click").alias("enroute_p2_hours"),
-        hours("purchase").alias("ontrip_p3_hours"),
-        F.count("*").cast("double").alias("num_of_trips"),
-        count(_is("view")).alias("single_trips_total"),
-        count(_is("purchase")).alias("purchases"),
-        count(_is("click")).alias("clicks"),
-        count(~_is("error")).alias("accept_trips"),
-        count(_is("error")).alias("reject_trips"),
-        count(_is("signup")).alias("cancel_trips"),
-        (F.sum("whole") / F.lit(10.0)).alias("p2_km"),
-        (F.sum("secs") / F.lit(60.0)).alias("p2_min"),
-        (F.sum("whole") / F.lit(5.0)).alias("total_km"),
-        (F.sum("secs") / F.lit(30.0)).alias("total_min"),
+        *[
+            F.expr(sql).alias(name)
+            for name, sql in {
+                "online_hours": "sum(secs) / 3600D",
+                "active_hours": "0.75D * sum(secs) / 3600D",
+                "open_hours": "sum(if(event_type = 'view', secs, 0)) / 3600D",
+                "enroute_p2_hours": "sum(if(event_type = 'click', secs, 0)) / 3600D",
+                "ontrip_p3_hours": "sum(if(event_type = 'purchase', secs, 0)) / 3600D",
+                "num_of_trips": "double(count(*))",
+                "single_trips_total": "double(count_if(event_type = 'view'))",
+                "purchases": "double(count_if(event_type = 'purchase'))",
+                "clicks": "double(count_if(event_type = 'click'))",
+                "accept_trips": "double(count_if(event_type <> 'error'))",
+                "reject_trips": "double(count_if(event_type = 'error'))",
+                "cancel_trips": "double(count_if(event_type = 'signup'))",
+                "p2_km": "sum(whole) / 10D",
+                "p2_min": "sum(secs) / 60D",
+                "total_km": "sum(whole) / 5D",
+                "total_min": "sum(secs) / 30D",
+            }.items()
+        ]
     )
     start = F.col("d").cast(NTZ)
     named = totals.withColumns(
