@@ -1,0 +1,189 @@
+from datetime import date, timedelta
+
+import pytest
+from helpers import shares, silver, ts, tuples
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from fleetday import schema as S
+from fleetday.config import Config
+from fleetday.operators import quality as Q
+from fleetday.operators import transfer as T
+
+D1, D2, D3 = (ts(f"2024-01-0{n}") for n in (1, 2, 3))
+
+
+def days(spark, frac, *rows, offers=None):
+    return T.apply_transfer(silver(spark, *rows), shares(spark, *frac), offers)
+
+
+def test_counts_round_half_to_even_and_hours_move_exactly(spark):
+    out = days(
+        spark,
+        [("a", "2024-01-02", 0.5, 4.0)],
+        {"datestr": D1, "num_of_trips": 1.0, "online_hours": 1.0},
+        {"datestr": D2, "num_of_trips": 5.0, "online_hours": 3.0},
+    )
+    assert tuples(out, "num_of_trips", "online_hours", "tph_adj") == [
+        (3.0, 1.5, 2.0),
+        (3.0, 2.5, 3.0 / 2.5),
+    ]
+
+
+def test_empty_late_counters_stay_empty_and_swallow_what_arrives(spark):
+    out = days(
+        spark,
+        [("a", "2024-01-02", 1 / 3, 4.0)],
+        {"datestr": D1, "late_p2_trips": None, "late_p3_trips": 1.0},
+        {"datestr": D2, "late_p2_trips": 3.0, "late_p3_trips": None},
+    )
+    assert tuples(out.orderBy("datestr"), "_dia", "late_p2_trips", "late_p3_trips") == [
+        (date(2024, 1, 1), None, 1.0),
+        (date(2024, 1, 2), 2.0, None),
+    ]
+
+
+def test_nothing_moves_without_a_day_before(spark):
+    out = days(
+        spark,
+        [("a", "2024-01-03", 0.5, 4.0)],
+        {"datestr": D1, "num_of_trips": 4.0},
+        {"datestr": D3, "num_of_trips": 4.0},
+    )
+    assert tuples(out, "num_of_trips", "_frac_horas_dbg", "ajustado_connections") == [
+        (4.0, 0.0, False),
+        (4.0, 0.0, False),
+    ]
+
+
+def test_no_cascade_and_flag_for_every_day_with_a_next_day(spark):
+    out = days(
+        spark,
+        [("a", "2024-01-02", 0.5, 1.0), ("a", "2024-01-03", 0.5, 1.0)],
+        {"datestr": D1, "num_of_trips": 0.0},
+        {"datestr": D2, "num_of_trips": 8.0},
+        {"datestr": D3, "num_of_trips": 4.0},
+    )
+    assert tuples(out, "_dia", "num_of_trips", "ajustado_connections") == [
+        (date(2024, 1, 1), 4.0, True),
+        (date(2024, 1, 2), 6.0, True),
+        (date(2024, 1, 3), 2.0, True),
+    ]
+
+
+def test_riders_are_independent(spark):
+    out = days(
+        spark,
+        [("a", "2024-01-02", 1.0, 1.0)],
+        {"datestr": D1, "driver_uuid": "b", "num_of_trips": 1.0},
+        {"datestr": D2, "num_of_trips": 8.0},
+    )
+    assert tuples(out, "driver_uuid", "num_of_trips") == [("a", 8.0), ("b", 1.0)]
+
+
+def test_two_rows_of_one_date_both_give_and_both_receive(spark):
+    out = days(
+        spark,
+        [("a", "2024-01-02", 0.5, 1.0)],
+        {"datestr": D1, "num_of_trips": 1.0},
+        {"datestr": D1 + timedelta(hours=5), "num_of_trips": 2.0},
+        {"datestr": D2, "num_of_trips": 4.0},
+        {"datestr": D2 + timedelta(hours=5), "num_of_trips": 8.0},
+    )
+    assert tuples(out, "num_of_trips") == [(2.0,), (4.0,), (7.0,), (8.0,)]
+
+
+def test_rates(spark):
+    out = days(
+        spark,
+        [],
+        {"datestr": D1, "accept_trips": 3.0, "reject_trips": 1.0, "cancel_trips": 1.5},
+        {"datestr": D3, "accept_trips": 0.0, "reject_trips": 0.0, "cancel_trips": 2.0},
+    )
+    assert tuples(out, "pct_aceptacion", "pct_cancelacion", "tph_adj") == [
+        (0.0, 0.0, 0.0),
+        (75.0, 50.0, 0.0),
+    ]
+
+
+def test_offer_share_is_informational(spark):
+    offers = spark.createDataFrame(
+        [("a", date(2024, 1, 2), 0.25, 1)],
+        "courier_uuid string, dia date, frac_rta double, rta_madrugada long",
+    )
+    rows = ({"datestr": D1, "num_of_trips": 4.0}, {"datestr": D2, "num_of_trips": 4.0})
+    out = T.apply_transfer(silver(spark, *rows), None, offers)
+    assert tuples(out, "num_of_trips", "_frac_rta_dbg") == [(4.0, 0.0), (4.0, 0.25)]
+
+
+def test_without_any_source_only_trips_per_hour_are_added(spark):
+    out = T.apply_transfer(
+        silver(spark, {"datestr": D1, "num_of_trips": 4.0, "online_hours": 2.0}), None, None
+    )
+    assert "pct_aceptacion" not in out.columns and "_dia" not in out.columns
+    assert tuples(out, "tph_adj", "ajustado_connections", "_frac_horas_dbg") == [(2.0, False, 0.0)]
+
+
+def test_emptied_days(spark):
+    out = days(
+        spark,
+        [("a", "2024-01-02", 1.0, 2.0)],
+        {"datestr": D1, "num_of_trips": 1.0, "online_hours": 1.0},
+        {"datestr": D2, "num_of_trips": 3.0, "online_hours": 2.0},
+        {"datestr": D3},
+    )
+    assert tuples(Q.emptied_keys(out)) == [("a", date(2024, 1, 2))]
+    assert tuples(Q.drop_empty_days(out), "num_of_trips") == [(4.0,)]
+
+
+def test_hours_mismatch(spark):
+    shared = T.attach_shares(
+        silver(spark, {"datestr": D1, "online_hours": 5.0}, {"datestr": D2, "online_hours": 5.0}),
+        shares(spark, ("a", "2024-01-01", 0.0, 3.9), ("a", "2024-01-02", 0.0, 4.0)),
+        None,
+    )
+    assert tuples(T.hours_mismatch(shared, Config())) == [(1, 2, 50.0, True)]
+
+
+def test_utilisation_needs_enough_rows(spark):
+    rows = [
+        {"datestr": D1 + timedelta(days=n), "online_hours": 4.0, "active_hours": 3.0}
+        for n in range(14)
+    ]
+    final = days(spark, [], *rows)
+    assert Q.utilisation_by_weekday(final, Config()).count() == 0
+    out = Q.utilisation_by_weekday(final, Config(qc_min_rows=13))
+    assert [tuple(r) for r in out.collect()] == [(n, 2, 0.75) for n in range(1, 8)]
+
+
+def test_utilisation_of_an_unadjusted_table_uses_the_date(spark):
+    rows = silver(spark, {"datestr": D1, "online_hours": 4.0, "active_hours": 3.0})
+    out = Q.utilisation_by_weekday(T.unadjusted(rows), Config(qc_min_rows=0))
+    assert tuples(out) == [(1, 1, 0.75)]
+
+
+cells = st.tuples(
+    st.sampled_from("abc"),
+    st.integers(0, 6),
+    st.integers(0, 40),
+    st.sampled_from([0.0, 0.25, 1 / 3, 0.5, 1.0]),
+)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.dictionaries(st.tuples(st.sampled_from("abc"), st.integers(0, 6)), cells, min_size=1))
+def test_totals_are_conserved_and_zero_shares_change_nothing(spark, cases):
+    rows, frac = [], []
+    for (rider, n), (_, _, trips, share) in cases.items():
+        day = D1 + timedelta(days=n)
+        rows.append({"driver_uuid": rider, "datestr": day}
+                    | {c: float(trips) for c in S.MOVED_COLUMNS})
+        frac.append((rider, str(day.date()), share, 1.0))
+    before = silver(spark, *rows)
+    sums = [F.sum(c).alias(c) for c in S.MOVED_COLUMNS]
+    after = T.apply_transfer(before, shares(spark, *frac), None)
+    assert after.agg(*sums).first().asDict() == pytest.approx(before.agg(*sums).first().asDict())
+    unmoved = T.apply_transfer(before, shares(spark, *[(r, d, 0.0, h) for r, d, _, h in frac]), None)
+    key = ["driver_uuid", "datestr", *S.MOVED_COLUMNS]
+    assert tuples(unmoved, *key) == tuples(before, *key)
