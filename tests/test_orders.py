@@ -1,0 +1,203 @@
+from datetime import date
+
+from helpers import trips, ts, tuples
+
+from fleetday import schema as S
+from fleetday.config import Config
+from fleetday.operators import orders as O
+
+CFG = Config(first_day_without_late_report=date(2024, 1, 1))
+FULL = {
+    "batch_order": "NO BATCH", "pickup_approach_minutes": "15",
+    "estimated_pickup_approach_minutes": "4", "dropoff_approach_minutes": "5",
+    "estimated_dropoff_approach_minutes": "4", "p2_on_time": "0", "p3_on_time": "1",
+}
+
+
+def order(trip, accepted, dropped=None, **kw):
+    return {
+        "trip_uuid": trip, "courier_accept_timestamp_local": accepted,
+        "courier_dropoff_timestamp_local": dropped, **FULL, **kw,
+    }
+
+
+def chained(spark, *rows):
+    return {
+        r[0]: r[1]
+        for r in tuples(
+            O.chained_orders(O.usable_trips(trips(spark, *rows), CFG), CFG), "trip_uuid", "_chained"
+        )
+    }
+
+
+def test_chain(spark):
+    got = chained(
+        spark,
+        order("1", "2024-01-02 10:00:00", "2024-01-02 11:00:00"),
+        order("2", "2024-01-02 10:30:00", "2024-01-02 10:40:00"),
+        order("3", "2024-01-02 10:59:59", None),
+        order("4", "2024-01-02 11:00:00", "2024-01-02 11:10:00"),
+        order("5", "2024-01-02 10:30:00", None, courier_uuid="b"),
+        order("6", "2024-01-02 10:30:00", None, _ts_fichero=ts("2024-01-11")),
+    )
+    assert got == {"1": False, "2": True, "3": True, "4": False, "5": False, "6": False}
+
+
+def test_chain_reaches_over_hours_and_days(spark):
+    got = chained(
+        spark,
+        order("1", "2024-01-02 10:00:00", "2024-01-04 11:00:00"),
+        order("2", "2024-01-03 09:00:00", "2024-01-03 10:40:00"),
+        order("3", "2024-01-04 10:59:00", None),
+        order("4", "2024-01-04 11:00:00", None),
+    )
+    assert got == {"1": False, "2": True, "3": True, "4": False}
+
+
+def test_same_acceptance_is_settled_by_file_order(spark):
+    got = chained(
+        spark,
+        order("z", "2024-01-02 10:00:00", "2024-01-02 11:00:00"),
+        order("a", "2024-01-02 10:00:00", "2024-01-02 10:30:00"),
+    )
+    assert got == {"z": False, "a": True}
+
+
+def test_a_repeated_order_is_not_a_chain(spark):
+    got = chained(
+        spark,
+        order("1", "2024-01-02 10:00:00", "2024-01-02 11:00:00"),
+        order("1", "2024-01-02 10:00:00", "2024-01-02 11:00:00", km="9"),
+    )
+    assert got == {"1": False}
+
+
+def flags(spark, *rows):
+    out = O.legacy_late_flags(
+        O.chained_orders(O.usable_trips(trips(spark, *rows), CFG), CFG), CFG
+    )
+    return tuples(out, "trip_uuid", "_suelto", "tarde_p2", "tarde_p3")
+
+
+def test_late_flags(spark):
+    got = flags(
+        spark,
+        order("1", "2024-01-02 10:00:00"),
+        order("2", "2024-01-02 11:00:00", pickup_approach_minutes="14"),
+        order("3", "2024-01-02 12:00:00", p2_on_time="0.0"),
+        order("4", "2024-01-02 13:00:00", p2_on_time=None),
+        order("5", "2024-01-02 14:00:00", batch_order="BATCH"),
+        order("6", "2024-01-02 15:00:00", batch_order=None),
+        order("7", "2024-01-02 16:00:00", pickup_approach_minutes="soon"),
+        order("8", "2024-01-02 17:00:00", p3_on_time="0", dropoff_approach_minutes="14.5"),
+    )
+    assert got == [
+        ("1", True, True, False),
+        ("2", True, False, False),
+        ("3", True, False, False),
+        ("4", True, False, False),
+        ("5", False, False, False),
+        ("6", False, False, False),
+        ("7", True, False, False),
+        ("8", True, True, True),
+    ]
+
+
+def test_days(spark):
+    file2 = {"_ts_fichero": ts("2024-01-20"), "batch_order": None}
+    rows = [
+        order("1", "2024-01-02 10:00:00", "2024-01-02 10:20:00"),
+        order("2", "2024-01-03 10:00:00"),
+        order("3", "2024-01-03 11:00:00", p2_on_time=None, p3_on_time=None),
+        order("4", "2024-01-04 10:00:00", p2_on_time=None, p3_on_time=None),
+        order("5", "2024-01-04 11:00:00", p2_on_time=None, p3_on_time=None),
+        order("6", "2024-01-04 12:00:00"),
+        order("7", "2024-01-06 01:59:00"),
+        *[
+            order(f"x{n}", f"2024-01-{n:02d} 10:00:00", f"2024-01-{n:02d} 10:20:00", **file2)
+            for n in (2, 3, 4)
+        ],
+    ]
+    orders = O.usable_trips(trips(spark, *rows), CFG)
+    assert tuples(O.valid_days(orders, CFG)) == [(ts("2024-01-10"), date(2024, 1, 3))]
+    assert O.incomplete_files(orders, CFG).first()[0] == 1
+    marked = O.marked_trips(trips(spark, *rows), CFG)
+    assert [r[0] for r in tuples(marked.filter("_dia_valido"), "trip_uuid")] == ["2", "3"]
+    assert tuples(O.trip_delays(trips(spark, *rows), CFG), "delivery_trip_uuid", "day", "tarde_p2") == [
+        ("2", "2024-01-03", True)
+    ]
+
+
+def three_days(trip, stamp, **kw):
+    return [
+        order(
+            f"{trip}-{stamp}-first", "2024-01-02 10:00:00", "2024-01-02 10:20:00",
+            _ts_fichero=ts(stamp),
+        ),
+        order(trip, "2024-01-03 10:00:00", _ts_fichero=ts(stamp), **kw),
+        order(f"{trip}-{stamp}-last", "2024-01-04 10:00:00", _ts_fichero=ts(stamp)),
+    ]
+
+
+def test_validity_is_checked_before_the_newest_file_is_picked(spark):
+    rows = [
+        *three_days("t", "2024-01-10", pickup_approach_minutes="99"),
+        # newer, but the day is the first of that file
+        order("t", "2024-01-03 10:00:00", _ts_fichero=ts("2024-01-12")),
+        order("u", "2024-01-04 10:00:00", _ts_fichero=ts("2024-01-12")),
+    ]
+    out = O.trip_delays(trips(spark, *rows), CFG)
+    assert tuples(out, "delivery_trip_uuid", "retraso_p2") == [("t", 95.0)]
+
+
+def test_the_newest_usable_file_wins(spark):
+    rows = [*three_days("t", "2024-01-10", pickup_approach_minutes="99"),
+            *three_days("t", "2024-01-11", pickup_approach_minutes="50")]
+    out = O.trip_delays(trips(spark, *rows), CFG)
+    assert tuples(out, "delivery_trip_uuid", "retraso_p2") == [("t", 46.0)]
+
+
+def test_first_day_without_late_report(spark):
+    later = Config(first_day_without_late_report=date(2024, 1, 4))
+    assert O.trip_delays(trips(spark, *three_days("t", "2024-01-10")), later).count() == 0
+
+
+def test_an_older_file_with_kilometres_beats_a_newer_one_without(spark):
+    rows = [
+        order("t", "2024-01-03 01:00:00", km="1.5"),
+        order("t", "2024-01-03 01:00:00", km="x", _ts_fichero=ts("2024-01-12")),
+    ]
+    assert tuples(O.order_km(trips(spark, *rows), CFG)) == [("a", "t", "2024-01-02", 1.5, None)]
+
+
+def test_cancel_events(spark):
+    df = spark.createDataFrame(
+        [
+            ("2024-01-02 01:00:00", "a", "t", "o", "CANCEL", "old", None, ts("2024-01-03")),
+            ("2024-01-02 01:00:00", "a", "t", "o", "CANCEL", "new", None, ts("2024-01-04")),
+            ("2024-01-02 05:00:00", "a", "t", "o", "REJECT", "r", None, ts("2024-01-03")),
+            ("2024-01-02 05:00:00", "a", "t", "o", "OTHER", "r", None, ts("2024-01-03")),
+            ("bad", "a", "u", "o", "CANCEL", "r", None, ts("2024-01-03")),
+            ("2024-01-02 05:00:00", None, "v", "o", "CANCEL", "r", None, ts("2024-01-03")),
+        ],
+        ", ".join(f"{c} string" for c in S.CANCEL_COLUMNS) + ", _ts_fichero timestamp_ntz",
+    )
+    assert tuples(O.cancel_events(df, CFG), "event_type", "day", "reason") == [
+        ("CANCEL", "2024-01-01", "new"),
+        ("REJECT", "2024-01-02", "r"),
+    ]
+
+
+def test_late_events(spark):
+    df = spark.createDataFrame(
+        [
+            ("a", "t", "o", "2024-01-02 05:00:00", "901", "301", "1e2", "x", ts("2024-01-03")),
+            ("a", "u", "o", "2024-01-02 05:00:00", "902", "301", "1000", "399", ts("2024-01-03")),
+        ],
+        ", ".join(f"{c} string" for c in S.LATE_COLUMNS) + ", _ts_fichero timestamp_ntz",
+    )
+    got = tuples(
+        O.late_events(df, CFG),
+        "delivery_trip_uuid", "retraso_p2", "retraso_p3", "tarde_p2", "tarde_p3",
+    )
+    assert got == [("t", 600.0, None, False, False), ("u", 601.0, 601.0, True, True)]
