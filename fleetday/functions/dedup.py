@@ -10,9 +10,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def keep_one(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """The first row of every key in `order`; remaining ties are settled by all other columns."""
-    ties = [c for c in df.columns if c not in keys]  # ascending, nulls first
+def keep_one(
+    df: DataFrame, keys: list[str], order: list[Column], unique: bool = False
+) -> DataFrame:
+    """The first row of every key in `order`.
+
+    Ties are settled by all other columns, unless `order` is already `unique` within a key.
+    """
+    ties = [] if unique else [c for c in df.columns if c not in keys]  # ascending, nulls first
     position = F.row_number().over(Window.partitionBy(*keys).orderBy(*order, *ties))
     return df.withColumn("_position", position).filter("_position = 1").drop("_position")
 

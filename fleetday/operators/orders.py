@@ -106,28 +106,32 @@ def order_km(trips: DataFrame, cfg: Config) -> DataFrame:
 def usable_trips(trips: DataFrame, cfg: Config) -> DataFrame:
     """Orders with a rider, an acceptance time and a day; one row per order and file.
 
-    The same order can come twice in a file; the first one in file order counts.
+    The same order can come twice in a file; the first one in file order counts. Several operators
+    below read the result more than once, so a plan stores it before going on.
     """
-    order = [c for c in ("_file_name", "_row") if c in trips.columns]
-    timed = trips.withColumns(
-        {
-            "_acepta": timestamp_column(
-                trips, "courier_accept_timestamp_local", cfg.timestamp_formats
-            ),
-            "_entrega": timestamp_column(
-                trips, "courier_dropoff_timestamp_local", cfg.timestamp_formats
-            ),
-            "day": _day(trips, "momento", cfg),
-        }
+    in_file = [c for c in ("_file_name", "_row") if c in trips.columns]
+    timed = trips.select(
+        _FILE,
+        "courier_uuid",
+        "trip_uuid",
+        *in_file,
+        *S.TRIP_OPTIONAL,
+        timestamp_column(
+            trips, "courier_accept_timestamp_local", cfg.timestamp_formats
+        ).alias("_acepta"),
+        timestamp_column(
+            trips, "courier_dropoff_timestamp_local", cfg.timestamp_formats
+        ).alias("_entrega"),
+        _day(trips, "momento", cfg).alias("day"),
     ).filter(
         F.col("courier_uuid").isNotNull()
         & F.col("trip_uuid").isNotNull()
         & F.col("_acepta").isNotNull()
         & F.col("day").isNotNull()
     )
-    return keep_one(
-        timed, [_FILE, "courier_uuid", "trip_uuid"], [F.col(c).asc_nulls_last() for c in order]
-    )
+    order = [F.col(c).asc_nulls_last() for c in in_file]
+    key = [_FILE, "courier_uuid", "trip_uuid"]
+    return keep_one(timed, key, order, unique="_row" in in_file)
 
 
 def chained_orders(orders: DataFrame, cfg: Config) -> DataFrame:
@@ -217,26 +221,25 @@ def incomplete_files(orders: DataFrame, cfg: Config) -> DataFrame:
     )
 
 
-def mark_valid_days(orders: DataFrame, cfg: Config) -> DataFrame:
-    """Every order with `_dia_valido`: whether its day of its file can be used."""
-    checked = valid_days(orders, cfg).withColumn("_valid", F.lit(True))
+def mark_valid_days(orders: DataFrame, valid: DataFrame, cfg: Config) -> DataFrame:
+    """Every order with `_dia_valido`: whether its day of its file is in `valid`."""
+    checked = valid.withColumn("_valid", F.lit(True))
     joined = salted_join(
         orders, checked, [_FILE, "day"], ["courier_uuid", "trip_uuid"], "left", cfg.salts
     )
     return joined.withColumn("_dia_valido", _true(F.col("_valid"))).drop("_valid")
 
 
-def marked_trips(trips: DataFrame, cfg: Config) -> DataFrame:
-    """All delivered orders of every file with their delays, late flags and day validity."""
-    orders = usable_trips(trips, cfg)
+def marked_trips(orders: DataFrame, cfg: Config) -> DataFrame:
+    """All usable orders with their delays, late flags and the validity of their day."""
     flagged = legacy_late_flags(chained_orders(orders, cfg), cfg)
-    return mark_valid_days(flagged, cfg)
+    return mark_valid_days(flagged, valid_days(orders, cfg), cfg)
 
 
-def trip_delays(trips: DataFrame, cfg: Config) -> DataFrame:
+def trip_delays(orders: DataFrame, cfg: Config) -> DataFrame:
     """Orders marked off-time, from valid days after the late report ended, newest file first."""
     off_time = _true((F.col("p2_on_time") == "0") | (F.col("p3_on_time") == "0"))
-    flagged = legacy_late_flags(chained_orders(usable_trips(trips, cfg), cfg), cfg)
+    flagged = legacy_late_flags(chained_orders(orders, cfg), cfg)
     candidates = flagged.filter(
         off_time & (F.col("day") >= F.lit(cfg.first_day_without_late_report))
     ).select(
@@ -245,7 +248,7 @@ def trip_delays(trips: DataFrame, cfg: Config) -> DataFrame:
     )
     usable = salted_join(
         candidates,
-        valid_days(usable_trips(trips, cfg), cfg),
+        valid_days(orders, cfg),
         [_FILE, "day"],
         ["courier_uuid", "trip_uuid"],
         "left_semi",

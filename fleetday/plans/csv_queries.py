@@ -15,6 +15,7 @@ from fleetday.functions.dedup import keep_one
 from fleetday.operators import bronze as B
 from fleetday.operators import orders as O
 from fleetday.plans import fixtures as X
+from fleetday.plans.orders import trip_delays
 from fleetday.sources import families as FA
 from fleetday.sources.csv_files import discover_files, scan_family
 from fleetday.sources.tables import scratch_path
@@ -160,7 +161,7 @@ def csv_trips(spark, sf_dir):
         .drop("momento", "form_factor"),
         directory, "TRIPS_DATA_", sep=",", nullValue="NA",
     )
-    return O.trip_delays(_read(spark, directory, FA.TRIPS).rows, CFG)
+    return trip_delays(_read(spark, directory, FA.TRIPS).rows, CFG)
 
 
 def registered():

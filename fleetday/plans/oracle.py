@@ -678,8 +678,8 @@ def oracle_sql() -> dict[str, str]:
             "trips",
         ),
         "dedup_within_file": _with(
-            """SELECT CAST(_ts_fichero AS VARCHAR) AS _ts_fichero, courier_uuid, trip_uuid, km,
-                      CAST(day AS VARCHAR) AS day FROM trips""",
+            """SELECT CAST(_ts_fichero AS VARCHAR) AS _ts_fichero, courier_uuid, trip_uuid,
+                      p2_on_time, CAST(day AS VARCHAR) AS day FROM trips""",
             "trips",
         ),
         "chained_orders": _with(

@@ -10,6 +10,7 @@ from fleetday import schema as S
 from fleetday.config import Config
 from fleetday.operators import orders as O
 from fleetday.operators import publish as P
+from fleetday.plans.orders import trip_delays
 from fleetday.sources.csv_files import discover_files, file_error_gate, scan_family
 from fleetday.sources.families import CANCELS, LATE, TRIPS, Family
 from fleetday.sources.tables import merge_table, read_table, stage
@@ -73,10 +74,12 @@ def publish_orders(
     cancels = _rows(spark, CANCELS, f"{input_root}/{cfg.cancel_dir}", cfg)
     late = _rows(spark, LATE, f"{input_root}/{cfg.late_dir}", cfg)
     trips = _rows(spark, TRIPS, f"{input_root}/{cfg.trips_dir}", cfg)
+    if trips is not None:
+        trips = stage(trips, "trips")  # read by two feeds
     feeds = [
         ("cancels", S.ORDER_EVENTS, cancels, O.cancel_events),
         ("late report", S.ORDER_DELAYS, late, O.late_events),
-        ("late trips", S.ORDER_DELAYS, trips, O.trip_delays),
+        ("late trips", S.ORDER_DELAYS, trips, trip_delays),
         ("kilometres", S.ORDER_KM, trips, O.order_km),
     ]
     report = {}

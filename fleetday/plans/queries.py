@@ -19,6 +19,7 @@ from fleetday.operators import sessions as N
 from fleetday.operators import silver as V
 from fleetday.operators import transfer as T
 from fleetday.plans import fixtures as X
+from fleetday.plans import orders as R
 from fleetday.plans.daily import DailyTables, daily_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -326,18 +327,17 @@ def order_km(spark, sf_dir):
 
 
 def _orders(spark, sf_dir) -> DataFrame:
-    return O.usable_trips(X.trips(spark, sf_dir), CFG)
+    return R.stored_orders(X.trips(spark, sf_dir), CFG)
 
 
 def dedup_within_file(spark, sf_dir):
-    """Every order twice in its file, the second time with other kilometres."""
+    """Every order twice in its file, the second time without its mark."""
     rows = X.trips(spark, sf_dir)
-    twice = rows.unionByName(
-        rows.withColumns({"km": F.col("km") + 1, "_row": F.col("_row") + 1_000_000_000})
-    )
+    again = {"p2_on_time": F.lit(None).cast("string"), "_row": F.col("_row") + 1_000_000_000}
+    twice = rows.unionByName(rows.withColumns(again))
     kept = O.usable_trips(twice, CFG)
     return _text(
-        kept.select("_ts_fichero", "courier_uuid", "trip_uuid", "km", "day"), "_ts_fichero", "day"
+        kept.select("_ts_fichero", "courier_uuid", "trip_uuid", "p2_on_time", "day"), "_ts_fichero", "day"
     )
 
 
@@ -373,7 +373,7 @@ def incomplete_files(spark, sf_dir):
 
 
 def marked_trips(spark, sf_dir):
-    rows = O.marked_trips(X.trips(spark, sf_dir), CFG)
+    rows = O.marked_trips(_orders(spark, sf_dir), CFG)
     return _text(
         rows.select(
             "_ts_fichero", "courier_uuid", "trip_uuid", "day", "tarde_p2", "tarde_p3", "_dia_valido"
@@ -383,7 +383,7 @@ def marked_trips(spark, sf_dir):
 
 
 def trip_delays(spark, sf_dir):
-    return O.trip_delays(X.trips(spark, sf_dir), CFG)
+    return O.trip_delays(_orders(spark, sf_dir), CFG)
 
 
 def order_delays_published(spark, sf_dir):

@@ -5,6 +5,7 @@ from helpers import trips, ts, tuples
 from fleetday import schema as S
 from fleetday.config import Config
 from fleetday.operators import orders as O
+from fleetday.plans import orders as R
 
 CFG = Config(first_day_without_late_report=date(2024, 1, 1))
 FULL = {
@@ -121,9 +122,9 @@ def test_days(spark):
     orders = O.usable_trips(trips(spark, *rows), CFG)
     assert tuples(O.valid_days(orders, CFG)) == [(ts("2024-01-10"), date(2024, 1, 3))]
     assert O.incomplete_files(orders, CFG).first()[0] == 1
-    marked = O.marked_trips(trips(spark, *rows), CFG)
+    marked = R.marked_trips(trips(spark, *rows), CFG)
     assert [r[0] for r in tuples(marked.filter("_dia_valido"), "trip_uuid")] == ["2", "3"]
-    assert tuples(O.trip_delays(trips(spark, *rows), CFG), "delivery_trip_uuid", "day", "tarde_p2") == [
+    assert tuples(R.trip_delays(trips(spark, *rows), CFG), "delivery_trip_uuid", "day", "tarde_p2") == [
         ("2", "2024-01-03", True)
     ]
 
@@ -146,20 +147,20 @@ def test_validity_is_checked_before_the_newest_file_is_picked(spark):
         order("t", "2024-01-03 10:00:00", _ts_fichero=ts("2024-01-12")),
         order("u", "2024-01-04 10:00:00", _ts_fichero=ts("2024-01-12")),
     ]
-    out = O.trip_delays(trips(spark, *rows), CFG)
+    out = R.trip_delays(trips(spark, *rows), CFG)
     assert tuples(out, "delivery_trip_uuid", "retraso_p2") == [("t", 95.0)]
 
 
 def test_the_newest_usable_file_wins(spark):
     rows = [*three_days("t", "2024-01-10", pickup_approach_minutes="99"),
             *three_days("t", "2024-01-11", pickup_approach_minutes="50")]
-    out = O.trip_delays(trips(spark, *rows), CFG)
+    out = R.trip_delays(trips(spark, *rows), CFG)
     assert tuples(out, "delivery_trip_uuid", "retraso_p2") == [("t", 46.0)]
 
 
 def test_first_day_without_late_report(spark):
     later = Config(first_day_without_late_report=date(2024, 1, 4))
-    assert O.trip_delays(trips(spark, *three_days("t", "2024-01-10")), later).count() == 0
+    assert R.trip_delays(trips(spark, *three_days("t", "2024-01-10")), later).count() == 0
 
 
 def test_an_older_file_with_kilometres_beats_a_newer_one_without(spark):
