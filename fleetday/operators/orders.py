@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +17,7 @@ from fleetday.functions.numbers import double_column
 from fleetday.functions.slices import with_previous_max
 
 _FILE = "_ts_fichero"
+_ACCEPT, _DROPOFF = "courier_accept_timestamp_local", "courier_dropoff_timestamp_local"
 
 
 def _day(df: DataFrame, column: str, cfg: Config) -> Column:
@@ -115,13 +119,10 @@ def usable_trips(trips: DataFrame, cfg: Config) -> DataFrame:
         "courier_uuid",
         "trip_uuid",
         *in_file,
-        *S.TRIP_OPTIONAL,
-        timestamp_column(
-            trips, "courier_accept_timestamp_local", cfg.timestamp_formats
-        ).alias("_acepta"),
-        timestamp_column(
-            trips, "courier_dropoff_timestamp_local", cfg.timestamp_formats
-        ).alias("_entrega"),
+        *[c for c in S.TRIP_OPTIONAL if c not in (_ACCEPT, _DROPOFF)],
+        F.col(_DROPOFF).isNotNull().alias("_has_dropoff"),
+        timestamp_column(trips, _ACCEPT, cfg.timestamp_formats).alias("_acepta"),
+        timestamp_column(trips, _DROPOFF, cfg.timestamp_formats).alias("_entrega"),
         _day(trips, "momento", cfg).alias("day"),
     ).filter(
         F.col("courier_uuid").isNotNull()
@@ -186,14 +187,16 @@ def file_days(orders: DataFrame, cfg: Config) -> DataFrame:
     file only sees that file's days.
     """
     marked = F.col("p2_on_time").isNotNull() | F.col("p3_on_time").isNotNull()
-    filled = {c: F.bool_or(F.col(c).isNotNull()).alias(f"_has_{c}") for c in S.TRIP_MEASURES}
+    # a usable order always has its acceptance
+    filled = {c: F.col(c).isNotNull() for c in S.TRIP_MEASURES if c not in (_ACCEPT, _DROPOFF)}
+    filled["dropoff"] = F.col("_has_dropoff")
     per_day = orders.groupBy(_FILE, "day").agg(
-        F.count("*").alias("orders"), F.count_if(marked).alias("marked_orders"), *filled.values()
+        F.count("*").alias("orders"),
+        F.count_if(marked).alias("marked_orders"),
+        *[F.bool_or(present).alias(f"_filled_{c}") for c, present in filled.items()],
     )
     per_file = Window.partitionBy(_FILE)
-    complete = F.lit(True)
-    for c in S.TRIP_MEASURES:
-        complete = complete & F.bool_or(f"_has_{c}").over(per_file)
+    complete = reduce(and_, [F.bool_or(f"_filled_{c}").over(per_file) for c in filled])
     return per_day.select(
         _FILE,
         "day",

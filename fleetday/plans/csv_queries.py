@@ -18,7 +18,7 @@ from fleetday.plans import fixtures as X
 from fleetday.plans.orders import trip_delays
 from fleetday.sources import families as FA
 from fleetday.sources.csv_files import discover_files, scan_family
-from fleetday.sources.tables import scratch_path
+from fleetday.sources.tables import scratch_path, stage
 
 CFG = X.CONFIG
 _STAMP = "_stamp"
@@ -59,8 +59,11 @@ def csv_daily(spark, sf_dir):
     """Three layouts; names hold quotes, commas and line breaks."""
     name = F.concat(F.lit('rider "'), F.col("driver_uuid"), F.lit('",\nnight'))
     rows = X.daily(spark, sf_dir).withColumn("driver_name", name)
-    text = rows.withColumns({c: F.col(c).cast("string") for c in S.DAILY_DATES}).withColumn(
-        _STAMP, _stamp("file_name")
+    text = stage(
+        rows.withColumns({c: F.col(c).cast("string") for c in S.DAILY_DATES}).withColumn(
+            _STAMP, _stamp("file_name")
+        ),
+        "csv-source",
     )
     directory = scratch_path(spark, "csv-daily")
     layouts = [
@@ -122,6 +125,7 @@ def _cancel_files(spark, sf_dir) -> str:
     rows = X.cancels(spark, sf_dir).withColumn(
         _STAMP, F.date_format("_ts_fichero", "yyyyMMdd_HHmmss")
     ).drop("_ts_fichero")
+    rows = stage(rows, "csv-source")
     directory = scratch_path(spark, "csv-cancels")
     broken = F.col(_STAMP) == "20240120_000000"
     _export(rows.filter(~broken), directory, "CANCEL_", sep=",", nullValue="")
@@ -145,6 +149,7 @@ def csv_trips(spark, sf_dir):
     rows = X.trips(spark, sf_dir).withColumn(_STAMP, _stamp("_file_name")).drop(
         "_ts_fichero", "_file_name", "_row"
     )
+    rows = stage(rows, "csv-source")
     directory = scratch_path(spark, "csv-trips")
     fourth = F.substring(_STAMP, 7, 2).cast("int") % 4 == 0
     status = F.when(F.col("trip_uuid").endswith("7"), "FAILED").otherwise("COMPLETED")

@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetday import schema as S
 from fleetday.config import Config
-from fleetday.functions.clock import NTZ, export_timestamp
+from fleetday.functions.clock import export_timestamp
 
 # The data ends on 30 January 2024; runs over it are dated accordingly.
 CONFIG = Config(first_day_without_late_report=date(2024, 1, 10))
@@ -25,55 +25,36 @@ CLOSED_AT = "2024-01-29T06:00:00+00:00"
 FIRST_EXPORT = "2024-01-16 00:00:00"
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
-        "event_id", F.col("ts").cast(NTZ).alias("ts"), "user_id", "event_type", "value"
-    )
-
-
-def _is(kind: str) -> Column:
-    return F.col("event_type") == kind
-
-
-def _seconds() -> Column:
-    return F.floor(F.col("value") * 60).cast("long")
-
+_EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double"
 
-def _later() -> Column:
-    return F.col("ts") + F.make_dt_interval(secs=_seconds().cast("decimal(18,6)"))
+# shared pieces of SQL
+_SECONDS = "CAST(floor(value * 60) AS BIGINT)"
+_LATER = f"ts + make_dt_interval(0, 0, 0, {_SECONDS})"
+_RIDER = "CAST(user_id AS STRING)"
+_FLEET = "concat('fleet ', CAST(user_id % 3 AS STRING))"
+_ORDER = "concat('T', CAST(event_id AS STRING))"
+_EMPTY = "CAST(NULL AS STRING)"
 
 
-def _rider(prefix: str = "") -> Column:
-    return F.concat(F.lit(prefix), F.col("user_id").cast("string"))
-
-
-def _every(n: int) -> Column:
-    return F.col("event_id") % n == 0
-
-
-def _null(kind: str = "string") -> Column:
-    return F.lit(None).cast(kind)
-
-
-_STATUS = {
-    "view": "open", "click": "enroute", "purchase": "ontrip",
-    "signup": "offline", "error": "unavailable",
-}
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The schema is given, so no job reads file footers to infer it."""
+    return spark.read.schema(_EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
 def connections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    status = F.create_map(*[F.lit(x) for pair in _STATUS.items() for x in pair])
-    return events(spark, sf_dir).select(
-        _rider().alias("courier_uuid"),
-        _rider("rider ").alias("courier_name"),
-        _null().alias("contact_number"),
-        F.concat(F.lit("fleet "), (F.col("user_id") % 3).cast("string")).alias("fleet_name"),
-        status[F.col("event_type")].alias("status"),
-        F.to_date("ts").cast("string").alias("datestr"),
-        F.col("ts").cast("string").alias("start_time"),
-        F.when(~_every(3), _later().cast("string")).alias("end_time"),
-        _null().alias("job_daily_rank"),
-        F.lit("connections_20240131_000000.csv").alias("conn_file"),
+    return events(spark, sf_dir).selectExpr(
+        f"{_RIDER} AS courier_uuid",
+        f"concat('rider ', {_RIDER}) AS courier_name",
+        f"{_EMPTY} AS contact_number",
+        f"{_FLEET} AS fleet_name",
+        "CASE event_type WHEN 'view' THEN 'open' WHEN 'click' THEN 'enroute' "
+        "WHEN 'purchase' THEN 'ontrip' WHEN 'signup' THEN 'offline' "
+        "WHEN 'error' THEN 'unavailable' END AS status",
+        "CAST(to_date(ts) AS STRING) AS datestr",
+        "CAST(ts AS STRING) AS start_time",
+        f"if(event_id % 3 <> 0, CAST({_LATER} AS STRING), NULL) AS end_time",
+        f"{_EMPTY} AS job_daily_rank",
+        "'connections_20240131_000000.csv' AS conn_file",
     )
 
 
@@ -81,21 +62,24 @@ def overlapping_connections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sessions, and an earlier export of the month so far in which every session is open."""
     whole = connections(spark, sf_dir)
     earlier = whole.filter(F.col("start_time") < FIRST_EXPORT).withColumns(
-        {"end_time": _null(), "conn_file": F.lit("connections_20240116_000000.csv")}
+        {
+            "end_time": F.lit(None).cast("string"),
+            "conn_file": F.lit("connections_20240116_000000.csv"),
+        }
     )
     return whole.unionByName(earlier)
 
 
 def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events(spark, sf_dir).select(
-        F.col("ts").cast("string").alias("timestamp"),
-        _rider().alias("courier_uuid"),
-        F.when(~_every(50), F.concat(F.lit("O"), F.col("event_id").cast("string"))).alias("offer_id"),
-        F.when(_is("error"), "REJECT").otherwise("ACCEPT").alias("courier_action"),
-        _null().alias("contact_number"),
-        _rider("r").alias("email"),
-        F.concat(F.lit("fleet "), (F.col("user_id") % 3).cast("string")).alias("fleet_name"),
-        F.lit("CANCELLATION_RTA_20240131_000000.csv").alias("rta_file"),
+    return events(spark, sf_dir).selectExpr(
+        "CAST(ts AS STRING) AS timestamp",
+        f"{_RIDER} AS courier_uuid",
+        "if(event_id % 50 <> 0, concat('O', CAST(event_id AS STRING)), NULL) AS offer_id",
+        "if(event_type = 'error', 'REJECT', 'ACCEPT') AS courier_action",
+        f"{_EMPTY} AS contact_number",
+        f"concat('r', {_RIDER}) AS email",
+        f"{_FLEET} AS fleet_name",
+        "'CANCELLATION_RTA_20240131_000000.csv' AS rta_file",
     )
 
 
@@ -103,7 +87,7 @@ def overlapping_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole = offers(spark, sf_dir)
     earlier = whole.filter(F.col("timestamp") < FIRST_EXPORT).withColumns(
         {
-            "email": _null(),
+            "email": F.lit(None).cast("string"),
             "rta_file": F.lit("CANCELLATION_RTA_20240116_000000.csv"),
         }
     )
@@ -112,20 +96,16 @@ def overlapping_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three exports a month, two markets; which export holds an event depends on its number."""
-    version = F.col("event_id") % 3
-    market = F.concat(F.lit("M"), (F.col("event_id") % 2).cast("string"))
-    rows = events(spark, sf_dir).select(
+    rows = events(spark, sf_dir).selectExpr(
         "user_id",
         "event_type",
-        _seconds().alias("secs"),
-        F.floor("value").cast("long").alias("whole"),
-        F.to_date("ts").alias("d"),
-        market.alias("market_name"),
-        F.concat(
-            F.lit("COURIER_DAILY_2024020"), (version + 1).cast("string"), F.lit("_060000.csv")
-        ).alias("file_name"),
+        f"{_SECONDS} AS secs",
+        "CAST(floor(value) AS BIGINT) AS whole",
+        "to_date(ts) AS d",
+        "concat('M', CAST(event_id % 2 AS STRING)) AS market_name",
+        "concat('COURIER_DAILY_2024020', CAST(event_id % 3 + 1 AS STRING), '_060000.csv') "
+        "AS file_name",
     )
-
     totals = rows.groupBy("user_id", "d", "market_name", "file_name").agg(
         *[
             F.expr(sql).alias(name)
@@ -149,81 +129,72 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
             }.items()
         ]
     )
-    start = F.col("d").cast(NTZ)
-    named = totals.withColumns(
-        {
-            "weekstr": F.date_sub("d", F.weekday("d")).cast(NTZ),
-            "datestr": start,
-            "driver_uuid": _rider(),
-            "driver_name": _rider("rider "),
-            "driver_email": F.concat(_rider("r"), F.lit("@example.org")),
-            "fleet_name": F.concat(F.lit("fleet "), (F.col("user_id") % 3).cast("string")),
-            "city_id": (F.col("user_id") % 7).cast("double"),
-            "city_name": F.concat(F.lit("city "), (F.col("user_id") % 7).cast("string")),
-            "late_p2_trips": F.when(F.col("user_id") % 2 != 0, F.col("purchases")),
-            "late_p3_trips": F.when(F.col("user_id") % 3 != 0, F.col("clicks")),
-            "file_date": export_timestamp("file_name"),
-        }
-    )
-    absent = {
-        c: _null("string" if c in S.DAILY_TEXT else "double")
-        for c in S.DAILY_COLUMNS
-        if c not in named.columns
+    named = {
+        "weekstr": "CAST(date_sub(d, weekday(d)) AS TIMESTAMP_NTZ)",
+        "datestr": "CAST(d AS TIMESTAMP_NTZ)",
+        "driver_uuid": _RIDER,
+        "driver_name": f"concat('rider ', {_RIDER})",
+        "driver_email": f"concat('r', {_RIDER}, '@example.org')",
+        "fleet_name": _FLEET,
+        "city_id": "double(user_id % 7)",
+        "city_name": "concat('city ', CAST(user_id % 7 AS STRING))",
+        "late_p2_trips": "if(user_id % 2 <> 0, purchases, NULL)",
+        "late_p3_trips": "if(user_id % 3 <> 0, clicks, NULL)",
     }
-    return named.withColumns(absent).select(*S.DAILY_COLUMNS, "file_name", "file_date")
+
+    def column(name: str) -> str:
+        if name in named:
+            return f"{named[name]} AS {name}"
+        if name in totals.columns:
+            return name
+        return f"CAST(NULL AS {'STRING' if name in S.DAILY_TEXT else 'DOUBLE'}) AS {name}"
+
+    return totals.selectExpr(*[column(c) for c in S.DAILY_COLUMNS], "file_name").withColumn(
+        "file_date", export_timestamp("file_name")
+    )
 
 
 def exported_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each event once per export that holds it: even days from the 6th, five days back each.
+    """Each event once per export that holds it: even days from the 6th to the last day of the
+    data, five days back each.
 
     An event can only be in the exports of the five days after it, so it is repeated for those
     instead of being compared with every export.
     """
     whole = events(spark, sf_dir)
-    day = F.to_date("ts")
-    seen = whole.select(day.alias("d")).distinct()
+    last_day = whole.agg(F.to_date(F.max("ts")).alias("last_day")).scalar()
     return (
-        whole.withColumn("d", F.explode(F.sequence(F.date_add(day, 1), F.date_add(day, 5))))
-        .filter((F.day("d") % 2 == 0) & (F.day("d") >= 6))
-        .join(seen, "d", "left_semi")
-        .withColumn("_ts_fichero", F.col("d").cast(NTZ))
+        whole.selectExpr("*", "explode(sequence(date_add(ts, 1), date_add(ts, 5))) AS d")
+        .filter("day(d) % 2 = 0 AND day(d) >= 6")
+        .filter(F.col("d") <= last_day)
+        .selectExpr("*", "CAST(d AS TIMESTAMP_NTZ) AS _ts_fichero")
     )
 
 
-def _order() -> Column:
-    return F.concat(F.lit("T"), F.col("event_id").cast("string"))
-
-
-_CANCEL_TYPE = {
-    "error": "CANCEL", "signup": "REJECT", "click": "CANCEL_NOT_AT_FAULT", "view": "OTHER",
-}
-
-
 def cancels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kind = F.create_map(*[F.lit(x) for pair in _CANCEL_TYPE.items() for x in pair])
-    return exported_events(spark, sf_dir).select(
-        F.col("ts").cast("string").alias("hour"),
-        _rider().alias("driver_uuid"),
-        _order().alias("delivery_trip_uuid"),
-        _order().alias("order_id"),
-        kind[F.col("event_type")].alias("event_type"),
-        F.concat(F.lit("R"), F.day("d").cast("string")).alias("cancellation_reason_name"),
-        _null().alias("form_factor"),
+    return exported_events(spark, sf_dir).selectExpr(
+        "CAST(ts AS STRING) AS hour",
+        f"{_RIDER} AS driver_uuid",
+        f"{_ORDER} AS delivery_trip_uuid",
+        f"{_ORDER} AS order_id",
+        "CASE event_type WHEN 'error' THEN 'CANCEL' WHEN 'signup' THEN 'REJECT' "
+        "WHEN 'click' THEN 'CANCEL_NOT_AT_FAULT' WHEN 'view' THEN 'OTHER' END AS event_type",
+        "concat('R', CAST(day(d) AS STRING)) AS cancellation_reason_name",
+        f"{_EMPTY} AS form_factor",
         "_ts_fichero",
     )
 
 
 def late(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seconds = _seconds().cast("double")
-    return exported_events(spark, sf_dir).select(
-        _rider().alias("driver_uuid"),
-        _order().alias("delivery_trip_uuid"),
-        _order().alias("order_id"),
-        F.col("ts").cast("string").alias("courier_accept_timestamp_local"),
-        F.when(~_every(19), seconds).alias("actual_p2_driving"),
-        F.lit(300.0).alias("estimated_p2_driving"),
-        (seconds / F.lit(2.0)).alias("actual_p3_driving"),
-        F.lit(900.0).alias("estimated_p3_driving"),
+    return exported_events(spark, sf_dir).selectExpr(
+        f"{_RIDER} AS driver_uuid",
+        f"{_ORDER} AS delivery_trip_uuid",
+        f"{_ORDER} AS order_id",
+        "CAST(ts AS STRING) AS courier_accept_timestamp_local",
+        f"if(event_id % 19 <> 0, double({_SECONDS}), NULL) AS actual_p2_driving",
+        "300D AS estimated_p2_driving",
+        f"{_SECONDS} / 2D AS actual_p3_driving",
+        "900D AS estimated_p3_driving",
         "_ts_fichero",
     )
 
@@ -231,39 +202,31 @@ def late(spark: SparkSession, sf_dir: str) -> DataFrame:
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Marks are missing on the newest day of a file and on one earlier day of every other file;
     one file lacks the batch column."""
-    day = F.to_date("ts")
-    unmarked = (
-        (day == F.date_sub("d", 1)) | ((day == F.date_sub("d", 3)) & (F.day("d") % 4 == 0))
-    ) & ~_every(10)
-
-    def mark(n: int) -> Column:
-        return F.when(~unmarked, F.when(_every(n), "0").otherwise("1"))
-
-    def floor(n: int) -> Column:
-        return F.floor(F.col("value") / n).cast("double")
-
-    return exported_events(spark, sf_dir).select(
-        _rider().alias("courier_uuid"),
-        _order().alias("trip_uuid"),
-        F.col("ts").cast("string").alias("momento"),
-        F.when(~_every(13), F.col("value") / F.lit(10.0)).alias("km"),
-        _order().alias("order_id"),
-        mark(3).alias("p2_on_time"),
-        mark(4).alias("p3_on_time"),
-        F.col("value").alias("pickup_approach_minutes"),
-        floor(2).alias("estimated_pickup_approach_minutes"),
-        F.col("value").alias("dropoff_approach_minutes"),
-        floor(4).alias("estimated_dropoff_approach_minutes"),
-        F.when(
-            F.col("d") != F.lit(date(2024, 1, 20)),
-            F.when(_every(5), "BATCH").otherwise("NO BATCH"),
-        ).alias("batch_order"),
-        F.col("ts").cast("string").alias("courier_accept_timestamp_local"),
-        F.when(~_every(11), _later().cast("string")).alias("courier_dropoff_timestamp_local"),
-        _null().alias("form_factor"),
+    newest = "to_date(ts) = date_sub(d, 1)"
+    earlier = "(to_date(ts) = date_sub(d, 3) AND day(d) % 4 = 0)"
+    unmarked = f"(({newest} OR {earlier}) AND event_id % 10 <> 0)"
+
+    def mark(n: int) -> str:
+        return f"if({unmarked}, NULL, if(event_id % {n} = 0, '0', '1'))"
+
+    return exported_events(spark, sf_dir).selectExpr(
+        f"{_RIDER} AS courier_uuid",
+        f"{_ORDER} AS trip_uuid",
+        "CAST(ts AS STRING) AS momento",
+        "if(event_id % 13 <> 0, value / 10D, NULL) AS km",
+        f"{_ORDER} AS order_id",
+        f"{mark(3)} AS p2_on_time",
+        f"{mark(4)} AS p3_on_time",
+        "value AS pickup_approach_minutes",
+        "double(floor(value / 2)) AS estimated_pickup_approach_minutes",
+        "value AS dropoff_approach_minutes",
+        "double(floor(value / 4)) AS estimated_dropoff_approach_minutes",
+        "if(d = DATE '2024-01-20', NULL, if(event_id % 5 = 0, 'BATCH', 'NO BATCH')) "
+        "AS batch_order",
+        "CAST(ts AS STRING) AS courier_accept_timestamp_local",
+        f"if(event_id % 11 <> 0, CAST({_LATER} AS STRING), NULL) AS courier_dropoff_timestamp_local",
+        f"{_EMPTY} AS form_factor",
         "_ts_fichero",
-        F.concat(F.lit("trips_"), F.date_format("d", "yyyyMMdd"), F.lit("_000000.csv")).alias(
-            "_file_name"
-        ),
-        F.col("event_id").alias("_row"),
+        "concat('trips_', date_format(d, 'yyyyMMdd'), '_000000.csv') AS _file_name",
+        "event_id AS _row",
     )

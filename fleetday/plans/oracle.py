@@ -125,8 +125,10 @@ _cte(
 )
 _cte(
     "exports",
-    """SELECT DISTINCT CAST(ts AS DATE) AS d FROM ev
-       WHERE day(CAST(ts AS DATE)) % 2 = 0 AND day(CAST(ts AS DATE)) >= 6""",
+    """SELECT CAST(t AS DATE) AS d
+       FROM (SELECT unnest(generate_series(min(CAST(ts AS DATE)), max(CAST(ts AS DATE)),
+                                           INTERVAL 1 DAY)) AS t FROM ev)
+       WHERE day(t) % 2 = 0 AND day(t) >= 6""",
     "ev",
 )
 _cte(
