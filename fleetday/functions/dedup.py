@@ -34,6 +34,6 @@ def keep_latest(df: DataFrame, keys: list[str], file_time: str = "_ts_fichero")
 
 def add_unseen(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of `new` whose key is not in `existing` (null keys equal): what an ingest appends."""
-    seen = existing.select(*[F.col(k).alias(f"_seen_{k}") for k in keys]).distinct()
+    seen = existing.select(*[F.col(k).alias(f"_seen_{k}") for k in keys])
     same = [F.col(k).eqNullSafe(F.col(f"_seen_{k}")) for k in keys]
     return new.join(seen, same, "left_anti")

@@ -28,13 +28,17 @@ def recent_window(bronze: DataFrame, cfg: Config) -> DataFrame:
 
     One day more than is published: the first published day needs the day before it as the
     destination of its early hours. The newest day of the bronze is the newest day of the silver,
-    so the filter sits on the scan instead of behind the shuffles.
+    so the filter sits on the scan instead of behind the shuffles, and prunes the days of a table
+    stored by day.
     """
     back = max(timedelta(weeks=cfg.reprocess_weeks), timedelta(days=cfg.sync_days))
     back += timedelta(days=1)
     valid = valid_daily(bronze)
     newest = valid.agg(F.max("datestr").alias("newest")).scalar()
-    return valid.filter(F.col("datestr") >= newest - days(back.days))
+    recent = valid.filter(F.col("datestr") >= newest - days(back.days))
+    if S.BRONZE_DAY in bronze.columns:
+        recent = recent.filter(F.col(S.BRONZE_DAY) >= F.to_date(newest - days(back.days)))
+    return recent
 
 
 def best_row_per_market(valid: DataFrame) -> DataFrame:

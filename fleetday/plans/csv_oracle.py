@@ -10,7 +10,7 @@ def oracle_sql(with_ctes) -> dict[str, str]:
     delivered = (
         "NOT (day(_ts_fichero) % 4 = 0 AND trip_uuid LIKE '%7')"
     )
-    return {
+    sql = {
         "csv_daily": with_ctes(
             f"""SELECT CAST(weekstr AS VARCHAR) AS weekstr, CAST(datestr AS VARCHAR) AS datestr,
                        'rider "' || driver_uuid || '",' || chr(10) || 'night' AS driver_name,
@@ -81,3 +81,4 @@ def oracle_sql(with_ctes) -> dict[str, str]:
             "trips",
         ),
     }
+    return {**sql, "bronze_two_runs": sql["csv_connections"]}

@@ -15,6 +15,7 @@ from fleetday.functions.dedup import keep_one
 from fleetday.operators import bronze as B
 from fleetday.operators import orders as O
 from fleetday.plans import fixtures as X
+from fleetday.plans.ingest import ingest
 from fleetday.plans.orders import trip_delays
 from fleetday.sources import families as FA
 from fleetday.sources.csv_files import discover_files, scan_family
@@ -108,6 +109,21 @@ def csv_connections(spark, sf_dir):
     return kept.select(*S.CONNECTION_KEY, "end_time", "fleet_name", _stamp("conn_file").alias("stamp"))
 
 
+def bronze_two_runs(spark, sf_dir):
+    """The earlier export is ingested by one run, the whole month by the next."""
+    rows = X.overlapping_connections(spark, sf_dir).withColumn(_STAMP, _stamp("conn_file"))
+    directory = scratch_path(spark, "csv-connections")
+    path = scratch_path(spark, "bronze-connections")
+    bronze = None
+    for stamp in ("20240116_000000", "20240131_000000"):
+        part = rows.filter(F.col(_STAMP) == stamp).drop("conn_file")
+        _export(part, directory, "connections_", sep=",", nullValue="NA")
+        bronze, _ = ingest(spark, FA.CONNECTIONS, directory, path, X.PRUNE_AS_OF, CFG)
+    return bronze.select(
+        *S.CONNECTION_KEY, "end_time", "fleet_name", _stamp("conn_file").alias("stamp")
+    )
+
+
 def csv_offers(spark, sf_dir):
     rows = X.overlapping_offers(spark, sf_dir).withColumn(_STAMP, _stamp("rta_file"))
     directory = scratch_path(spark, "csv-offers")
@@ -171,5 +187,5 @@ def csv_trips(spark, sf_dir):
 
 def registered():
     return [
-        csv_daily, csv_connections, csv_offers, csv_cancels, csv_refused_files, csv_trips,
+        csv_daily, csv_connections, bronze_two_runs, csv_offers, csv_cancels, csv_refused_files, csv_trips,
     ]

@@ -11,6 +11,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetday import schema as S
 from fleetday.config import Config
 from fleetday.functions.clock import export_timestamp, timestamp_column
 from fleetday.functions.dedup import keep_one
@@ -27,7 +28,7 @@ from fleetday.sources.tables import (
     stage,
 )
 
-DAY = "_day"
+DAY = S.BRONZE_DAY
 
 
 def read_bronze(

@@ -658,6 +658,27 @@ def oracle_sql() -> dict[str, str]:
                FROM published GROUP BY ALL""",
             "published",
         ),
+        "published_table": _with(
+            """SELECT * FROM published
+               UNION ALL BY NAME
+               SELECT * FROM earlier AS e WHERE day >= '2024-01-22'
+               AND NOT EXISTS (SELECT 1 FROM published AS p
+                               WHERE p.courier_uuid = e.courier_uuid AND p.day = e.day)
+               AND NOT EXISTS (SELECT 1 FROM emptied AS x
+                               WHERE x.courier_uuid = e.courier_uuid
+                                 AND CAST(x.day AS VARCHAR) = e.day
+                                 AND x.day > DATE '2024-01-22')""",
+            "published", "earlier", "emptied",
+        ),
+        "closed_table": _with(
+            """SELECT day AS dia, count(*) AS filas, '2024-01-29T06:00:00+00:00' AS cerrado_en
+               FROM published GROUP BY ALL
+               UNION ALL
+               SELECT day, count(*), '2024-01-29T06:00:00+00:00' FROM earlier
+               WHERE day >= '2024-01-22' AND day NOT IN (SELECT day FROM published)
+               GROUP BY ALL""",
+            "published", "earlier",
+        ),
         "cancel_events": _with(
             """SELECT driver_uuid AS courier_uuid, delivery_trip_uuid, event_type,
                       CAST(CAST(hour - INTERVAL 2 HOUR AS DATE) AS VARCHAR) AS day, order_id, reason,

@@ -45,7 +45,7 @@ def publish_daily(
         return 0
     deletes = None
     if emptied is not None:
-        deletes = P.rows_to_delete(emptied, uploaded, as_of, window)
+        deletes = stage(P.rows_to_delete(emptied, uploaded, as_of, window), "deletes")
     merge_table(spark, path, S.TABLE_KEYS[S.DAILY_STATS], "day", uploaded, deletes)
     marker = P.days_closed(uploaded, closed_at.isoformat())
     merge_table(
@@ -91,7 +91,7 @@ def publish_orders(
         else:
             merge_table(
                 spark, _table(root, table), S.TABLE_KEYS[table], S.TABLE_DAY[table],
-                transform(rows, cfg),
+                stage(transform(rows, cfg), table),
             )
             report[name] = "published"
     return report

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +21,8 @@ from fleetday.operators import transfer as T
 from fleetday.plans import fixtures as X
 from fleetday.plans import orders as R
 from fleetday.plans.daily import DailyTables, daily_tables
+from fleetday.plans.publish import publish_daily
+from fleetday.sources.tables import scratch_path, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 CFG = X.CONFIG
@@ -311,6 +313,29 @@ def days_closed(spark, sf_dir):
     return P.days_closed(published_daily(spark, sf_dir), X.CLOSED_AT)
 
 
+def _publish_two_runs(spark, sf_dir) -> str:
+    """Publish before the sessions arrive and again after; returns the folder of the tables."""
+    root = scratch_path(spark, "published")
+    early = daily_tables(X.daily(spark, sf_dir), None, None, CFG, True)
+    adjusted = stage(_tables(spark, sf_dir).adjusted, "adjusted")
+    closed_at = datetime.fromisoformat(X.CLOSED_AT)
+    publish_daily(early.final, early.emptied, root, X.PUBLISH_AS_OF, closed_at, CFG)
+    publish_daily(
+        Q.drop_empty_days(adjusted), Q.emptied_keys(adjusted), root, X.PUBLISH_AS_OF, closed_at, CFG
+    )
+    return root
+
+
+def published_table(spark, sf_dir):
+    root = _publish_two_runs(spark, sf_dir)
+    return _text(spark.read.parquet(f"{root}/{S.DAILY_STATS}"), "day")
+
+
+def closed_table(spark, sf_dir):
+    root = _publish_two_runs(spark, sf_dir)
+    return _text(spark.read.parquet(f"{root}/{S.DAYS_CLOSED}"), "dia")
+
+
 # ------------------------------------------------------------------ orders
 
 
@@ -406,6 +431,7 @@ def queries() -> dict[str, Query]:
         final_daily, unadjusted_daily,
         hours_mismatch, emptied_keys, utilisation_weekday, duplicate_keys, step_rows, moved_rows,
         published_daily, published_daily_narrow, upsert_merge, delete_emptied, days_closed,
+        published_table, closed_table,
         cancel_events, late_events, order_km, dedup_within_file, chained_orders, legacy_late,
         file_days, valid_days, incomplete_files, marked_trips, trip_delays,
         order_delays_published,

@@ -112,6 +112,9 @@ PUBLISHED_TEXT = [
     "flow_type", "market_name", "form_factor",
 ]
 
+# Partition column of the bronze tables: the date of the column that dates a row
+BRONZE_DAY = "_day"
+
 # Published keyed tables: name -> key columns
 DAILY_STATS = "daily_stats"
 DAYS_CLOSED = "days_closed"

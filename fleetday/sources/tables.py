@@ -120,27 +120,29 @@ def merge_table(
     day_column: str,
     updates: DataFrame,
     deletes: DataFrame | None = None,
-) -> DataFrame:
+) -> None:
     """Insert or replace `updates` by key, then remove the keys of `deletes`.
 
-    Rewrites only the days that the changed keys are on now or were on before. Returns the staged
-    updates.
+    Both are read several times, so the caller stages what is costly to compute. Rewrites only the
+    days that the changed keys are on now or were on before.
     """
-    staged = stage(updates, "updates")
-    if not duplicate_keys(staged, keys).isEmpty():
+    if not duplicate_keys(updates, keys).isEmpty():
         raise RepeatedKeys(f"{path}: repeated key in {keys}")
     current = read_table(spark, path)
-    changed = staged.select(*keys)
+    changed = updates.select(*keys)
     if deletes is not None:
         changed = changed.unionByName(deletes.select(*keys)).distinct()
     if current is None:
-        write_table(staged, path, day_column)
-        return staged
+        write_table(updates, path, day_column)
+        return
     current = current.withColumn(day_column, F.col(day_column).cast("string"))
-    touched = set(distinct_days(staged, day_column))
-    touched |= set(distinct_days(current.join(changed, keys, "left_semi"), day_column))
+    if day_column in keys:
+        touched = set(distinct_days(changed, day_column))
+    else:
+        # the earlier row of a key can lie on any day: look it up by the key columns alone
+        touched = set(distinct_days(updates, day_column))
+        touched |= set(distinct_days(current.join(changed, keys, "left_semi"), day_column))
     if touched:
         kept = current.filter(on_days(day_column, sorted(touched))).join(changed, keys, "left_anti")
-        content = kept.unionByName(staged, allowMissingColumns=True)
+        content = kept.unionByName(updates, allowMissingColumns=True)
         replace_days(content, path, day_column, sorted(touched))
-    return staged

@@ -21,3 +21,11 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("ERROR")
     return session
+
+
+@pytest.fixture(autouse=True)
+def _compile_only_the_registered_queries(request, spark):
+    """Compiling a plan costs more than running it on a handful of literal rows."""
+    whole = request.module.__name__ in ("test_oracle", "test_plans")
+    spark.conf.set("spark.sql.codegen.wholeStage", str(whole).lower())
+    spark.conf.set("spark.sql.codegen.factoryMode", "FALLBACK" if whole else "NO_CODEGEN")
