@@ -23,10 +23,10 @@ def parse_ts(c: Column | str, formats: tuple[str, ...] = ()) -> Column:
     A bare year or year-month would cast to its first day, so anything shorter than a full date
     is refused. `formats` are tried after the ISO form.
     """
-    text = F.trim(F.col(c) if isinstance(c, str) else c)
-    parsed = [F.when(F.length(text) >= 10, text.try_cast(NTZ))]
-    parsed += [F.try_to_timestamp(text, F.lit(f)).cast(NTZ) for f in formats]
-    return F.coalesce(*parsed)
+    text = F.col(c) if isinstance(c, str) else c
+    parsed = [F.when(F.length(F.trim(text)) >= 10, text.try_cast(NTZ))]
+    parsed += [F.try_to_timestamp(F.trim(text), F.lit(f)).cast(NTZ) for f in formats]
+    return F.coalesce(*parsed) if formats else parsed[0]
 
 
 def timestamp_column(df: DataFrame, name: str, formats: tuple[str, ...] = ()) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetday import schema as S
@@ -23,21 +23,25 @@ def valid_daily(bronze: DataFrame) -> DataFrame:
     return bronze.filter(F.col("datestr").isNotNull() & F.col("driver_uuid").isNotNull())
 
 
-def recent_window(bronze: DataFrame, cfg: Config) -> DataFrame:
-    """Rows of the days that are recomputed, counted back from the newest day in the data.
+def recent_cutoff(bronze: DataFrame, cfg: Config) -> Column:
+    """First day that is recomputed, counted back from the newest day in the data.
 
     One day more than is published: the first published day needs the day before it as the
-    destination of its early hours. The newest day of the bronze is the newest day of the silver,
-    so the filter sits on the scan instead of behind the shuffles, and prunes the days of a table
-    stored by day.
+    destination of its early hours. The newest day of the bronze is the newest day of the silver, so
+    this is a scalar subquery over one column and can be used at any scan.
     """
     back = max(timedelta(weeks=cfg.reprocess_weeks), timedelta(days=cfg.sync_days))
     back += timedelta(days=1)
-    valid = valid_daily(bronze)
-    newest = valid.agg(F.max("datestr").alias("newest")).scalar()
-    recent = valid.filter(F.col("datestr") >= newest - days(back.days))
+    newest = valid_daily(bronze).agg(F.max("datestr").alias("newest")).scalar()
+    return newest - days(back.days)
+
+
+def recent_window(bronze: DataFrame, cfg: Config) -> DataFrame:
+    """Rows of the days that are recomputed; prunes the days of a table stored by day."""
+    cutoff = recent_cutoff(bronze, cfg)
+    recent = valid_daily(bronze).filter(F.col("datestr") >= cutoff)
     if S.BRONZE_DAY in bronze.columns:
-        recent = recent.filter(F.col(S.BRONZE_DAY) >= F.to_date(newest - days(back.days)))
+        recent = recent.filter(F.col(S.BRONZE_DAY) >= F.to_date(cutoff))
     return recent
 
 

@@ -11,12 +11,19 @@ from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from fleetday import schema as S
 from fleetday.config import Config
 from fleetday.operators import quality as Q
 from fleetday.operators.bronze import catch_up_days
 from fleetday.operators.sessions import early_share, offer_early_share
-from fleetday.operators.silver import build_silver, multi_market_count, trace_rider
+from fleetday.operators.silver import (
+    build_silver,
+    multi_market_count,
+    recent_cutoff,
+    trace_rider,
+)
 from fleetday.operators.transfer import apply_transfer, attach_shares, hours_mismatch
 from fleetday.plans.ingest import ingest
 from fleetday.plans.publish import publish_daily, publish_orders
@@ -76,8 +83,11 @@ def run(
 
     daily = bronze["daily"]
     connections, offers = _non_empty(bronze["connections"]), _non_empty(bronze["offers"])
-    sessions = None if connections is None else early_share(connections, cfg)
-    accepted = None if offers is None else offer_early_share(offers, cfg)
+    # a share belongs to the date its session or offer starts on, and an open session is closed by a
+    # later event: days before the silver's window cannot matter and are not read
+    recent = F.col(S.BRONZE_DAY) >= F.to_date(recent_cutoff(daily, cfg))
+    sessions = None if connections is None else early_share(connections.filter(recent), cfg)
+    accepted = None if offers is None else offer_early_share(offers.filter(recent), cfg)
     silver = stage(build_silver(daily, cfg), "silver")
     adjusted = stage(apply_transfer(silver, sessions, accepted), "adjusted")
 

@@ -159,7 +159,9 @@ def test_whole_run(spark, tmp_path):
         head + "2024-01-08,2024-01-09,a,M,2,2,2\n2024-01-08,2024-01-09,b,M,2,2,2\n")
     put("CONNECTIONS", "connections_20240110_060000.csv",
         "courier_uuid\tstatus\tstart_time\tend_time\n"
-        "a\topen\t2024-01-09 00:30:00\t\na\toffline\t2024-01-09 01:30:00\t\n")
+        "a\topen\t2024-01-09 00:30:00\t\na\toffline\t2024-01-09 01:30:00\t\n"
+        # before the recomputed window: stored, but not read for the shares
+        "a\topen\t2023-12-10 23:00:00\t2023-12-10 23:30:00\n")
     put("CANCEL", "CANCEL_20240110_060000.csv",
         ",".join(S.CANCEL_COLUMNS) + "\n2024-01-09 10:00:00,a,t,o,CANCEL,why,bike\n")
     as_of = datetime(2024, 1, 10, 12)
