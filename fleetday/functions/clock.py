@@ -21,7 +21,8 @@ def parse_ts(c: Column | str, formats: tuple[str, ...] = ()) -> Column:
     """Text to timestamp; unreadable text becomes null.
 
     A bare year or year-month would cast to its first day, so anything shorter than a full date
-    is refused. `formats` are tried after the ISO form.
+    is refused. `formats` are tried after the ISO form; they are read in the session time zone, which
+    should be UTC where they are used.
     """
     text = F.col(c) if isinstance(c, str) else c
     parsed = [F.when(F.length(F.trim(text)) >= 10, text.try_cast(NTZ))]
