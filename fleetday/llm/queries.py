@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetday.llm import mixing, url_filter
+from fleetday.llm import mixing, quality_bayes, quality_rules, url_filter
 from fleetday.llm.common import read
+from fleetday.sources.tables import stage
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +18,13 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", site.alias("rule"), "verdict")
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = quality_rules.judge(docs, quality_rules.fit(docs, read(spark, sf_dir, "labels")))
+    base = [F.col(f"_c.{c}").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
+    return judged.select("doc_id", *base, "base_failed", "kept", "rule_no")
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.curriculum(read(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     start = mixing.training_time(F.col("_before") / F.col("target"), F.col("_pieces"))
@@ -26,7 +34,21 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_quality_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents' source serves as host, source and language as path."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    model = quality_bayes.fit(docs, read(spark, sf_dir, "labels"))
+    # the text is read once: its evidence is a few numbers per document
+    scored = stage(quality_bayes.evidence(docs, model).drop("text"), "evidence")
+    host, path = F.col("source"), F.col("lang")
+    table = quality_bayes.sites(scored, host, path)
+    judged = quality_bayes.judge(scored, table, quality_bayes.priors(table), host, path)
+    return judged.select("doc_id", F.col("_p").alias("p_text"), "host_rate", "site_rate", "p_good", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filter": op3_url_filter,
+    "op6_quality_rules": op6_quality_rules,
     "op7_mixing": op7_mixing,
+    "op8_quality_bayes": op8_quality_bayes,
 }
