@@ -41,6 +41,13 @@ class Condition:
 
 Rule = tuple[Condition, ...]
 
+#: Rates of defects only: long words or short texts are no defect by themselves.
+FEATURES = ("symbols_per_word", "exclaims_per_word", "upper_share", "repeat_share", "same_next_share", "dup_line_share")
+
+
+def features(of: str) -> dict[str, Column]:
+    return {n: c for n, c in ratios(of).items() if n in FEATURES}
+
 
 def _covered(rule: Rule, table: dict[str, np.ndarray], n: int) -> np.ndarray:
     hit = np.ones(n, bool)
@@ -137,8 +144,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str
         most_labels: int = 20_000, **options) -> list[Rule]:
     """The decision list for rows whose label is 0. Only numbers of the bounded sample reach the driver."""
     sample = labelled(docs, labels, label, doc_id, text, most_labels).withColumn("_c", text_counts(F.col("_text")))
-    names = list(ratios("_c"))
-    rows = sample.select("_id", "_label", *[c.alias(n) for n, c in ratios("_c").items()]).toPandas()
+    names = list(features("_c"))
+    rows = sample.select("_id", "_label", *[c.alias(n) for n, c in features("_c").items()]).toPandas()
     if not len(rows):
         return []
     rows = rows.sort_values(["_id", "_label", *names])  # the same list whatever order the rows come in
@@ -150,13 +157,13 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str
 def judge(docs: DataFrame, rules: list[Rule], text: str = "text") -> DataFrame:
     """`docs` with `_c` (counts), `base_failed`, `rule_no` (the rule that rejects, else null) and `kept`."""
     counted = docs.withColumn("_c", text_counts(F.col(text)))
-    features = ratios("_c")
+    rates = features("_c")
     few = F.col("_c.n_words") < 20
     repeats = 100 * F.col("_c.n_repeat_words") > 30 * F.col("_c.n_words")
     return (
-        counted.withColumns({f"_f_{n}": c for n, c in features.items()})
+        counted.withColumns({f"_f_{n}": c for n, c in rates.items()})
         .withColumn("rule_no", decision([tuple(Condition(f"_f_{c.feature}", c.above, c.threshold) for c in r) for r in rules]))
         .withColumn("base_failed", few | repeats)
         .withColumn("kept", ~F.col("base_failed") & F.col("rule_no").isNull())
-        .drop(*[f"_f_{n}" for n in features])
+        .drop(*[f"_f_{n}" for n in rates])
     )

@@ -28,16 +28,16 @@ def ratio(a: Column | str, b: Column | str) -> Column:
 
 
 def ratios(of: str) -> dict[str, Column]:
-    """Scale-free features from a struct of counts; each is defined for empty texts."""
+    """Features from a struct of counts, the most telling first; each is defined for empty texts."""
     c = lambda name: F.col(f"{of}.{name}")
     return {
-        "log_words": F.log1p(c("n_words")),
-        "word_length": ratio(c("word_chars"), c("n_words")),
         "symbols_per_word": ratio(c("n_symbols"), c("n_words")),
         "exclaims_per_word": ratio(c("n_exclaim"), c("n_words")),
         "upper_share": ratio(c("n_upper"), c("n_upper") + c("n_lower")),
         "repeat_share": ratio(c("n_repeat_words"), c("n_words")),
         "same_next_share": ratio(c("n_same_next"), c("n_words")),
         "dup_line_share": ratio(c("n_dup_lines"), c("n_lines")),
+        "log_words": F.log1p(c("n_words")),
+        "word_length": ratio(c("word_chars"), c("n_words")),
         "words_per_line": F.log1p(ratio(c("n_words"), c("n_lines"))),
     }
