@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetday.llm import mixing, quality_bayes, quality_rules, url_filter
+from fleetday.llm import hyperminhash, mixing, quality_bayes, quality_rules, url_filter
 from fleetday.llm.common import read
 from fleetday.sources.tables import stage
 
@@ -46,9 +46,18 @@ def op8_quality_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", F.col("_p").alias("p_text"), "host_rate", "site_rate", "p_good", "kept")
 
 
+def op10_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = hyperminhash.near_duplicates(read(spark, sf_dir, "documents"), percent=85)
+    return found.select(
+        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"),
+        F.col("id").eqNullSafe(F.col("component")).alias("kept"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filter": op3_url_filter,
     "op6_quality_rules": op6_quality_rules,
     "op7_mixing": op7_mixing,
     "op8_quality_bayes": op8_quality_bayes,
+    "op10_hyperminhash": op10_hyperminhash,
 }
