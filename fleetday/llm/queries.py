@@ -7,11 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetday.llm import hyperminhash, mixing, quality_bayes, quality_rules, url_filter
+from fleetday.llm import hyperminhash, mixing, quality_bayes, quality_rules, sentencepiece_viterbi, url_filter
 from fleetday.llm.common import read
 from fleetday.sources.tables import stage
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = sentencepiece_viterbi.encode(F.col("text"))
+    return read(spark, sf_dir, "documents").select("doc_id", ids.alias("ids")).withColumn("n_ids", F.size("ids"))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.judge(read(spark, sf_dir, "pages"), url_filter.default_rules(spark))
     site = F.when(F.col("priority") == 2, F.col("rule"))
@@ -55,6 +60,7 @@ def op10_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_sentencepiece": op2_sentencepiece,
     "op3_url_filter": op3_url_filter,
     "op6_quality_rules": op6_quality_rules,
     "op7_mixing": op7_mixing,
