@@ -7,11 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetday.llm import hyperminhash, mixing, quality_bayes, quality_rules, sentencepiece_viterbi, url_filter
+from fleetday.llm import hyperminhash, mixing, quality_bayes, quality_rules, sentencepiece_viterbi, token_counts, url_filter
 from fleetday.llm.common import read
 from fleetday.sources.tables import stage
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every document, a token counting for the line of its first character."""
+    return token_counts.count(read(spark, sf_dir, "documents"))
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = sentencepiece_viterbi.encode(F.col("text"))
     return read(spark, sf_dir, "documents").select("doc_id", ids.alias("ids")).withColumn("n_ids", F.size("ids"))
@@ -60,6 +65,7 @@ def op10_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_url_filter": op3_url_filter,
     "op6_quality_rules": op6_quality_rules,
