@@ -129,14 +129,17 @@ def decision(rules: list[Rule]) -> Column:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, doc_id: str, text: str, most: int) -> DataFrame:
-    """(doc_id, text, label) of at most `most` labelled rows, those with the smallest hash."""
+    """(doc_id, text, label) of at most `most` labelled rows, those with the smallest hash.
+
+    The broadcast is bounded by `most` pairs of numbers, whatever the size of the tables.
+    """
     key = F.xxhash64("_label_id", "_label")
     chosen = (
         labels.select(F.col(doc_id).alias("_label_id"), F.col(label).cast("int").alias("_label"))
         .where("_label in (0, 1) and _label_id is not null").orderBy(key, "_label_id", "_label").limit(most)
     )
     return docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(
-        chosen, F.col("_id") == F.col("_label_id")
+        F.broadcast(chosen), F.col("_id") == F.col("_label_id")
     ).select("_id", "_text", "_label")
 
 
