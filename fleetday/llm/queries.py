@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetday.llm import hyperminhash, mixing, quality_bayes, quality_rules, sentencepiece_viterbi, token_counts, url_filter
+from fleetday.llm import hyperminhash, mixing, quality_bayes, quality_rules, sentencepiece_viterbi, token_counts, toxicity_crf, url_filter
 from fleetday.llm.common import read
 from fleetday.sources.tables import stage
 
@@ -28,6 +28,15 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", site.alias("rule"), "verdict")
 
 
+def op4_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity_crf.score(docs, *toxicity_crf.fit(docs, read(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id", toxicity_crf.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"), "spans",
+    )
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     judged = quality_rules.judge(docs, quality_rules.fit(docs, read(spark, sf_dir, "labels")))
@@ -68,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_url_filter": op3_url_filter,
+    "op4_toxicity_crf": op4_toxicity_crf,
     "op6_quality_rules": op6_quality_rules,
     "op7_mixing": op7_mixing,
     "op8_quality_bayes": op8_quality_bayes,
