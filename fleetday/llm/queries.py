@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetday.llm import hyperminhash, mixing, quality_bayes, quality_rules, sentencepiece_viterbi, token_counts, toxicity_crf, url_filter
+from fleetday.llm import hyperminhash, mixing, pstable, quality_bayes, quality_rules, sentencepiece_viterbi, token_counts, toxicity_crf, url_filter
 from fleetday.llm.common import read
 from fleetday.sources.tables import stage
 
@@ -37,6 +37,14 @@ def op4_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_pstable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pstable.near_duplicates(read(spark, sf_dir, "embeddings"), threshold=0.95)
+    return found.select(
+        F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"),
+        F.col("id").eqNullSafe(F.col("component")).alias("kept"),
+    )
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     judged = quality_rules.judge(docs, quality_rules.fit(docs, read(spark, sf_dir, "labels")))
@@ -78,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sentencepiece": op2_sentencepiece,
     "op3_url_filter": op3_url_filter,
     "op4_toxicity_crf": op4_toxicity_crf,
+    "op5_pstable": op5_pstable,
     "op6_quality_rules": op6_quality_rules,
     "op7_mixing": op7_mixing,
     "op8_quality_bayes": op8_quality_bayes,
