@@ -242,4 +242,7 @@ def decode(ids: Column, path: str = MODEL) -> Column:
     return text(ids)
 
 
-_encoder = lru_cache(maxsize=4)(encoder)  # one memory per Python worker
+@lru_cache(maxsize=4)
+def _encoder(path: str, merges: bool):
+    """One encoder, and so one memory, per Python worker."""
+    return encoder(path, merges)
