@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetday.llm import hyperminhash, mixing, pstable, quality_bayes, quality_rules, sentencepiece_viterbi, token_counts, toxicity_crf, url_filter
+from fleetday.llm import html_consensus, hyperminhash, mixing, pstable, quality_bayes, quality_rules, sentencepiece_viterbi, token_counts, toxicity_crf, url_filter
 from fleetday.llm.common import read
 from fleetday.sources.tables import stage
 
@@ -73,6 +73,11 @@ def op8_quality_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", F.col("_p").alias("p_text"), "host_rate", "site_rate", "p_good", "kept")
 
 
+def op9_html_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_consensus.extract(read(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op10_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = hyperminhash.near_duplicates(read(spark, sf_dir, "documents"), percent=85)
     return found.select(
@@ -90,5 +95,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_rules": op6_quality_rules,
     "op7_mixing": op7_mixing,
     "op8_quality_bayes": op8_quality_bayes,
+    "op9_html_consensus": op9_html_consensus,
     "op10_hyperminhash": op10_hyperminhash,
 }
