@@ -1,12 +1,71 @@
-"""The training-data pipeline."""
+"""The training-data pipeline: five operators of `fleetday.llm`, one after the other, over all documents.
+
+Every stage takes (spark, docs, sf_dir) and works on all rows that the stage before it kept. The first
+four return the columns of documents; the last returns the encoded mix. Null ids, empty texts, repeated
+rows and empty tables are handled as the operators' docstrings say.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from fleetday.llm import hyperminhash, mixing, quality_bayes, quality_rules, sentencepiece_viterbi
+from fleetday.llm.common import read
+from fleetday.sources.tables import stage
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the site-aware classifier accepts. The source serves as host, the language as path."""
+    model = quality_bayes.fit(docs, read(spark, sf_dir, "labels"))
+    scored = quality_bayes.evidence(docs, model)
+    host, path = F.col("source"), F.col("lang")
+    table = quality_bayes.sites(scored, host, path)
+    return quality_bayes.judge(scored, table, quality_bayes.priors(table), host, path).where("kept").select(docs.columns)
+
+
+def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rule and the learned decision list."""
+    learned = quality_rules.fit(docs, read(spark, sf_dir, "labels"))
+    return quality_rules.judge(docs, learned).where("kept").select(docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that with the smallest id, of every group of near-duplicates; rows without an id stay."""
+    found = hyperminhash.near_duplicates(docs)
+    gone = found.where("id <> component").select(F.col("id").alias("doc_id")).distinct()
+    # rows that share an id are one document: both steps work on one partitioning by id
+    kept = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"]).select(docs.columns)
+    return kept.unionByName(docs.where("doc_id is null"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The copies that the mix takes, in training order."""
+    taken = mixing.positions(mixing.curriculum(docs))
+    return mixing.in_training_order(taken).select(docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, source, ids, n_ids) of every copy in the mix."""
+    ids = sentencepiece_viterbi.encode(F.col("text"))
+    return docs.select("doc_id", "source", ids.alias("ids")).withColumn("n_ids", F.size("ids"))
+
+
+STAGES = [
+    ("quality_classifier", quality_classifier),
+    ("quality_rules", rules),
+    ("near_duplicates", near_duplicates),
+    ("mixing", mix),
+    ("sentencepiece", encode),
+]
 
-STAGES: list = []
+#: The classifiers are learned and the encoder is a search; no SQL gives these rows.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The stages applied to documents, each written and read again."""
+    docs = read(spark, sf_dir, "documents")
+    for name, step in STAGES:
+        docs = stage(step(spark, docs, sf_dir), name)
+    return docs
