@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +34,25 @@ def _literal(value) -> Column:
     return F.lit(value)
 
 
+def pack(keys: list[str], rows: int, per_pack: int = 512) -> Column:
+    """A number that puts small groups together, `per_pack` rows on average; a group is never split.
+
+    A Python call per group of two rows costs far more than its work.
+    """
+    return F.pmod(F.xxhash64(*keys), F.lit(max(1, -(-rows // per_pack))))
+
+
+def runs(columns: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+    """Begin and end of the runs of equal rows in sorted columns."""
+    if not len(columns[0]):
+        return
+    new = np.zeros(len(columns[0]), bool)
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    at = np.concatenate([[0], np.flatnonzero(new), [len(new)]]).tolist()
+    yield from zip(at[:-1], at[1:])
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) of every node that an edge touches; component is the smallest node of its part.
 

@@ -1,8 +1,7 @@
 """Near-duplicate vectors by Euclidean p-stable hashing, confirmed by exact cosines.
 
-Vectors are normalised, so a cosine is a distance. Several tables hash every vector by PROJECTIONS
-projections on normal directions, quantised in steps of WIDTH; vectors with equal codes in some table are
-candidates. Every candidate pair's cosine is then computed in double precision.
+Vectors are normalised, so a cosine is a distance. Several tables hash every vector by projections on
+normal directions, quantised in steps of WIDTH; vectors with equal codes in some table are candidates. Every candidate pair's cosine is then computed in double precision.
 
 Vectors with equal components are one node with a count. The nodes of a bucket are cut into blocks that
 meet pairwise, so a bucket of any size is shared by many tasks; a pair counts in the first table that it
@@ -18,6 +17,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -25,16 +26,21 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetday.llm.common import components
+from fleetday.llm.common import components, pack, runs
 from fleetday.sources.tables import stage
 
-TABLES = 40
-PROJECTIONS = 10
 WIDTH = 1.25
+RECALL = 0.99
 #: Rows of a bucket that meet in one task, squared per pair of blocks.
 BLOCK = 128
 
 
+@dataclass(frozen=True)
+class Hashing:
+    tables: int
+    projections: int
+
+
 def collision(distance: float, width: float = WIDTH) -> float:
     """Probability that one quantised projection of two vectors at this distance agrees."""
     r = width / distance
@@ -42,25 +48,26 @@ def collision(distance: float, width: float = WIDTH) -> float:
     return 1 - 2 * normal - 2 / (math.sqrt(2 * math.pi) * r) * (1 - math.exp(-r * r / 2))
 
 
-def recall(cosine: float) -> float:
-    """Expected share of the pairs at this cosine that share a table."""
-    one = collision(math.sqrt(2 - 2 * cosine)) ** PROJECTIONS
-    return 1 - (1 - one) ** TABLES
+def plan(n: int, threshold: float, recall: float = RECALL) -> Hashing:
+    """As many projections as leave one unrelated (orthogonal) vector in a bucket of n vectors, and as many
+    tables as find `recall` of the pairs exactly at the threshold (more of all closer pairs)."""
+    projections = max(4, math.ceil(math.log(max(2, n)) / -math.log(collision(math.sqrt(2)))))
+    found = collision(math.sqrt(max(1e-6, 2 - 2 * threshold))) ** projections
+    return Hashing(max(1, math.ceil(math.log(1 - recall) / math.log1p(-found))) if found < 1 else 1, projections)
 
 
-def _directions(size: int) -> tuple[np.ndarray, np.ndarray]:
+@lru_cache(maxsize=16)
+def _directions(size: int, h: Hashing) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     rng = np.random.default_rng(20240503 + size)
-    return rng.normal(size=(size, TABLES * PROJECTIONS)), rng.uniform(0, WIDTH, TABLES * PROJECTIONS)
-
-
-_MULTIPLIER = np.random.default_rng(20240504).integers(1, 1 << 63, (TABLES, PROJECTIONS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    multiplier = rng.integers(1, 1 << 63, (h.tables, h.projections), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    return rng.normal(size=(size, h.tables * h.projections)), rng.uniform(0, WIDTH, h.tables * h.projections), multiplier
 
 
-def bucket_keys(unit: np.ndarray) -> np.ndarray:
+def bucket_keys(unit: np.ndarray, h: Hashing) -> np.ndarray:
     """A 64-bit bucket per row and table."""
-    direction, shift = _directions(unit.shape[1])
+    direction, shift, multiplier = _directions(unit.shape[1], h)
     code = np.floor((unit @ direction + shift) / WIDTH).astype(np.int64).view(np.uint64)
-    key = (code.reshape(len(unit), TABLES, PROJECTIONS) * _MULTIPLIER).sum(-1, dtype=np.uint64)
+    key = (code.reshape(len(unit), h.tables, h.projections) * multiplier).sum(-1, dtype=np.uint64)
     return (key ^ (key >> np.uint64(29))).view(np.int64)
 
 
@@ -77,63 +84,69 @@ def usable(vector: Column) -> Column:
     return F.coalesce(~F.exists(v, bad) & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
-def _pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, v, copies) to (node, packed vector, copies, bucket keys of all tables)."""
-    for batch in batches:
-        node, lists, copies = batch.columns
-        packed = [np.array(v, np.float64).tobytes() for v in lists.to_pylist()]
-        keys: list = [None] * len(packed)
-        by_size: dict[int, list[int]] = {}
-        for i, v in enumerate(packed):
-            by_size.setdefault(len(v), []).append(i)
-        for at in by_size.values():
-            for i, k in zip(at, bucket_keys(units([packed[i] for i in at]))):
-                keys[i] = k
-        yield pa.RecordBatch.from_arrays(
-            [node, pa.array(packed, pa.binary()), copies, pa.array(keys, pa.list_(pa.int64()))],
-            names=["node", "vector", "copies", "keys"],
-        )
-
-
-def _block(threshold: float):
+def _hash(h: Hashing):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(node, v, copies) to (node, packed vector, copies, bucket keys of all tables)."""
+        for batch in batches:
+            node, lists, copies = batch.columns
+            packed = [np.array(v, np.float64).tobytes() for v in lists.to_pylist()]
+            keys: list = [None] * len(packed)
+            by_size: dict[int, list[int]] = {}
+            for i, v in enumerate(packed):
+                by_size.setdefault(len(v), []).append(i)
+            for at in by_size.values():
+                for i, k in zip(at, bucket_keys(units([packed[i] for i in at]), h)):
+                    keys[i] = k
+            yield pa.RecordBatch.from_arrays(
+                [node, pa.array(packed, pa.binary()), copies, pa.array(keys, pa.list_(pa.int64()))],
+                names=["node", "vector", "copies", "keys"],
+            )
+
+    return run
+
+
+KEYS = ["size", "t", "key", "i", "j"]
+
+
+def _pairs(threshold: float):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        """Counts of linked rows per node, and links that join what this pair of blocks joins."""
-        table = int(rows["t"].iloc[0])
-        rows = rows.sort_values("node", ignore_index=True)
-        left, right = rows[rows["side"] == 0], rows[rows["side"] == 1]
-        same = rows["i"].iloc[0] == rows["j"].iloc[0]
-        right = left if same else right
-        if not len(left) or not len(right):
-            return pd.DataFrame({c: pd.array([], "Int64") for c in "abn"})
-        x, y = units(list(left["vector"])), units(list(right["vector"]))
-        hit = x @ y.T >= threshold
-        if same:
-            hit = np.triu(hit, 1)
-        kx, ky = (np.array([list(k) for k in r["keys"]]) for r in (left, right))
-        i, j = np.nonzero(hit)
-        if table and len(i):
-            first = ~(kx[i, :table] == ky[j, :table]).any(1)  # no earlier table has found the pair
-            i, j = i[first], j[first]
-        nx, ny = left["node"].to_numpy(), right["node"].to_numpy()
-        cx, cy = left["copies"].to_numpy(), right["copies"].to_numpy()
+        """Counts of linked rows per node, and links that join what these pairs of blocks join."""
+        rows = rows.sort_values([*KEYS, "side", "node"], ignore_index=True)
+        columns = {c: rows[c].to_numpy() for c in (*KEYS, "side", "node", "copies")}
+        vectors, keys = rows["vector"].to_numpy(), rows["keys"].to_numpy()
         count: dict[int, int] = {}
-        for nodes, at, others in ((nx, i, cy[j]), (ny, j, cx[i])):
-            for k, v in zip(nodes, np.bincount(at, others, len(nodes)).astype(np.int64)):
-                if v:
-                    count[int(k)] = count.get(int(k), 0) + int(v)
         root: dict[int, int] = {}
+        links = []
 
         def find(a: int) -> int:
             while root.get(a, a) != a:
-                a = root[a]
+                root[a] = a = root.get(root[a], root[a])
             return a
 
-        links = []
-        for a, b in zip(nx[i].tolist(), ny[j].tolist()):
-            p, q = find(a), find(b)
-            if p != q:
-                root[max(p, q)] = min(p, q)
-                links.append((a, b, 0))
+        for a, b in runs([columns[k] for k in KEYS]):
+            same = columns["i"][a] == columns["j"][a]
+            m = b if same else a + int((columns["side"][a:b] == 0).sum())
+            left, right = slice(a, m), slice(a, b) if same else slice(m, b)
+            if m == a or right.start == right.stop:
+                continue
+            x = units(vectors[left])
+            hit = x @ (x if same else units(vectors[right])).T >= threshold
+            i, j = np.nonzero(np.triu(hit, 1) if same else hit)
+            i, j = i + left.start, j + right.start
+            t = int(columns["t"][a])
+            if t and len(i):
+                # a pair counts in the first table that it shares
+                ours = np.stack(keys[a:b])[:, :t]
+                new = ~(ours[i - a] == ours[j - a]).any(1)
+                i, j = i[new], j[new]
+            for at, others in ((i, columns["copies"][j]), (j, columns["copies"][i])):
+                for k, v in zip(columns["node"][at].tolist(), others.tolist()):
+                    count[k] = count.get(k, 0) + v
+            for p, q in zip(columns["node"][i].tolist(), columns["node"][j].tolist()):
+                r, s = find(p), find(q)
+                if r != s:
+                    root[max(r, s)] = min(r, s)
+                    links.append((p, q, 0))
         out = links + [(a, None, n) for a, n in count.items()]
         return pd.DataFrame(out, columns=["a", "b", "n"]).astype({"a": "Int64", "b": "Int64", "n": "Int64"})
 
@@ -149,26 +162,26 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     classes = stage(
         rows.where("v is not null").groupBy("v").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("copies")), "vectors"
     )
+    h = plan(classes.count(), threshold)
     nodes = stage(
-        classes.select("node", "v", "copies").mapInArrow(_pack, "node long, vector binary, copies long, keys array<long>"), "nodes"
+        classes.select("node", "v", "copies").mapInArrow(_hash(h), "node long, vector binary, copies long, keys array<long>"), "nodes"
     )
     rows_of = nodes.select("node", F.length("vector").alias("size"), F.posexplode("keys").alias("t", "key"))
     shared = stage(
         rows_of.groupBy("size", "t", "key").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-        .select("size", "t", "key", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks")),
+        .withColumn("blocks", F.ceil(F.col("c") / BLOCK).cast("int")),
         "buckets",
     )
-    members = rows_of.join(shared, ["size", "t", "key"]).withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    met = shared.agg(F.sum(F.col("c") * F.col("blocks"))).first()[0] or 0
+    members = rows_of.join(shared.drop("c"), ["size", "t", "key"]).withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     # block i meets every block j >= i; a row goes to all pairs of blocks that its own belongs to
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = members.withColumn("other", other).select(
         "node", "size", "t", "key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
         (F.col("mine") > F.col("other")).cast("int").alias("side"),
     )
-    full = dealt.join(nodes, "node")
-    found = stage(
-        full.groupBy("size", "t", "key", "i", "j").applyInPandas(_block(threshold), "a long, b long, n long"), "found"
-    )
+    full = dealt.join(nodes, "node").withColumn("pack", pack(KEYS, met))
+    found = stage(full.groupBy("pack").applyInPandas(_pairs(threshold), "a long, b long, n long"), "found")
     counts = found.where("b is null").groupBy("a").agg(F.sum("n").alias("n"))
     parts = components(found.where("b is not null"))
     labels = (
