@@ -3,9 +3,9 @@
 Documents are labelled, words are not. Words of toxic documents are labelled toxic if the word or one of
 its beginnings is met far more often in toxic than in clean documents; occurrences are counted by distinct
 word before them, so that copies of a document count once. A two-state chain over the words is trained on
-these labels. Forward-backward marginals of every word of a whole text are summed into a document score,
-which a logistic curve fitted to the document labels turns into a probability; runs of words that are
-more likely toxic than not are the offending offsets.
+these labels. Forward-backward marginals of every word of a whole text are aggregated (evidence and density of
+words more likely toxic than not), and a logistic curve fitted to the document labels turns them into the
+document's score; runs of such words are the offending offsets.
 
 Defined cases: a null or empty text has no spans and the score of a text without any evidence; without
 labels of both kinds nothing is learned and every score is the share of toxic labels (0 without labels);
@@ -19,6 +19,7 @@ smallest hashes); scoring uses every word of every text.
 from __future__ import annotations
 
 import math
+from array import array
 from collections import defaultdict
 from dataclasses import dataclass
 from functools import lru_cache
@@ -48,7 +49,7 @@ def normal(word: str) -> str:
     return word[a:b]
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=50_000)
 def strings(word: str) -> tuple[str, ...]:
     """The word itself and its beginnings."""
     w = normal(word)
@@ -61,7 +62,7 @@ class Crf:
     bias: float
     start: tuple[float, float]
     move: tuple[tuple[float, float], tuple[float, float]]
-    curve: tuple[float, float, float]  # of the document score: constant, log of the sum, log-odds of the top word
+    curve: tuple[float, float, float]  # of the document score: constant and factors of `summary`
 
     def evidence(self, word: bytes) -> float:
         return self.bias + sum(self.weights.get(s, 0.0) for s in strings(word.decode("utf-8", "replace")))
@@ -132,75 +133,93 @@ def marginals(evidence: np.ndarray, first: np.ndarray, start: np.ndarray, move:
 # ---- learning, on the bounded sample -------------------------------------------------------------
 
 
-def _label_strings(toxic: list[list[str]], clean: list[list[str]], least: float = 25.0, ratio: float = 20.0) -> tuple[set[str], set[str]]:
+def _words(text: str) -> list[str]:
+    return [w.decode("utf-8", "replace") for w in text.encode().split()]
+
+
+def _distinct_contexts(texts: list[str], ids: dict[str, int], grow: bool) -> np.ndarray:
+    """Per string, the number of different words in front of it; `grow` adds new strings to `ids`."""
+    pairs: list[np.ndarray] = []
+    words: dict[str, tuple[int, tuple[int, ...]]] = {}
+    for text in texts:
+        before, found = 0, []
+        for w in _words(text):
+            got = words.get(w)
+            if got is None:
+                have = (ids.setdefault(s, len(ids)) if grow else ids.get(s, -1) for s in strings(w))
+                got = words[w] = (len(words) + 1, tuple(i << 32 for i in have if i >= 0))
+            found += [i | before for i in got[1]]
+            before = got[0]
+        pairs.append(np.unique(np.array(found, np.int64)))
+    every = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64)
+    return np.bincount(every >> 32, minlength=len(ids))
+
+
+def _label_strings(toxic: list[str], clean: list[str], least: float = 25.0, ratio: float = 20.0) -> tuple[set[str], set[str]]:
     """Strings that mark toxic words, and all strings met behind three different words in toxic texts."""
-    contexts: dict[str, set[int]] = defaultdict(set)
-    for words in toxic:
-        before = ""
-        for w in words:
-            for s in strings(w):
-                contexts[s].add(hash(before))
-            before = w
-    known = {s for s, c in contexts.items() if len(c) >= 3}
-    clear: dict[str, set[int]] = defaultdict(set)
-    for words in clean:
-        before = ""
-        for w in words:
-            for s in strings(w):
-                if s in known:
-                    clear[s].add(hash(before))
-            before = w
-    n, m = sum(map(len, toxic)), sum(map(len, clean))
+    ids: dict[str, int] = {}
+    a = _distinct_contexts(toxic, ids, True)
+    ids = {s: i for s, i in ids.items() if a[i] >= 3}
+    back = list(ids.values())
+    ids = dict(zip(ids, range(len(ids))))
+    a, b = a[back], _distinct_contexts(clean, ids, False)
+    n, m = (sum(len(t.encode().split()) for t in texts) for texts in (toxic, clean))
     share = n / max(1, n + m)
-    marks = set()
-    for s in known:
-        a, b = len(contexts[s]), len(clear[s])
-        if a * m < ratio * (b + 0.5) * n:
-            continue
-        g = 2 * (a * math.log(a / ((a + b) * share)) + (b * math.log(b / ((a + b) * (1 - share))) if b else 0.0))
-        if g >= least:
-            marks.add(s)
-    return marks, known
-
-
-def learn(toxic: list[str], clean: list[str], toxic_rate: float, rounds: int = 50, ridge: float = 1e-2, most_chunks: int = 6_000) -> Crf | None:
+    with np.errstate(divide="ignore", invalid="ignore"):
+        g = 2 * (a * np.log(a / ((a + b) * share)) + np.where(b > 0, b * np.log(b / ((a + b) * (1 - share))), 0.0))
+    mark = (a * m >= ratio * (b + 0.5) * n) & (g >= least)
+    return {s for s, i in ids.items() if mark[i]}, set(ids)
+
+
+def learn(toxic: list[str], clean: list[str], toxic_rate: float, rounds: int = 100, ridge: float = 1e-3, most_chunks: int = 6_000) -> Crf | None:
     """The chain's weights by gradient ascent on the likelihood of the word labels."""
-    texts = [[w.decode("utf-8", "replace") for w in t.encode().split()] for t in (*dict.fromkeys(toxic), *dict.fromkeys(clean))]
-    n_toxic = len(dict.fromkeys(toxic))
-    marks, known = _label_strings(texts[:n_toxic], texts[n_toxic:])
+    toxic, clean = list(dict.fromkeys(toxic)), list(dict.fromkeys(clean))
+    marks, known = _label_strings(toxic, clean)
     if not marks:
         return None
-    found: dict[str, tuple[bool, tuple[str, ...]]] = {}
+    texts = toxic + clean
+
+    seen: dict[str, tuple[bool, tuple[str, ...]]] = {}
 
-    def look(word: str) -> tuple[bool, tuple[str, ...]]:
-        got = found.get(word)
-        if got is None:
-            have = strings(word)
-            got = found[word] = (any(s in marks for s in have), tuple(s for s in have if s in known))
-        return got
+    def labelled(text: str, is_toxic: bool) -> list[tuple[bool, tuple[str, ...]]]:
+        out = []
+        for w in _words(text):
+            got = seen.get(w)
+            if got is None:
+                have = strings(w)
+                got = seen[w] = (any(s in marks for s in have), tuple(s for s in have if s in known))
+            out.append((got[0] and is_toxic, got[1]))
+        return out
 
+    # chunks of words, as (text, first word): those with toxic words and others
     with_marks, without = [], []
-    for i, words in enumerate(texts):
-        for at in range(0, len(words), _CHUNK):
-            chunk = words[at : at + _CHUNK]
-            hit = i < n_toxic and any(look(w)[0] for w in chunk)
-            (with_marks if hit else without).append((chunk, i < n_toxic))
+    for i, text in enumerate(texts):
+        hits = [h for h, _ in labelled(text, i < len(toxic))]
+        for at in range(0, len(hits), _CHUNK):
+            (with_marks if any(hits[at : at + _CHUNK]) else without).append((i, at))
     rng = np.random.default_rng(7)
     for group in (with_marks, without):
         rng.shuffle(group)
-    chunks = with_marks[: most_chunks // 3] + without[: most_chunks - most_chunks // 3]
+    chosen: dict[int, list[int]] = defaultdict(list)
+    for i, at in with_marks[: most_chunks // 3] + without[: most_chunks - most_chunks // 3]:
+        chosen[i].append(at)
+    chunks = []
+    for i in sorted(chosen):
+        words = labelled(texts[i], i < len(toxic))
+        if len(seen) > REMEMBERED:
+            seen.clear()
+        chunks += [words[at : at + _CHUNK] for at in sorted(chosen[i])]
     index: dict[str, int] = {}
-    place, feature = [], []
+    place, feature = array("q"), array("q")
     y = np.zeros((len(chunks), _CHUNK))
     real = np.zeros((len(chunks), _CHUNK), bool)
-    for i, (chunk, is_toxic) in enumerate(chunks):
-        for j, w in enumerate(chunk):
-            mark, have = look(w)
-            real[i, j], y[i, j] = True, mark and is_toxic
+    for i, chunk in enumerate(chunks):
+        for j, (mark, have) in enumerate(chunk):
+            real[i, j], y[i, j] = True, mark
             for s in have:
                 place.append(i * _CHUNK + j)
                 feature.append(index.setdefault(s, len(index)))
-    place, feature = np.array(place, np.int64), np.array(feature, np.int64)
+    place, feature = (np.frombuffer(x, np.int64) if len(x) else np.zeros(0, np.int64) for x in (place, feature))
     n = real.sum()
     w = np.zeros(len(index) + 7)  # then: bias, start (2), move (4)
     flat_real, size = real.reshape(-1), real.size
@@ -234,13 +253,13 @@ def learn(toxic: list[str], clean: list[str], toxic_rate: float, rounds: int = 5
     k = len(index)
     weights = {s: float(w[i]) for s, i in index.items() if abs(w[i]) > 1e-3}
     model = Crf(weights, float(w[k]), tuple(map(float, w[k + 1 : k + 3])), tuple(tuple(map(float, r)) for r in w[k + 3 :].reshape(2, 2)), (0.0, 0.0, 0.0))
-    return _with_curve(model, [*dict.fromkeys(toxic)], [*dict.fromkeys(clean)], toxic_rate)
+    return _with_curve(model, toxic, clean, toxic_rate)
 
 
 def summary(p: np.ndarray) -> tuple[float, float]:
-    """Log of the expected number of toxic words, and log-odds of the most toxic one."""
-    total, top = (float(p.sum()), float(p.max())) if len(p) else (0.0, 0.0)
-    return math.log(total + 1e-3), math.log((top + 1e-4) / (1 - top + 1e-4))
+    """Log of the evidence of all words that are more likely toxic than not, and log of their density."""
+    odds = np.log((p + 1e-6) / (1 - p + 1e-6))
+    return math.log1p(float(np.maximum(odds, 0).sum())), math.log((float(p[p > 0.5].sum()) + 0.05) / (len(p) + 20))
 
 
 def _with_curve(model: Crf, toxic: list[str], clean: list[str], rate: float) -> Crf:
@@ -342,7 +361,7 @@ def held_out(doc_id: Column) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
-        most_toxic: int = 2_000, most_clean: int = 6_000, most_chars: int = 20_000) -> tuple[Crf | None, float]:
+        most_toxic: int = 1_500, most_clean: int = 3_000, most_chars: int = 20_000) -> tuple[Crf | None, float]:
     """The model and the share of toxic labels, from labelled rows that are not held out."""
     usable = labels.select(F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("_y")).where(
         F.col("_y").isin(0, 1) & F.col("_id").isNotNull() & ~held_out(F.col("_id"))
