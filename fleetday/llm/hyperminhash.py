@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetday.llm.common import components
+from fleetday.llm.common import components, pack, runs
 from fleetday.llm.text import mix, shingle_set, word_hashes
 from fleetday.sources.tables import stage
 
@@ -178,41 +178,80 @@ def leader_links(bands: DataFrame, nodes: DataFrame, texts: DataFrame, percent:
     )
 
 
-def _block_links(percent: int, k: int):
-    def run(block: pd.DataFrame) -> pd.DataFrame:
-        """Links between a block of probes and a block of members that no other block has to find."""
-        block = block.sort_values(["probe", "id"], ascending=[False, True], ignore_index=True)
-        probes = int(block["probe"].sum())
-        regs = np.stack([np.frombuffer(r, np.uint16) for r in block["regs"]])
-        keys = band_keys(regs)
-        own = keys == block["band"].iloc[0]
-        ids, n, part = (block[c].to_numpy() for c in ("id", "n", "component"))
-        outside = block["outside"].to_numpy(bool)
-        roots: dict = {}
-        sets: dict[int, np.ndarray] = {}
-
-        def root(x):
-            while roots.get(x, x) != x:
-                x = roots[x]
-            return x
+KEYS = ["band", "i", "j"]
+
+
+def _blocks(rows: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray, np.ndarray, list[tuple[int, int]]]:
+    """Rows by block, each block's probes first, with registers, band keys and the blocks' ends."""
+    rows = rows.sort_values([*KEYS, "probe", "id"], ascending=[True, True, True, False, True], ignore_index=True)
+    regs = np.frombuffer(b"".join(rows["regs"]), np.uint16).reshape(-1, REGISTERS)
+    return rows, regs, band_keys(regs), list(runs([rows[k].to_numpy() for k in KEYS]))
 
+
+def _fits(block: slice, i: int, columns: dict[str, np.ndarray], regs: np.ndarray, keys: np.ndarray, percent: int) -> np.ndarray:
+    """The members of a block that the probe i has to be compared with.
+
+    They lie in another component, are likely to be similar and share no earlier band with it; of two
+    nodes outside the main component, the one with the larger id is the member.
+    """
+    part, ids, n = columns["component"], columns["id"], columns["n"]
+    fits = (part[block] != part[i]) & (~columns["outside"][block] | (ids[block] > ids[i]))
+    at = np.flatnonzero(fits) + block.start
+    if not len(at):
+        return at
+    at = at[estimate(regs[at], regs[i], n[at], n[i]) >= percent / 100 - MARGIN]
+    band = (keys[i] == columns["band"][i]).argmax()
+    return at[(keys[at] == keys[i]).argmax(1) == band] if len(at) else at
+
+
+def _columns(rows: pd.DataFrame) -> dict[str, np.ndarray]:
+    return {c: rows[c].to_numpy(bool if c in ("outside", "probe") else np.int64) for c in ("band", "id", "component", "n", "outside", "probe")}
+
+
+def _likely_rows(percent: int):
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        """The rows of these blocks whose texts have to be compared."""
+        rows, regs, keys, ends = _blocks(rows)
+        columns = _columns(rows)
+        wanted = np.zeros(len(rows), bool)
+        for a, b in ends:
+            probes = int(columns["probe"][a:b].sum())
+            for i in range(a, a + probes):
+                at = _fits(slice(a + probes, b), i, columns, regs, keys, percent)
+                if len(at):
+                    wanted[at] = wanted[i] = True
+        return rows.loc[wanted, [*KEYS, "id", "component", "outside", "probe", "n", "regs"]]
+
+    return run
+
+
+def _block_links(percent: int, k: int):
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        """Links that join the components which these blocks join."""
+        rows, regs, keys, ends = _blocks(rows)
+        columns, texts = _columns(rows), rows["text"].to_numpy()
         found = []
-        for i in range(probes):
-            fits = estimate(regs[probes:], regs[i], n[probes:], n[i]) >= percent / 100 - MARGIN
-            fits &= (part[probes:] != part[i]) & (~outside[probes:] | (ids[probes:] > ids[i]))
-            for j in np.flatnonzero(fits) + probes:
-                # a pair belongs to the first band that it shares
-                if (keys[i] == keys[j]).argmax() != own[i].argmax():
-                    continue
-                a, b = root(part[i]), root(part[j])
-                if a == b:
-                    continue
-                for x in (i, j):
-                    if x not in sets:
-                        sets[x] = shingles(block["text"].iloc[x].encode(), k)
-                if similar(sets[i], sets[j], percent):
-                    roots[max(a, b)] = min(a, b)
-                    found.append((ids[i], ids[j]))
+        for a, b in ends:
+            roots: dict[int, int] = {}
+            sets: dict[int, np.ndarray] = {}
+
+            def root(x: int) -> int:
+                while roots.get(x, x) != x:
+                    x = roots[x]
+                return x
+
+            probes = int(columns["probe"][a:b].sum())
+            for i in range(a, a + probes):
+                for j in _fits(slice(a + probes, b), i, columns, regs, keys, percent).tolist():
+                    p, q = root(int(columns["component"][i])), root(int(columns["component"][j]))
+                    if p == q:
+                        continue
+                    for x in (i, j):
+                        if x not in sets:
+                            sets[x] = shingles(texts[x].encode(), k)
+                    if similar(sets[i], sets[j], percent):
+                        roots[max(p, q)] = min(p, q)
+                        found.append((columns["id"][i], columns["id"][j]))
         return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
 
     return run
@@ -231,16 +270,23 @@ def remaining_links(bands: DataFrame, parts: DataFrame, nodes: DataFrame, texts:
         "band", F.col("top.component").alias("main"),
         F.ceil(F.col("total") / BLOCK).cast("int").alias("blocks"),
         F.ceil((F.col("total") - F.col("top.c")) / BLOCK).cast("int").alias("probe_blocks"),
+        "total", (F.col("total") - F.col("top.c")).alias("outsiders"),
     )
+    mixed = stage(mixed, "mixed")
+    size = mixed.agg(F.sum(F.col("total") * F.col("probe_blocks") + F.col("outsiders") * F.col("blocks"))).first()[0] or 0
     mine = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     rows = members.join(mixed, "band").withColumn("outside", F.col("component") != F.col("main"))
-    columns = ["band", "id", "component", "outside", "i", "j", "probe"]
+    columns = [*KEYS, "id", "component", "outside", "probe"]
     probe = rows.where("outside").withColumn("j", mine("probe_blocks")).withColumn("i", every("blocks")).withColumn("probe", F.lit(True))
     member = rows.withColumn("i", mine("blocks")).withColumn("j", every("probe_blocks")).withColumn("probe", F.lit(False))
     dealt = probe.select(columns).union(member.select(columns))
-    full = dealt.join(nodes.select("id", "n", "regs"), "id").join(texts, "id")
-    return full.groupBy("band", "i", "j").applyInPandas(_block_links(percent, k), "a long, b long")
+    # registers first: texts travel only for the few rows that are likely similar to one of another component
+    full = dealt.join(nodes.select("id", "n", "regs"), "id").withColumn("pack", pack(KEYS, size))
+    kinds = "band long, i int, j int, id long, component long, outside boolean, probe boolean, n long, regs binary"
+    likely = stage(full.groupBy("pack").applyInPandas(_likely_rows(percent), kinds), "likely")
+    texted = likely.join(texts, "id").withColumn("pack", pack(KEYS, likely.count()))
+    return texted.groupBy("pack").applyInPandas(_block_links(percent, k), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 80, k: int = 5) -> DataFrame:
