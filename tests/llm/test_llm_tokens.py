@@ -1,0 +1,112 @@
+import itertools
+import random
+
+import numpy as np
+import pytest
+import sentencepiece
+from hypothesis import given, settings, strategies as st
+from llm_data import docs
+from pyspark.sql import functions as F
+
+from fleetday.llm import sentencepiece_viterbi as S, token_counts as C
+
+SP = sentencepiece.SentencePieceProcessor(model_file=S.MODEL)
+ENCODE = S.encoder(S.MODEL)
+TEXTS = st.text(st.sampled_from("ab theing  \n\té日語ﬁ😀&%$..--=_(){}012\x00<s>"), max_size=60)
+
+
+@settings(max_examples=300, deadline=None)
+@given(TEXTS)
+def test_ids_equal_the_library_and_decode_exactly(t):
+    ids = list(ENCODE(t))
+    assert ids == SP.encode(t)
+    assert S.decode_ids(S.Model.load(S.MODEL), ids) == t
+
+
+@pytest.mark.parametrize("t", ["a" * 3000, " " * 100, "ab" * 3000, "x" + " " * 50 + "y", "=" * 777, "ththing" * 900, "日" * 500, "a\n" * 4000])
+def test_long_runs_in_a_window(t):
+    search = S.StreamingViterbi(S.Model.load(S.MODEL))
+    marked, widest = S.SPACE + t.replace(" ", S.SPACE), 0
+    for at in range(0, len(marked), 7):
+        search.feed(marked[at : at + 7])
+        widest = max(widest, len(search.text))
+    assert search.finish() == SP.encode(t) == list(ENCODE(t))
+    assert widest <= 12 * S.Model.load(S.MODEL).longest  # what isn't committed stays bounded
+
+
+def test_unigram_scores_against_all_segmentations():
+    pieces = ["a", "b", "c", "ab", "bc", "abc", "ca", "aa"]
+    scores = [-3.0, -2.5, -2.7, -4.1, -4.4, -6.9, -5.0, -5.5]
+    model = S.Model(pieces, scores, [True] * 8, {}, 99, merges=False)
+    rng = random.Random(1)
+    for _ in range(200):
+        t = "".join(rng.choices("abc", k=rng.randrange(1, 9)))
+        cut = ("".join(c + "|" * x for c, x in zip(t, [*cuts, 0])).split("|") for cuts in itertools.product([0, 1], repeat=len(t) - 1))
+        best = max(sum(scores[pieces.index(p)] for p in parts) for parts in cut if all(p in pieces for p in parts))
+        ids = S.encode_segment(model, t, merges=False)
+        assert "".join(pieces[i] for i in ids) == t and abs(sum(scores[i] for i in ids) - best) < 1e-9
+
+
+def test_memory_of_segments_is_bounded_and_changes_nothing(monkeypatch):
+    monkeypatch.setattr(S, "REMEMBERED", 3)
+    small = S.encoder(S.MODEL)
+    t = "the quick brown fox jumps over the lazy dog " * 5
+    assert list(small(t)) == SP.encode(t)
+
+
+def test_encode_and_decode_columns(spark):
+    frame = docs(spark, [(1, None), (2, ""), (3, " two  words\n"), (3, " two  words\n"), (None, "é" * 20_000)])
+    frame = frame.withColumn("ids", F.lit("x")).withColumn("ids", S.encode(F.col("text")))
+    rows = frame.select("text", "ids", S.decode(F.col("ids")).alias("back"), S.restores(F.col("text"), F.col("ids")).alias("same")).collect()
+    assert all(r.back == r.text and r.same == (None if r.text is None else True) for r in rows)
+    assert [r.ids for r in rows][:3] == [None, [], SP.encode(" two  words\n")]
+    assert frame.where("false").count() == 0
+
+
+def plain_counts(text, sections, rule):
+    """Token spans from the tokenizer's own offsets, every character looked up on its own."""
+    encoding, _ = C._vocabulary(C.RANKS, C.PATTERN)
+    owner = {}
+    for i, (a, b) in enumerate(sections):
+        owner.update(dict.fromkeys(range(a, b), i))
+    at_byte = [i for i, c in enumerate(text) for _ in c.encode()]
+    out, begin = [0.0] * (len(sections) + 1), 0
+    for token in encoding.encode_ordinary(text):
+        n = len(encoding.decode_single_token_bytes(token))
+        own = [owner.get(at_byte[j], len(sections)) for j in range(begin, begin + n)]
+        begin += n
+        if rule == "share":
+            for o in own:
+                out[o] += 1 / n
+        else:
+            out[own[0] if rule == "start" else own[-1]] += 1
+    return out
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(st.sampled_from("ab theing \n\té日😀.12"), max_size=60), st.sampled_from(C.RULES), st.data())
+def test_attribution(t, rule, data):
+    cuts = sorted(data.draw(st.lists(st.integers(0, len(t)), max_size=8)))
+    sections = list(zip(cuts[::2], cuts[1::2]))
+    at = C.point_bytes(t)
+    a, b = (at[np.array([s[k] for s in sections], np.int64)] for k in (0, 1))
+    got = C.attribute(a, b, *C.token_bytes(t), rule)
+    assert np.allclose(got, plain_counts(t, sections, rule))
+
+
+def test_counts_by_line(spark):
+    rows = [(1, "one two\n\nthree é日\n"), (2, ""), (3, None), (None, "x\ny"), (1, "one two\n\nthree é日\n"), (4, "long line " * 30_000)]
+    frame = docs(spark, rows).withColumns({c: F.lit("x") for c in ("section", "start", "n_tokens", "_text", "_spans")})
+    got = C.count(frame).collect()
+    encoding, _ = C._vocabulary(C.RANKS, C.PATTERN)
+    for i, t in {1: rows[0][1], None: "x\ny", 4: rows[5][1]}.items():
+        times = 2 if i == 1 else 1
+        assert sum(r.n_tokens for r in got if r.doc_id == i) == times * len(encoding.encode_ordinary(t))
+        lines = sorted({(r.start, r.stop) for r in got if r.doc_id == i and r.section >= 0})
+        assert [t[a:b] for a, b in lines] == t.split("\n")
+    assert [(r.section, r.n_tokens) for r in got if r.doc_id in (2, 3)] == [(-1, 0), (-1, 0)]
+    assert C.count(docs(spark, [])).count() == 0
+    shared = C.count(docs(spark, [(1, "a\nb c")]), rule="share").collect()
+    assert abs(sum(r.n_tokens for r in shared) - len(encoding.encode_ordinary("a\nb c"))) < 1e-9
+    with pytest.raises(ValueError):
+        C.count(frame, rule="majority")
