@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 NTZ = "timestamp_ntz"
+_FULL_DATE = r"^\d{4}-\d{1,2}-\d{1,2}(?!\d)"
+_SLASHES = r"^(\d{4})/(\d{1,2})/(\d{1,2})(?!\d)"
+_DAY_FIRST = r"^(\d{1,2})[/-](\d{1,2})[/-](\d{4})(?!\d)"
 
 
 def hours(n: int) -> Column:
@@ -20,14 +23,21 @@ def days(n: int) -> Column:
 def parse_ts(c: Column | str, formats: tuple[str, ...] = ()) -> Column:
     """Text to timestamp; unreadable text becomes null.
 
-    A bare year or year-month would cast to its first day, so anything shorter than a full date
-    is refused. `formats` are tried after the ISO form; they are read in the session time zone, which
-    should be UTC where they are used.
+    A full date is needed, as a bare year or year-month would cast to its first day: year first with
+    dashes or slashes, or day first with either, each with or without a time. `formats` are tried
+    after these.
     """
-    text = F.col(c) if isinstance(c, str) else c
-    parsed = [F.when(F.length(F.trim(text)) >= 10, text.try_cast(NTZ))]
-    parsed += [F.try_to_timestamp(F.trim(text), F.lit(f)).cast(NTZ) for f in formats]
-    return F.coalesce(*parsed) if formats else parsed[0]
+    text = F.trim(F.col(c) if isinstance(c, str) else c)
+    iso = F.regexp_replace(F.regexp_replace(text, _SLASHES, "$1-$2-$3"), _DAY_FIRST, "$3-$2-$1")
+    parsed = F.when(iso.rlike(_FULL_DATE), iso.try_cast(NTZ))
+    return F.coalesce(parsed, *[_by_format(text, f) for f in formats])
+
+
+def _by_format(text: Column, pattern: str) -> Column:
+    """Wall-clock time by a pattern, read at offset zero so that no zone's clock changes matter."""
+    instant = F.try_to_timestamp(F.concat(text, F.lit(" +0000")), F.lit(f"{pattern} xx"))
+    seconds = (F.unix_micros(instant) / F.lit(1_000_000)).cast("decimal(18,6)")
+    return F.lit("1970-01-01 00:00:00").cast(NTZ) + F.make_dt_interval(secs=seconds)
 
 
 def timestamp_column(df: DataFrame, name: str, formats: tuple[str, ...] = ()) -> Column:

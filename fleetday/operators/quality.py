@@ -34,7 +34,7 @@ def drop_empty_days(final: DataFrame) -> DataFrame:
 
 
 def utilisation_by_weekday(final: DataFrame, cfg: Config) -> DataFrame:
-    """Rows and mean active/online per ISO weekday; empty unless enough rows qualify."""
+    """Rows and mean active/online per ISO weekday, and whether enough rows qualify to rely on it."""
     day = F.col("_dia") if "_dia" in final.columns else F.to_date("datestr")
     by_weekday = (
         final.filter(
@@ -49,12 +49,8 @@ def utilisation_by_weekday(final: DataFrame, cfg: Config) -> DataFrame:
     )
     # seven rows at most
     everything = Window.partitionBy(F.lit(0))
-    return (
-        by_weekday.withColumn("_all", F.sum("rows").over(everything))
-        .filter(F.col("_all") > cfg.qc_min_rows)
-        .drop("_all")
-        .orderBy("weekday")
-    )
+    enough = F.sum("rows").over(everything) > cfg.qc_min_rows
+    return by_weekday.withColumn("enough_rows", enough).orderBy("weekday")
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -23,8 +23,8 @@ def oracle_sql(with_ctes) -> dict[str, str]:
                       'fleet ' || (CAST(courier_uuid AS BIGINT) % 3) AS fleet_name,
                       regexp_extract(min(conn_file), '[0-9]{8}_[0-9]{6}') AS stamp
                FROM conn2
-               WHERE CAST(start_time AS TIMESTAMP)
-                     >= TIMESTAMP '2024-03-16 10:30:00' - INTERVAL 60 DAY
+               WHERE TRY_CAST(start_time AS TIMESTAMP) IS NULL OR TRY_CAST(start_time AS TIMESTAMP)
+                     >= TIMESTAMP '2024-03-10 10:30:00' - INTERVAL 60 DAY
                GROUP BY courier_uuid, start_time, status""",
             "conn2",
         ),
@@ -34,6 +34,27 @@ def oracle_sql(with_ctes) -> dict[str, str]:
                FROM offers2 GROUP BY offer_id""",
             "offers2",
         ),
+        "ingest_daily": with_ctes(
+            """SELECT driver_uuid, CAST(datestr AS VARCHAR) AS datestr, market_name, num_of_trips, online_hours,
+                      regexp_extract(file_name, '[0-9]{8}_[0-9]{6}') AS stamp
+               FROM daily""",
+            "daily",
+        ),
+        "ingest_offers": with_ctes(
+            """SELECT offer_id, first(email ORDER BY rta_file) AS email,
+                      regexp_extract(min(rta_file), '[0-9]{8}_[0-9]{6}') AS stamp
+               FROM offers2 GROUP BY offer_id
+               HAVING NOT coalesce(offer_id LIKE '%1' AND min(rta_file) LIKE '%20240116%', false)""",
+            "offers2",
+        ),
+        "file_error_gate": with_ctes(
+            """SELECT 'cancels' AS family, count(DISTINCT d) FILTER (d = DATE '2024-01-20') AS failed,
+                      count(DISTINCT d) AS total, failed > total / 2 AS abort FROM src
+               UNION ALL
+               SELECT 'late', count(DISTINCT d) FILTER (d <> DATE '2024-01-20'), count(DISTINCT d),
+                      count(DISTINCT d) FILTER (d <> DATE '2024-01-20') > count(DISTINCT d) / 2 FROM src""",
+            "src",
+        ),
         "csv_cancels": with_ctes(
             """SELECT driver_uuid AS courier_uuid, delivery_trip_uuid, event_type,
                       CAST(CAST(hour - INTERVAL 2 HOUR AS DATE) AS VARCHAR) AS day, order_id, reason,

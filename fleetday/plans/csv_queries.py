@@ -18,7 +18,7 @@ from fleetday.plans import fixtures as X
 from fleetday.plans.ingest import ingest
 from fleetday.plans.orders import trip_delays
 from fleetday.sources import families as FA
-from fleetday.sources.csv_files import discover_files, scan_family
+from fleetday.sources.csv_files import discover_files, scan_family, too_many_failed
 from fleetday.sources.tables import scratch_path, stage
 
 CFG = X.CONFIG
@@ -124,6 +124,60 @@ def bronze_two_runs(spark, sf_dir):
     )
 
 
+def ingest_daily(spark, sf_dir):
+    """The first two exports are ingested by one run, the third by the next; all rows stay."""
+    rows = X.daily(spark, sf_dir).withColumn(_STAMP, _stamp("file_name"))
+    text = {c: F.col(c).cast("string") for c in S.DAILY_DATES}
+    rows = stage(rows.withColumns(text).drop("file_name", "file_date"), "csv-source")
+    directory, path = scratch_path(spark, "csv-daily"), scratch_path(spark, "bronze-daily")
+    last = F.col(_STAMP) == "20240203_060000"
+    bronze = None
+    for part in (rows.filter(~last), rows.filter(last)):
+        _export(part, directory, "COURIER_DAILY_", sep=",", nullValue="NA")
+        bronze, _ = ingest(spark, FA.DAILY, directory, path, X.AS_OF, CFG)
+    return bronze.select(
+        "driver_uuid", F.col("datestr").cast("string").alias("datestr"), "market_name", "num_of_trips",
+        "online_hours", _stamp("file_name").alias("stamp"),
+    )
+
+
+def ingest_offers(spark, sf_dir):
+    """Two exports in one run, and a run that finds nothing new. Every tenth offer of the first export
+    is 90 days old: it counts as the first of its key, then expires, so that the later row of its key
+    is not stored either."""
+    rows = X.overlapping_offers(spark, sf_dir).withColumn(_STAMP, _stamp("rta_file")).drop("rta_file")
+    old = (F.col(_STAMP) == "20240116_000000") & F.col("offer_id").endswith("1")
+    moved = (F.col("timestamp").cast("timestamp_ntz") - F.make_dt_interval(days=F.lit(90))).cast("string")
+    rows = stage(rows.withColumn("timestamp", F.when(old, moved).otherwise(F.col("timestamp"))), "csv-source")
+    directory, path = scratch_path(spark, "csv-offers"), scratch_path(spark, "bronze-offers")
+    bronze = None
+    _export(rows, directory, "CANCELLATION_RTA_", sep=",", nullValue="NA")
+    for _ in range(2):
+        bronze, _ = ingest(spark, FA.OFFERS, directory, path, X.AS_OF, CFG)
+    return bronze.select("offer_id", "email", _stamp("rta_file").alias("stamp"))
+
+
+def file_error_gate(spark, sf_dir):
+    """One of the cancel exports is broken, and all but one of the late reports: only they stop a run.
+
+    Counted by export, each of which Spark writes as one file or more.
+    """
+    late = X.late(spark, sf_dir).withColumn(
+        _STAMP, F.date_format("_ts_fichero", "yyyyMMdd_HHmmss")
+    ).drop("_ts_fichero")
+    late = stage(late.repartition(_STAMP), "csv-source")  # one file for each export
+    directory = scratch_path(spark, "csv-late")
+    good = F.col(_STAMP) == "20240120_000000"
+    _export(late.filter(good), directory, "LATE_", sep=",", nullValue="")
+    _export(late.filter(~good).drop("order_id"), directory, "LATE_", sep=",", nullValue="")
+    cancels = _cancel_files(spark, sf_dir, whole_exports=True)
+    rows = []
+    for family, folder in ((FA.CANCELS, cancels), (FA.LATE, directory)):
+        scan = _read(spark, folder, family)
+        rows.append((family.name, scan.failed, scan.total, too_many_failed(scan)))
+    return spark.createDataFrame(rows, "family string, failed long, total long, abort boolean")
+
+
 def csv_offers(spark, sf_dir):
     rows = X.overlapping_offers(spark, sf_dir).withColumn(_STAMP, _stamp("rta_file"))
     directory = scratch_path(spark, "csv-offers")
@@ -136,12 +190,12 @@ def csv_offers(spark, sf_dir):
 # ----------------------------------------------------------- order feeds
 
 
-def _cancel_files(spark, sf_dir) -> str:
+def _cancel_files(spark, sf_dir, whole_exports: bool = False) -> str:
     """The export of 20 January lacks the event type and is refused."""
     rows = X.cancels(spark, sf_dir).withColumn(
         _STAMP, F.date_format("_ts_fichero", "yyyyMMdd_HHmmss")
     ).drop("_ts_fichero")
-    rows = stage(rows, "csv-source")
+    rows = stage(rows.repartition(_STAMP) if whole_exports else rows, "csv-source")
     directory = scratch_path(spark, "csv-cancels")
     broken = F.col(_STAMP) == "20240120_000000"
     _export(rows.filter(~broken), directory, "CANCEL_", sep=",", nullValue="")
@@ -188,4 +242,5 @@ def csv_trips(spark, sf_dir):
 def registered():
     return [
         csv_daily, csv_connections, bronze_two_runs, csv_offers, csv_cancels, csv_refused_files, csv_trips,
+        ingest_daily, ingest_offers, file_error_gate,
     ]

@@ -18,7 +18,7 @@ from fleetday.functions.clock import export_timestamp
 # The data ends on 30 January 2024; runs over it are dated accordingly.
 CONFIG = Config(first_day_without_late_report=date(2024, 1, 10))
 AS_OF = datetime(2024, 2, 5, 9, 0)
-PRUNE_AS_OF = datetime(2024, 3, 16, 10, 30)
+PRUNE_AS_OF = datetime(2024, 3, 10, 10, 30)  # the limit falls inside the earlier export
 PUBLISH_AS_OF = date(2024, 1, 29)
 REPROCESS_SINCE = date(2024, 2, 3)
 CLOSED_AT = "2024-01-29T06:00:00+00:00"
@@ -42,7 +42,21 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def connections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events(spark, sf_dir).selectExpr(
+    """One session per event, and every 97th event once more with a start that can't be read."""
+    whole = events(spark, sf_dir)
+    unreadable = {
+        "status": F.lit("open"),
+        "start_time": F.concat(F.lit("n/a "), F.col("event_id").cast("string")),
+        "end_time": F.lit(None).cast("string"),
+    }
+    rows = _connections(whole)
+    again = _connections(whole.filter("event_id % 97 = 0")).withColumns(unreadable)
+    return rows.unionByName(again).drop("event_id")
+
+
+def _connections(rows: DataFrame) -> DataFrame:
+    return rows.selectExpr(
+        "event_id",
         f"{_RIDER} AS courier_uuid",
         f"concat('rider ', {_RIDER}) AS courier_name",
         f"{_EMPTY} AS contact_number",
@@ -95,7 +109,11 @@ def overlapping_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three exports a month, two markets; which export holds an event depends on its number."""
+    """Three exports a month, two markets; which export holds an event depends on its number.
+
+    By the rider's city, the rows of one market are there a second time: with fewer trips, as they
+    are, without trips, as a market without a name, or without rider or date.
+    """
     rows = events(spark, sf_dir).selectExpr(
         "user_id",
         "event_type",
@@ -149,24 +167,37 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
             return name
         return f"CAST(NULL AS {'STRING' if name in S.DAILY_TEXT else 'DOUBLE'}) AS {name}"
 
-    return totals.selectExpr(*[column(c) for c in S.DAILY_COLUMNS], "file_name").withColumn(
-        "file_date", export_timestamp("file_name")
+    once = totals.selectExpr(*[column(c) for c in S.DAILY_COLUMNS], "file_name")
+    nameless = "city_id = 3"
+    odd = "CAST(driver_uuid AS BIGINT) % 2 = 1"
+    changed = {
+        "num_of_trips": f"CASE WHEN city_id = 0 THEN num_of_trips - 1 WHEN city_id = 2 THEN NULL "
+        f"WHEN {nameless} THEN 1D ELSE num_of_trips END",
+        # nothing but its trip, so that sums over three markets don't depend on their order
+        **{c: f"if({nameless} AND {c} IS NOT NULL, 0D, {c})" for c in S.SUMMED_COLUMNS if c != "num_of_trips"},
+        "market_name": f"if({nameless}, NULL, market_name)",
+        "driver_uuid": f"if(city_id = 4 AND {odd}, NULL, driver_uuid)",
+        "datestr": f"if(city_id = 4 AND NOT {odd}, NULL, datestr)",
+    }
+    again = once.filter("city_id < 5 AND market_name = 'M0'").selectExpr(
+        *[f"{changed.get(c, c)} AS {c}" for c in once.columns]
     )
+    return once.unionByName(again).withColumn("file_date", export_timestamp("file_name"))
 
 
 def exported_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each event once per export that holds it: even days from the 6th to the last day of the
-    data, five days back each.
+    """Each event once per export that holds it: exports are made on even days, the last of them up
+    to three days after the data's last day, so that every event is in one, and reach five days back.
 
     An event can only be in the exports of the five days after it, so it is repeated for those
     instead of being compared with every export.
     """
     whole = events(spark, sf_dir)
-    last_day = whole.agg(F.to_date(F.max("ts")).alias("last_day")).scalar()
+    last_export = whole.agg(F.date_add(F.to_date(F.max("ts")), 3).alias("last_export")).scalar()
     return (
         whole.selectExpr("*", "explode(sequence(date_add(ts, 1), date_add(ts, 5))) AS d")
-        .filter("day(d) % 2 = 0 AND day(d) >= 6")
-        .filter(F.col("d") <= last_day)
+        .filter("day(d) % 2 = 0")
+        .filter(F.col("d") <= last_export)
         .selectExpr("*", "CAST(d AS TIMESTAMP_NTZ) AS _ts_fichero")
     )
 

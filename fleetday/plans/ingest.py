@@ -59,11 +59,14 @@ def _remove_for_reprocessing(
 def _append(
     path: str, family: Family, rows: DataFrame, stored: DataFrame | None, as_of: datetime, cfg: Config
 ) -> None:
-    dated = B.prune_retention(rows, family.dated_by, as_of, cfg).withColumn(
+    """Append the rows that count. `stored` is the whole table: the first row of a key counts even if it
+    has expired, so retention comes after it is decided.
+    """
+    dated = rows.withColumn(
         DAY, F.to_date(timestamp_column(rows, family.dated_by, cfg.timestamp_formats))
     )
     if not family.key:
-        append_table(dated, path, DAY)
+        append_table(B.prune_retention(dated, family.dated_by, as_of, cfg), path, DAY)
         return
     order = [export_timestamp(family.file_column).asc_nulls_last(), family.file_column, "_block", "_row"]
     first = stage(keep_one(dated, family.key, order).drop("_block", "_row"), family.name)
@@ -72,7 +75,7 @@ def _append(
             # equal keys have equal dates: only the days of the new rows can hold them
             stored = stored.filter(on_days(DAY, distinct_days(first, DAY)))
         first = B.add_unseen(stored, first, family.key)
-    append_table(first, path, DAY)
+    append_table(B.prune_retention(first, family.dated_by, as_of, cfg), path, DAY)
 
 
 def ingest(
@@ -96,7 +99,7 @@ def ingest(
     scan = scan_family(spark, fresh, family, cfg.timestamp_formats)
     file_error_gate(family, scan)
     if scan.rows is not None:
-        _append(path, family, scan.rows, stored, as_of, cfg)
+        _append(path, family, scan.rows, read_table(spark, path), as_of, cfg)
     _expire(spark, path, as_of, cfg)
     return read_bronze(spark, path, family, as_of, cfg), scan
 

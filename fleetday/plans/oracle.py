@@ -51,7 +51,10 @@ _cte(
               CASE WHEN event_id % 3 <> 0
                    THEN CAST(ts + INTERVAL 1 SECOND * secs AS VARCHAR) END AS end_time,
               'connections_20240131_000000.csv' AS conn_file
-       FROM ev""",
+       FROM ev
+       UNION ALL
+       SELECT rider, 'open', 'n/a ' || event_id, NULL, 'connections_20240131_000000.csv'
+       FROM ev WHERE event_id % 97 = 0""",
     "ev",
 )
 _cte(
@@ -59,7 +62,7 @@ _cte(
     """SELECT courier_uuid, status, start_time, end_time, conn_file FROM conn
        UNION ALL
        SELECT courier_uuid, status, start_time, NULL, 'connections_20240116_000000.csv'
-       FROM conn WHERE CAST(start_time AS TIMESTAMP) < TIMESTAMP '2024-01-16 00:00:00'""",
+       FROM conn WHERE start_time < '2024-01-16 00:00:00'""",
     "conn",
 )
 _cte(
@@ -86,7 +89,7 @@ _EMPTY_DOUBLES = [
     "p3_km_avg", "p3_min_avg", "total_km_avg", "total_min_avg",
 ]
 _cte(
-    "daily",
+    "daily_once",
     f"""SELECT CAST(date_trunc('week', d) AS TIMESTAMP) AS weekstr, CAST(d AS TIMESTAMP) AS datestr,
               rider AS driver_uuid, 'rider ' || rider AS driver_name,
               CAST(NULL AS VARCHAR) AS driver_number, 'r' || rider || '@example.org' AS driver_email,
@@ -123,12 +126,27 @@ _cte(
              FROM ev GROUP BY ALL)""",
     "ev",
 )
+_MEASURES = [c for c in S.SUMMED_COLUMNS if c != "num_of_trips"]
+_cte(
+    "daily",
+    f"""SELECT * FROM daily_once
+        UNION ALL
+        SELECT * REPLACE (
+            CASE WHEN city_id = 0 THEN num_of_trips - 1 WHEN city_id = 2 THEN NULL
+                 WHEN city_id = 3 THEN 1 ELSE num_of_trips END AS num_of_trips,
+            {", ".join(f"CASE WHEN city_id = 3 AND {c} IS NOT NULL THEN 0 ELSE {c} END AS {c}" for c in _MEASURES)},
+            CASE WHEN city_id <> 3 THEN market_name END AS market_name,
+            CASE WHEN city_id <> 4 OR CAST(driver_uuid AS BIGINT) % 2 = 0 THEN driver_uuid END AS driver_uuid,
+            CASE WHEN city_id <> 4 OR CAST(driver_uuid AS BIGINT) % 2 = 1 THEN datestr END AS datestr)
+        FROM daily_once WHERE city_id < 5 AND market_name = 'M0'""",
+    "daily_once",
+)
 _cte(
     "exports",
     """SELECT CAST(t AS DATE) AS d
-       FROM (SELECT unnest(generate_series(min(CAST(ts AS DATE)), max(CAST(ts AS DATE)),
+       FROM (SELECT unnest(generate_series(min(CAST(ts AS DATE)), max(CAST(ts AS DATE)) + 3,
                                            INTERVAL 1 DAY)) AS t FROM ev)
-       WHERE day(t) % 2 = 0 AND day(t) >= 6""",
+       WHERE day(t) % 2 = 0""",
     "ev",
 )
 _cte(
@@ -183,12 +201,19 @@ _cte(
        USING (driver_uuid, datestr, file_date)""",
     "daily",
 )
+_cte(
+    "markets",
+    """SELECT * FROM newest
+       QUALIFY row_number() OVER (PARTITION BY driver_uuid, datestr, city_id, city_name, market_name
+                                  ORDER BY num_of_trips DESC NULLS LAST) = 1""",
+    "newest",
+)
 _sums = ", ".join(
     f"sum({c}) AS {c}" if c in S.LATE_COUNTERS else f"coalesce(sum({c}), 0.0::DOUBLE) AS {c}"
     for c in S.SUMMED_COLUMNS
 )
 _firsts = ", ".join(
-    f"first({c} ORDER BY num_of_trips DESC NULLS LAST, market_name, city_id, city_name) AS {c}"
+    f"first({c} ORDER BY num_of_trips DESC NULLS LAST, market_name NULLS FIRST, city_id, city_name) AS {c}"
     for c in S.IDENTITY_COLUMNS
 )
 _averages = ", ".join(
@@ -198,8 +223,8 @@ _averages = ", ".join(
 _cte(
     "silver",
     f"""SELECT *, {_averages} FROM
-        (SELECT driver_uuid, datestr, {_sums}, {_firsts} FROM newest GROUP BY driver_uuid, datestr)""",
-    "newest",
+        (SELECT driver_uuid, datestr, {_sums}, {_firsts} FROM markets GROUP BY driver_uuid, datestr)""",
+    "markets",
 )
 
 # ---------------------------------------------------------------- sessions
@@ -207,7 +232,7 @@ _cte(
 _cte(
     "sess",
     """SELECT courier_uuid, status, CAST(start_time AS TIMESTAMP) AS start_dt,
-              CAST(end_time AS TIMESTAMP) AS end_dt FROM conn""",
+              CAST(end_time AS TIMESTAMP) AS end_dt FROM conn WHERE start_time NOT LIKE 'n/a%'""",
     "conn",
 )
 _cte(
@@ -453,6 +478,10 @@ def oracle_sql() -> dict[str, str]:
                FROM ev GROUP BY ALL""",
             "ev",
         ),
+        "parsed_dates": """
+            SELECT event_id, CAST(CASE WHEN event_id % 5 = 3 THEN date_trunc('day', ts)
+                                       ELSE date_trunc('second', ts) END AS VARCHAR) AS parsed
+            FROM (SELECT event_id, CAST(ts AS TIMESTAMP) AS ts FROM events)""",
         "dedup_keep_first": _with(
             """SELECT courier_uuid, start_time, status,
                       first(end_time ORDER BY conn_file) AS end_time, min(conn_file) AS conn_file
@@ -492,8 +521,8 @@ def oracle_sql() -> dict[str, str]:
             WHERE rn = 1""",
         "prune_retention": _with(
             """SELECT courier_uuid, start_time, status, end_time, conn_file FROM conn2
-               WHERE CAST(start_time AS TIMESTAMP)
-                     >= TIMESTAMP '2024-03-16 10:30:00' - INTERVAL 60 DAY""",
+               WHERE TRY_CAST(start_time AS TIMESTAMP) IS NULL OR TRY_CAST(start_time AS TIMESTAMP)
+                     >= TIMESTAMP '2024-03-10 10:30:00' - INTERVAL 60 DAY""",
             "conn2",
         ),
         "ledger_new_files": _with(
@@ -525,11 +554,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "latest_export": _with(f"SELECT {_MARKET_ROW} FROM newest", "newest"),
         "market_dedup": _with(
-            f"""SELECT {_MARKET_ROW} FROM newest
-                QUALIFY row_number() OVER (
-                    PARTITION BY driver_uuid, datestr, city_id, city_name, market_name
-                    ORDER BY num_of_trips DESC NULLS LAST) = 1""",
-            "newest",
+            f"SELECT {_MARKET_ROW} FROM markets", "markets",
         ),
         "silver": _with(f"SELECT {_SILVER_TEXT} FROM silver", "silver"),
         "silver_window": _with(
@@ -540,13 +565,14 @@ def oracle_sql() -> dict[str, str]:
         "multi_market": _with(
             """SELECT driver_uuid, CAST(datestr AS VARCHAR) AS datestr,
                       count(DISTINCT coalesce(market_name, '<empty>')) AS markets
-               FROM daily GROUP BY ALL HAVING markets > 1""",
+               FROM daily WHERE driver_uuid IS NOT NULL AND datestr IS NOT NULL
+               GROUP BY ALL HAVING markets > 1""",
             "daily",
         ),
         "trace_rider": _with(
             """SELECT CAST(datestr AS VARCHAR) AS datestr, market_name, city_name, file_name,
                       online_hours, active_hours, num_of_trips
-               FROM daily WHERE driver_uuid = '7'""",
+               FROM daily WHERE driver_uuid = '7' AND datestr IS NOT NULL""",
             "daily",
         ),
         "closed_sessions": _with(
@@ -607,10 +633,10 @@ def oracle_sql() -> dict[str, str]:
         ),
         "utilisation_weekday": _with(
             """SELECT CAST(isodow(_dia) AS BIGINT) AS weekday, count(*) AS "rows",
-                      round(avg(active_hours / online_hours), 6) AS utilisation
+                      round(avg(active_hours / online_hours), 6) AS utilisation,
+                      (SELECT count(*) FROM final
+                       WHERE online_hours > 2 AND active_hours > 0.5) > 100 AS enough_rows
                FROM final WHERE online_hours > 2 AND active_hours > 0.5
-               AND (SELECT count(*) FROM final
-                    WHERE online_hours > 2 AND active_hours > 0.5) > 100
                GROUP BY ALL""",
             "final",
         ),

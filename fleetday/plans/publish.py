@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,7 +12,7 @@ from fleetday.config import Config
 from fleetday.operators import orders as O
 from fleetday.operators import publish as P
 from fleetday.plans.orders import trip_delays
-from fleetday.sources.csv_files import discover_files, file_error_gate, scan_family
+from fleetday.sources.csv_files import Scan, discover_files, file_error_gate, scan_family
 from fleetday.sources.families import CANCELS, LATE, TRIPS, Family
 from fleetday.sources.tables import merge_table, read_table, stage
 
@@ -54,26 +55,27 @@ def publish_daily(
     return rows
 
 
-def _rows(
-    spark: SparkSession, family: Family, directory: str, cfg: Config
-) -> DataFrame | None:
+def _scan(spark: SparkSession, family: Family, directory: str, cfg: Config) -> Scan:
     files = discover_files(spark, directory, family.pattern)
     scan = scan_family(spark, files, family, cfg.timestamp_formats)
     file_error_gate(family, scan)
-    return scan.rows
+    return scan
 
 
 def publish_orders(
     spark: SparkSession, input_root: str, root: str, cfg: Config, tables: tuple[str, ...] | None = None
-) -> dict[str, str]:
-    """Upsert the four order feeds in order; returns what happened to each.
+) -> tuple[dict[str, str], DataFrame]:
+    """Upsert the four order feeds in order; returns what happened to each, and the refused files.
 
     The late report goes before the delays rebuilt from trips, which only cover later days. With
     `tables` given, a feed whose target is not among them is skipped, not failed.
     """
-    cancels = _rows(spark, CANCELS, f"{input_root}/{cfg.cancel_dir}", cfg)
-    late = _rows(spark, LATE, f"{input_root}/{cfg.late_dir}", cfg)
-    trips = _rows(spark, TRIPS, f"{input_root}/{cfg.trips_dir}", cfg)
+    scans = [
+        _scan(spark, family, f"{input_root}/{folder}", cfg)
+        for family, folder in ((CANCELS, cfg.cancel_dir), (LATE, cfg.late_dir), (TRIPS, cfg.trips_dir))
+    ]
+    cancels, late, trips = (scan.rows for scan in scans)
+    errors = reduce(DataFrame.unionByName, [scan.errors for scan in scans])
     if trips is not None:
         trips = stage(trips, "trips")  # read by two feeds
     feeds = [
@@ -94,4 +96,4 @@ def publish_orders(
                 stage(transform(rows, cfg), table),
             )
             report[name] = "published"
-    return report
+    return report, errors

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetday import schema as S
-from fleetday.functions.clock import export_timestamp, logical_day
+from fleetday.functions.clock import export_timestamp, logical_day, parse_ts
 from fleetday.functions.dedup import keep_first, keep_latest, keep_one
 from fleetday.operators import bronze as B
 from fleetday.operators import orders as O
@@ -43,6 +43,17 @@ def logical_day_counts(spark, sf_dir):
     return _text(counted, "day")
 
 
+def parsed_dates(spark, sf_dir):
+    """Times of all events, written in five forms by their number, and read again."""
+    written = F.expr(
+        """CASE event_id % 5
+             WHEN 0 THEN date_format(ts, 'yyyy-MM-dd HH:mm:ss') WHEN 1 THEN date_format(ts, 'yyyy/MM/dd HH:mm:ss')
+             WHEN 2 THEN date_format(ts, 'd/M/yyyy H:mm:ss') WHEN 3 THEN date_format(ts, 'yyyy-M-d')
+             ELSE date_format(ts, 'dd-MM-yyyy HH:mm:ss') END"""
+    )
+    return _text(X.events(spark, sf_dir).select("event_id", parse_ts(written).alias("parsed")), "parsed")
+
+
 def dedup_keep_first(spark, sf_dir):
     rows = X.overlapping_connections(spark, sf_dir)
     return keep_first(rows, S.CONNECTION_KEY, ["conn_file"]).select(
@@ -422,7 +433,7 @@ def queries() -> dict[str, Query]:
     from fleetday.plans import csv_queries as C
 
     registered = [
-        logical_day_counts, dedup_keep_first, dedup_offers, ingest_first_wins,
+        logical_day_counts, parsed_dates, dedup_keep_first, dedup_offers, ingest_first_wins,
         dedup_latest_by_file, latest_lineitem, prune_retention, ledger_new_files, reprocess_from,
         catch_up_days, export_times,
         latest_export, market_dedup, silver, silver_window, multi_market, trace_rider,

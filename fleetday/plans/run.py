@@ -1,15 +1,18 @@
 """One whole run: ingest, daily table, publishing, order feeds, checks.
 
-    python -m fleetday.plans.run <input folder> <output folder> [YYYY-MM-DDTHH:MM:SS]
+    python -m fleetday.plans.run run <input folder> <output folder> [options]
+    python -m fleetday.plans.run catch-up <output folder> [options]
 """
 
 from __future__ import annotations
 
+import argparse
 import sys
-from dataclasses import dataclass, field
-from datetime import datetime, timezone
+from dataclasses import dataclass, field, replace
+from datetime import date, datetime, timezone
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,13 +27,18 @@ from fleetday.operators.silver import (
     recent_cutoff,
     trace_rider,
 )
-from fleetday.operators.transfer import apply_transfer, attach_shares, hours_mismatch
+from fleetday.operators.transfer import apply_transfer, attach_shares, hours_mismatch, without_destination
 from fleetday.plans.ingest import ingest
 from fleetday.plans.publish import publish_daily, publish_orders
+from fleetday.session import cluster_session
 from fleetday.sources.families import CONNECTIONS, DAILY, OFFERS
 from fleetday.sources.tables import read_table, stage, write_table
 
 
+#: How a damaged file shows: in its footer while the table is opened, in its pages while it is read.
+_UNREADABLE = (PySparkException, Py4JJavaError)
+
+
 class NoDailyData(RuntimeError):
     """There is no daily export, neither new nor stored."""
 
@@ -45,6 +53,8 @@ class Report:
     utilisation: DataFrame
     duplicates: DataFrame
     multi_market: DataFrame
+    without_destination: DataFrame | None
+    moved: DataFrame
     trace: DataFrame | None
     published_rows: int
     file_errors: DataFrame
@@ -61,9 +71,16 @@ def _non_empty(df: DataFrame | None) -> DataFrame | None:
 
 
 def run(
-    spark: SparkSession, input_root: str, output_root: str, as_of: datetime, cfg: Config
+    spark: SparkSession,
+    input_root: str,
+    output_root: str,
+    as_of: datetime,
+    cfg: Config,
+    closed_at: datetime | None = None,
 ) -> Report:
-    """`as_of` is the wall-clock time of the run in the data's own zone."""
+    """`as_of` is the wall-clock time of the run in the data's own zone, `closed_at` the instant that
+    the closed-day marker carries (by default the time of the call)."""
+    closed_at = closed_at or datetime.now(timezone.utc)
     scans = {}
     bronze = {}
     for family, folder in [
@@ -95,29 +112,31 @@ def run(
     write_table(Q.drop_empty_days(adjusted), output)
     final = spark.read.parquet(output)
 
+    shared = None if sessions is None else attach_shares(silver, sessions, accepted)
     report = Report(
         steps=Q.step_rows({"bronze": daily, "silver": silver, "adjusted": adjusted, "final": final}),
         final=final,
-        mismatch=None
-        if sessions is None
-        else hours_mismatch(attach_shares(silver, sessions, accepted), cfg),
+        mismatch=None if shared is None else hours_mismatch(shared, cfg),
         utilisation=Q.utilisation_by_weekday(final, cfg),
         duplicates=Q.duplicate_rider_days(final),
         multi_market=multi_market_count(daily),
+        without_destination=None if shared is None else without_destination(shared),
+        moved=Q.moved_rows(adjusted),
         trace=trace_rider(daily, cfg.traced_rider) if cfg.traced_rider else None,
         published_rows=publish_daily(
             final,
             Q.emptied_keys(adjusted),
             f"{output_root}/published",
             as_of.date(),
-            datetime.now(timezone.utc),
+            closed_at,
             cfg,
         ),
         file_errors=errors,
     )
     # the order feeds stand on their own: their failure does not undo the daily metrics
     try:
-        report.feeds = publish_orders(spark, input_root, f"{output_root}/published", cfg)
+        report.feeds, refused = publish_orders(spark, input_root, f"{output_root}/published", cfg)
+        report.file_errors = errors.unionByName(refused)
     except Exception as e:
         report.feed_error = str(e)
     return report
@@ -130,27 +149,85 @@ def catch_up(spark: SparkSession, output_root: str, as_of: datetime, cfg: Config
         try:
             df = read_table(spark, bronze_path(output_root, name, cfg))
             return None if df is None else df.select(column)
-        except AnalysisException as e:
+        except _UNREADABLE as e:
             print(f"bronze {name} left out: {e}", file=sys.stderr)
             return None
 
-    days = catch_up_days(
-        stored("offers", "timestamp"), stored("connections", "start_time"), as_of, cfg
-    )
+    sources = {"offers": "timestamp", "connections": "start_time"}
+    tables = {name: stored(name, column) for name, column in sources.items()}
+    try:
+        days = catch_up_days(tables["offers"], tables["connections"], as_of, cfg)
+        return cfg.catch_up_first_run_days if days is None else days.first()["days"]
+    except _UNREADABLE:
+        # a damaged data file shows only now: find the table that has it
+        for name, df in tables.items():
+            try:
+                if df is not None:
+                    df.agg(F.max(sources[name])).first()
+            except _UNREADABLE as e:
+                print(f"bronze {name} left out: {e}", file=sys.stderr)
+                tables[name] = None
+    days = catch_up_days(tables["offers"], tables["connections"], as_of, cfg)
     return cfg.catch_up_first_run_days if days is None else days.first()["days"]
 
 
+def _arguments(argv: list[str]) -> argparse.Namespace:
+    parser = argparse.ArgumentParser(prog="fleetday")
+    commands = parser.add_subparsers(dest="command", required=True)
+    for name in ("run", "catch-up"):
+        command = commands.add_parser(name)
+        if name == "run":
+            command.add_argument("input")
+        command.add_argument("output")
+        command.add_argument("--as-of", type=datetime.fromisoformat, help="wall-clock time of the run")
+        command.add_argument("--suffix", dest="bronze_suffix", help="suffix of the bronze tables")
+        command.add_argument("--retention-days", type=int)
+        command.add_argument("--sync-days", type=int, help="days to publish")
+        command.add_argument("--reprocess-from", type=date.fromisoformat)
+        command.add_argument("--trace", dest="traced_rider", help="rider whose rows are printed")
+        for folder in ("daily", "connections", "offers", "cancel", "late", "trips", "output"):
+            command.add_argument(f"--{folder}-dir")
+        command.add_argument("--shuffle-partitions", type=int)
+    return parser.parse_args(argv)
+
+
+def settings(arguments: argparse.Namespace) -> Config:
+    """The defaults with what the command line gives."""
+    given = {k: v for k, v in vars(arguments).items() if v is not None and hasattr(Config, k)}
+    return replace(Config(), **given)
+
+
+def show(report: Report) -> None:
+    frames = {
+        "rows by step": report.steps,
+        "refused files": report.file_errors,
+        "rows moved": report.moved,
+        "hours mismatch": report.mismatch,
+        "days without destination": report.without_destination,
+        "more than one market": report.multi_market,
+        "utilisation by weekday": report.utilisation,
+        "repeated keys": report.duplicates,
+        "trace": report.trace,
+    }
+    for title, frame in frames.items():
+        if frame is not None:
+            print(title)
+            frame.show(truncate=False)
+    print(f"published rows: {report.published_rows}; feeds: {report.feeds or report.feed_error}")
+
+
 def main(argv: list[str]) -> int:
-    as_of = datetime.fromisoformat(argv[3]) if len(argv) > 3 else datetime.now()
-    spark = SparkSession.builder.appName("fleetday").getOrCreate()
+    arguments = _arguments(argv[1:])
+    as_of, cfg = arguments.as_of or datetime.now(), settings(arguments)
+    spark = cluster_session(shuffle_partitions=arguments.shuffle_partitions)
+    if arguments.command == "catch-up":
+        print(catch_up(spark, arguments.output, as_of, cfg))
+        return 0
     try:
-        report = run(spark, argv[1], argv[2], as_of, Config())
+        show(run(spark, arguments.input, arguments.output, as_of, cfg))
     except NoDailyData as e:
         print(e, file=sys.stderr)
         return 1
-    for frame in (report.steps, report.file_errors, report.utilisation, report.duplicates):
-        frame.show(truncate=False)
-    print(f"published rows: {report.published_rows}; feeds: {report.feeds or report.feed_error}")
     return 0
 
 

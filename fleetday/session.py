@@ -30,15 +30,15 @@ def local_session(cpus: int, memory: str = "12g", app: str = "fleetday") -> Spar
     return builder.getOrCreate()
 
 
-def cluster_session(app: str = "fleetday", shuffle_partitions: int = 20000) -> SparkSession:
+def cluster_session(app: str = "fleetday", shuffle_partitions: int | None = None) -> SparkSession:
     """A session on the cluster's own master.
 
-    The shuffle partitions are an upper bound: at 100 TB of input they keep one partition of the
-    widest shuffle near 200 MB, and AQE joins the small ones.
+    The shuffle partitions, if given, are an upper bound, as AQE joins the small ones: at 100 TB of
+    input 20,000 keep one partition of the widest shuffle near 200 MB.
     """
-    builder = SparkSession.builder.appName(app).config(
-        "spark.sql.shuffle.partitions", str(shuffle_partitions)
-    )
+    builder = SparkSession.builder.appName(app)
+    if shuffle_partitions is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -46,7 +46,9 @@ class Scan:
 def discover_files(spark: SparkSession, directory: str, pattern: str) -> DataFrame:
     """Files of a folder whose name matches `pattern`; a missing folder has none.
 
-    The content column is never selected, so only the listing is paid.
+    The content column is never selected, so only the listing is paid. A scan skips files of zero
+    bytes, the listing behind it does not: they are added from there, without a time, and fail later
+    for want of a header.
     """
     try:
         listed = (
@@ -56,10 +58,20 @@ def discover_files(spark: SparkSession, directory: str, pattern: str) -> DataFra
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], _FILES)
+    jvm = spark._jvm
+    every = spark._jsparkSession.createDataset(
+        jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(listed._jdf.inputFiles()),
+        jvm.org.apache.spark.sql.Encoders.STRING(),
+    )
+    # the listing percent-encodes its paths and leaves a plus sign alone
+    decoded = F.url_decode(F.replace("value", F.lit("+"), F.lit("%2B")))
+    paths = DataFrame(every.toDF(), spark).select(decoded.alias("path"))
     name = F.regexp_extract("path", r"([^/]+)$", 1)
-    return listed.select(
-        "path", name.alias("file_name"), F.col("modificationTime").alias("modified")
-    ).filter(F.col("file_name").rlike(f"(?i){pattern}"))
+    return (
+        paths.join(listed.select("path", F.col("modificationTime").alias("modified")), "path", "left")
+        .select("path", name.alias("file_name"), "modified")
+        .filter(F.col("file_name").rlike(f"(?i){pattern}"))
+    )
 
 
 def detect_separator(first_line: str) -> str:
@@ -210,7 +222,11 @@ def scan_family(
     return Scan(rows, spark.createDataFrame(refused, _ERRORS), len(refused), total)
 
 
+def too_many_failed(scan: Scan) -> bool:
+    return scan.failed > scan.total / 2
+
+
 def file_error_gate(family: Family, scan: Scan) -> None:
     """Stop rather than publish from less than half of the files."""
-    if scan.failed > scan.total / 2:
+    if too_many_failed(scan):
         raise TooManyBadFiles(f"{family.name}: {scan.failed} of {scan.total} files could not be read")

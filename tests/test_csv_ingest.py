@@ -86,6 +86,23 @@ def test_layouts_null_tokens_quotes_and_ragged_rows(spark, tmp_path):
     )
 
 
+def test_files_without_bytes_fail_for_want_of_a_header(spark, tmp_path):
+    put(tmp_path, "CANCEL_1 a+b.csv", "")
+    put(tmp_path, "CANCEL_2.csv", ",".join(S.CANCEL_COLUMNS) + "\n2024-01-09 10:00:00,a,t,o,CANCEL,why,bike\n")
+    result = scan(spark, tmp_path, FA.CANCELS)
+    assert (result.failed, result.total) == (1, 2)
+    assert tuples(result.errors) == [("cancels", "CANCEL_1 a+b.csv", "no header")]
+
+
+def test_a_key_whose_first_row_has_expired_has_no_row(spark, tmp_path):
+    head = "timestamp,offer_id,courier_uuid\n"
+    put(tmp_path, "CANCELLATION_20240101_000000.csv", head + "2023-01-01 10:00:00,O1,a\n2024-01-01 10:00:00,O2,a\n")
+    put(tmp_path, "CANCELLATION_20240102_000000.csv", head + "2024-01-02 10:00:00,O1,b\n2024-01-02 10:00:00,O3,b\n")
+    now = datetime(2024, 1, 3)
+    bronze, _ = ingest(spark, FA.OFFERS, str(tmp_path), str(tmp_path / "bronze"), now, Config())
+    assert tuples(bronze, "offer_id", "courier_uuid") == [("O2", "a"), ("O3", "b")]
+
+
 def test_daily_contract(spark, tmp_path):
     put(tmp_path, "COURIER_DAILY_20240102_030405.csv",
         "datestr\tweekstr\tdriver_uuid\tnum_of_trips\tcity_id\tunknown\n"

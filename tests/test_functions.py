@@ -21,6 +21,13 @@ def one(spark, column, value, kind="string"):
         ("2024-03-31 02:30:00", datetime(2024, 3, 31, 2, 30)),
         ("2024-03-31T02:30:00.25", datetime(2024, 3, 31, 2, 30, 0, 250000)),
         ("2024-03-31", datetime(2024, 3, 31)),
+        ("2024-1-5", datetime(2024, 1, 5)),
+        (" 2024-1-5 7:05:09 ", datetime(2024, 1, 5, 7, 5, 9)),
+        ("2024/01/05 10:00:00", datetime(2024, 1, 5, 10)),
+        ("05/01/2024 10:00:00", datetime(2024, 1, 5, 10)),
+        ("5-1-2024", datetime(2024, 1, 5)),
+        ("31/02/2024", None),
+        ("2024-01-051", None),
         ("2026", None),
         ("2026-10", None),
         ("2026-13-01 00:00:00", None),
@@ -33,8 +40,19 @@ def test_parse_ts(spark, text, expected):
 
 
 def test_parse_ts_with_formats(spark):
-    column = parse_ts("x", ("dd/MM/yyyy HH:mm",))
-    assert one(spark, column, "31/01/2024 13:05") == datetime(2024, 1, 31, 13, 5)
+    column = parse_ts("x", ("dd.MM.yyyy HH:mm",))
+    assert one(spark, column, "31.01.2024 13:05") == datetime(2024, 1, 31, 13, 5)
+
+
+def test_formats_know_no_clock_changes(spark):
+    """02:30 does not exist on that night in New York; a wall-clock time does."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for text in ("10.03.2024 02:30", "10/03/2024 02:30"):
+            assert one(spark, parse_ts("x", ("dd.MM.yyyy HH:mm",)), text) == datetime(2024, 3, 10, 2, 30)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
 
 
 @pytest.mark.parametrize(

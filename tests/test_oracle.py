@@ -6,10 +6,11 @@ import pytest
 from compare import differences, duck
 
 import __spark_entry__ as entry_point
+from fleetday.plans import oracle, queries
 
 SF_DIR = os.environ.get("FLEETDAY_TEST_SF", "/root/testdata/sf0.001")
-QUERIES = entry_point.queries()
-SQL = entry_point.oracle_sql()
+QUERIES = queries.queries()
+SQL = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +20,7 @@ def con():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert SQL.items() <= entry_point.oracle_sql().items() and QUERIES.keys() <= entry_point.queries().keys()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -1,4 +1,5 @@
 from datetime import date, datetime, timezone
+from pathlib import Path
 
 import pytest
 from helpers import shares, silver, ts, tuples
@@ -10,7 +11,7 @@ from fleetday.operators import publish as P
 from fleetday.operators import quality as Q
 from fleetday.operators import transfer as T
 from fleetday.plans.publish import publish_daily
-from fleetday.plans.run import NoDailyData, catch_up, run
+from fleetday.plans.run import NoDailyData, _arguments, bronze_path, catch_up, run, settings, show
 from fleetday.sources.tables import RepeatedKeys, merge_table, read_table, write_table
 
 CFG = Config()
@@ -164,6 +165,7 @@ def test_whole_run(spark, tmp_path):
         "a\topen\t2023-12-10 23:00:00\t2023-12-10 23:30:00\n")
     put("CANCEL", "CANCEL_20240110_060000.csv",
         ",".join(S.CANCEL_COLUMNS) + "\n2024-01-09 10:00:00,a,t,o,CANCEL,why,bike\n")
+    put("CANCEL", "CANCEL_20240111_060000.csv", "hour,driver_uuid\n2024-01-10 10:00:00,a\n")
     as_of = datetime(2024, 1, 10, 12)
     assert catch_up(spark, str(target), as_of, CFG) == 30
     for _ in range(2):
@@ -177,12 +179,36 @@ def test_whole_run(spark, tmp_path):
             "cancels": "published", "late report": "no files", "late trips": "no files",
             "kilometres": "no files",
         }
-        assert report.duplicates.count() == 0 and report.file_errors.count() == 0
+        assert report.duplicates.count() == 0
+        assert tuples(report.file_errors, "family", "file_name") == [("cancels", "CANCEL_20240111_060000.csv")]
+        assert tuples(report.moved) == [(3, 2)] and report.without_destination.count() == 0
+        show(report)
     assert catch_up(spark, str(target), as_of, CFG) == 3
     events = read_table(spark, f"{target}/published/{S.ORDER_EVENTS}")
     assert tuples(events, "courier_uuid", "reason") == [("a", "why")]
 
 
+def test_settings_from_the_command_line():
+    given = _arguments(["run", "in", "out", "--sync-days", "21", "--reprocess-from", "2024-01-05", "--trace", "7", "--late-dir", "L"])
+    assert settings(given) == Config(sync_days=21, reprocess_from=date(2024, 1, 5), traced_rider="7", late_dir="L")
+    assert settings(_arguments(["catch-up", "out"])) == Config()
+
+
+@pytest.mark.parametrize("damaged", [slice(4, 24), slice(4, 400)])  # a page; a page and the footer
+def test_catch_up_leaves_a_damaged_table_out(spark, tmp_path, damaged):
+    rows = spark.createDataFrame([("2024-01-08 12:00:00", "2024-01-08")], "timestamp string, day string")
+    path = bronze_path(str(tmp_path), "offers", CFG)
+    rows.write.parquet(path)
+    path = bronze_path(str(tmp_path), "connections", CFG)
+    spark.createDataFrame([("2024-01-09 13:00:00",)], "start_time string").write.parquet(path)
+    for file in Path(path).glob("*.parquet"):
+        data = bytearray(file.read_bytes())
+        data[damaged] = bytes(len(data[damaged]))
+        file.write_bytes(data)
+        file.with_name(f".{file.name}.crc").unlink()
+    assert catch_up(spark, str(tmp_path), datetime(2024, 1, 10, 12), CFG) == 4
+
+
 def test_a_failing_order_feed_does_not_undo_the_daily_table(spark, tmp_path):
     (tmp_path / "in" / "COURIER_DAILY").mkdir(parents=True)
     (tmp_path / "in" / "CANCEL").mkdir()

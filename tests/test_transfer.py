@@ -146,21 +146,21 @@ def test_hours_mismatch(spark):
     assert tuples(T.hours_mismatch(shared, Config())) == [(1, 2, 50.0, True)]
 
 
-def test_utilisation_needs_enough_rows(spark):
+def test_utilisation_says_whether_rows_are_enough(spark):
     rows = [
         {"datestr": D1 + timedelta(days=n), "online_hours": 4.0, "active_hours": 3.0}
         for n in range(14)
     ]
     final = days(spark, [], *rows)
-    assert Q.utilisation_by_weekday(final, Config()).count() == 0
-    out = Q.utilisation_by_weekday(final, Config(qc_min_rows=13))
-    assert [tuple(r) for r in out.collect()] == [(n, 2, 0.75) for n in range(1, 8)]
+    for least, enough in ((Config().qc_min_rows, False), (13, True)):
+        out = Q.utilisation_by_weekday(final, Config(qc_min_rows=least))
+        assert [tuple(r) for r in out.collect()] == [(n, 2, 0.75, enough) for n in range(1, 8)]
 
 
 def test_utilisation_of_an_unadjusted_table_uses_the_date(spark):
     rows = silver(spark, {"datestr": D1, "online_hours": 4.0, "active_hours": 3.0})
     out = Q.utilisation_by_weekday(T.unadjusted(rows), Config(qc_min_rows=0))
-    assert tuples(out) == [(1, 1, 0.75)]
+    assert tuples(out) == [(1, 1, 0.75, True)]
 
 
 cells = st.tuples(
