@@ -275,6 +275,7 @@ def duplicate_keys(spark, sf_dir):
 def step_rows(spark, sf_dir):
     daily = X.daily(spark, sf_dir)
     tables = _tables(spark, sf_dir)
+    tables.adjusted = stage(tables.adjusted, "adjusted")  # counted before and after its empty days go
     return Q.step_rows(
         {"bronze": daily, "silver": tables.silver, "adjusted": tables.adjusted, "final": tables.final}
     )
@@ -304,16 +305,14 @@ def _earlier_published(spark, sf_dir) -> DataFrame:
 
 
 def upsert_merge(spark, sf_dir):
-    return P.upsert_rows(
-        _earlier_published(spark, sf_dir),
-        published_daily(spark, sf_dir),
-        S.TABLE_KEYS[S.DAILY_STATS],
-    )
+    updates = stage(published_daily(spark, sf_dir), "updates")  # read for its keys and for its rows
+    return P.upsert_rows(_earlier_published(spark, sf_dir), updates, S.TABLE_KEYS[S.DAILY_STATS])
 
 
 def delete_emptied(spark, sf_dir):
     """The earlier published rows without those whose work has moved to the day before."""
     tables = _tables(spark, sf_dir)
+    tables.adjusted = stage(tables.adjusted, "adjusted")  # gives the uploaded and the emptied rows
     uploaded = P.published_daily(tables.final, X.PUBLISH_AS_OF, CFG.sync_days)
     deletes = P.rows_to_delete(tables.emptied, uploaded, X.PUBLISH_AS_OF, CFG.sync_days)
     target = _earlier_published(spark, sf_dir)
@@ -424,9 +423,8 @@ def trip_delays(spark, sf_dir):
 
 def order_delays_published(spark, sf_dir):
     """The delay table after both feeds: the late report, then the orders rebuilt from trips."""
-    return P.upsert_rows(
-        late_events(spark, sf_dir), trip_delays(spark, sf_dir), S.TABLE_KEYS[S.ORDER_DELAYS]
-    )
+    updates = stage(trip_delays(spark, sf_dir), "updates")
+    return P.upsert_rows(late_events(spark, sf_dir), updates, S.TABLE_KEYS[S.ORDER_DELAYS])
 
 
 def queries() -> dict[str, Query]:
