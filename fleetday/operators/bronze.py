@@ -21,6 +21,11 @@ def new_files(files: DataFrame, bronze: DataFrame | None, file_column: str) -> D
     return files.join(seen, "file_name", "left_anti")
 
 
+def unread_files(files: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Files on disk that the ledger does not list."""
+    return files.join(ledger.select("file_name").distinct(), "file_name", "left_anti")
+
+
 def files_to_reprocess(files: DataFrame, since: date) -> DataFrame:
     """Files on disk whose name carries an export time at or after `since`."""
     return files.filter(export_timestamp("file_name") >= F.lit(since).cast("timestamp_ntz"))

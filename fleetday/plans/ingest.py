@@ -6,7 +6,7 @@ yet: neither the stored history nor the files already read are touched again.
 
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +15,7 @@ from fleetday import schema as S
 from fleetday.config import Config
 from fleetday.functions.clock import export_timestamp, timestamp_column
 from fleetday.functions.dedup import keep_one
+from fleetday.functions.joins import salted_join
 from fleetday.operators import bronze as B
 from fleetday.sources.csv_files import Scan, discover_files, file_error_gate, scan_family
 from fleetday.sources.families import Family
@@ -26,6 +27,7 @@ from fleetday.sources.tables import (
     read_table,
     replace_days,
     stage,
+    write_table,
 )
 
 DAY = S.BRONZE_DAY
@@ -43,17 +45,37 @@ def read_bronze(
     return B.prune_retention(recent, family.dated_by, as_of, cfg)
 
 
-def _remove_for_reprocessing(
-    spark: SparkSession, path: str, stored: DataFrame, files: DataFrame, since: date, cfg: Config
+def ledger_path(path: str) -> str:
+    return f"{path}_files"
+
+
+def _ledger(spark: SparkSession, path: str, family: Family) -> DataFrame | None:
+    """Names of the files whose rows are all in the table or were not needed.
+
+    A table from before the ledger lists the files that its rows come from.
+    """
+    ledger = read_table(spark, ledger_path(path))
+    stored = read_table(spark, path)
+    if ledger is None and stored is not None:
+        names = stored.select(F.col(family.file_column).alias("file_name")).distinct()
+        write_table(names, ledger_path(path))
+        ledger = read_table(spark, ledger_path(path))
+    return ledger
+
+
+def _remove_files(
+    spark: SparkSession, path: str, family: Family, names: DataFrame, spread: list[str], cfg: Config
 ) -> None:
-    """Delete the rows of files that are on disk again; only the days they are on are rewritten."""
-    again = B.files_to_reprocess(files, since).select("file_name")
-    days = distinct_days(stored.join(again, "file_name", "left_semi"), DAY)
-    if not days:
-        return
-    affected = stored.filter(on_days(DAY, days))
-    kept = B.reprocess_from(affected, files, since, ["driver_uuid", "datestr"], cfg)
-    replace_days(kept, path, DAY, days)
+    """Delete the rows and ledger entries of files; only the days that they are on are rewritten."""
+    names = stage(names.select("file_name").distinct(), "files")
+    stored = read_table(spark, path).withColumnRenamed(family.file_column, "file_name")
+    days = distinct_days(stored.join(names, "file_name", "left_semi"), DAY)
+    if days:
+        affected = stored.filter(on_days(DAY, days))
+        kept = salted_join(affected, names, ["file_name"], spread, "left_anti", cfg.salts)
+        replace_days(kept.withColumnRenamed("file_name", family.file_column), path, DAY, days)
+    ledger = read_table(spark, ledger_path(path))
+    write_table(stage(ledger.join(names, "file_name", "left_anti"), "ledger"), ledger_path(path))
 
 
 def _append(
@@ -88,18 +110,30 @@ def ingest(
 ) -> tuple[DataFrame | None, Scan]:
     """Read the new files of `directory` into `path`; returns the bronze rows and the file report.
 
-    A file that fails leaves no rows and is tried again in the next run.
+    A file that fails leaves no rows and is tried again in the next run. Files are entered in the
+    ledger after their rows are stored, also those whose rows were all known. If a run ends in between,
+    the next one first deletes what it left of files that are not in the ledger (a table with a key
+    needs no deleting, its rows are recognised).
     """
-    files = discover_files(spark, directory, family.pattern)
-    stored = read_bronze(spark, path, family, as_of, cfg)
-    if cfg.reprocess_from is not None and stored is not None and family.name == "daily":
-        _remove_for_reprocessing(spark, path, stored, files, cfg.reprocess_from, cfg)
-        stored = read_bronze(spark, path, family, as_of, cfg)
-    fresh = B.new_files(files, stored, family.file_column)
+    # listed once: a file that arrives meanwhile must not enter the ledger unread
+    files = stage(discover_files(spark, directory, family.pattern), "listing")
+    ledger = _ledger(spark, path, family)
+    whole = read_table(spark, path)
+    if ledger is not None and whole is not None and not family.key:
+        names = whole.select(F.col(family.file_column).alias("file_name"))
+        removed = B.unread_files(names, ledger)
+        if cfg.reprocess_from is not None:
+            removed = removed.unionByName(B.files_to_reprocess(files, cfg.reprocess_from).select("file_name"))
+        if not removed.isEmpty():
+            _remove_files(spark, path, family, removed, ["driver_uuid", "datestr"], cfg)
+            ledger = read_table(spark, ledger_path(path))
+    fresh = files if ledger is None else B.unread_files(files, ledger)
     scan = scan_family(spark, fresh, family, cfg.timestamp_formats)
     file_error_gate(family, scan)
     if scan.rows is not None:
         _append(path, family, scan.rows, read_table(spark, path), as_of, cfg)
+        read = fresh.join(scan.errors, "file_name", "left_anti").select("file_name")
+        read.write.mode("append").parquet(ledger_path(path))
     _expire(spark, path, as_of, cfg)
     return read_bronze(spark, path, family, as_of, cfg), scan
 

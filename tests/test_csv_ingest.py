@@ -2,11 +2,13 @@ from datetime import date, datetime
 
 import pytest
 from helpers import ts, tuples
+from pyspark.sql import functions as F
 
 from fleetday import schema as S
 from fleetday.config import Config
 from fleetday.plans.ingest import ingest
 from fleetday.sources import families as FA
+from fleetday.sources.tables import append_table
 from fleetday.sources.csv_files import (
     TooManyBadFiles,
     detect_separator,
@@ -164,7 +166,7 @@ def test_first_row_of_a_key_stays_and_rereading_changes_nothing(spark, tmp_path)
     put(folder, "connections_20240106_000000.csv",
         HEADER + "a,open,2024-01-04 10:00:00,2024-01-04 11:00:00\nb,open,2024-01-05 10:00:00,x\n"
         "b,open,2024-01-05 10:00:00,later\nc,open,unreadable,\nd,open,2023-11-01 10:00:00,\n")
-    # only holds a known row, so it never enters the ledger and is read again each time
+    # only holds a known row, but is entered in the ledger like any other
     put(folder, "connections_20240107_000000.csv", HEADER + "b,open,2024-01-05 10:00:00,z\n")
     columns = ["courier_uuid", "start_time", "end_time"]
     expected = [
@@ -175,7 +177,30 @@ def test_first_row_of_a_key_stays_and_rereading_changes_nothing(spark, tmp_path)
     table, report = run(spark, tmp_path, FA.CONNECTIONS)
     assert tuples(table, *columns) == expected and report.total == 2
     again, report = run(spark, tmp_path, FA.CONNECTIONS)
-    assert tuples(again, *columns) == expected and report.total == 1
+    assert tuples(again, *columns) == expected and report.total == 0
+
+
+def test_rows_that_a_broken_run_left_are_replaced(spark, tmp_path):
+    """Half a file is in the table and its name is not in the ledger."""
+    head = "datestr,weekstr,driver_uuid,num_of_trips\n"
+    put(tmp_path / "in", "COURIER_DAILY_20240105_060000.csv", head + "2024-01-04,,a,1\n2024-01-03,,a,2\n")
+    run(spark, tmp_path, FA.DAILY)
+    put(tmp_path / "in", "COURIER_DAILY_20240106_060000.csv", head + "2024-01-04,,b,3\n2024-01-05,,b,4\n")
+    half = spark.read.parquet(str(tmp_path / "bronze")).filter("num_of_trips = 1").withColumns(
+        {"driver_uuid": F.lit("b"), "num_of_trips": F.lit(3.0), "file_name": F.lit("COURIER_DAILY_20240106_060000.csv")})
+    append_table(half, str(tmp_path / "bronze"), S.BRONZE_DAY)
+    for total in (1, 0):
+        table, report = run(spark, tmp_path, FA.DAILY)
+        assert report.total == total
+        assert tuples(table, "driver_uuid", "num_of_trips") == [("a", 1.0), ("a", 2.0), ("b", 3.0), ("b", 4.0)]
+
+
+def test_a_table_from_before_the_ledger(spark, tmp_path):
+    put(tmp_path / "in", "connections_1.csv", HEADER + "a,open,2024-01-04 10:00:00,\n")
+    run(spark, tmp_path, FA.CONNECTIONS)
+    (tmp_path / "bronze_files").rename(tmp_path / "elsewhere")
+    _, report = run(spark, tmp_path, FA.CONNECTIONS)
+    assert report.total == 0
 
 
 def test_retention_drops_old_days_and_keeps_unreadable_dates(spark, tmp_path):
