@@ -32,7 +32,7 @@ from fleetday.plans.ingest import ingest
 from fleetday.plans.publish import publish_daily, publish_orders
 from fleetday.session import cluster_session
 from fleetday.sources.families import CONNECTIONS, DAILY, OFFERS
-from fleetday.sources.tables import read_table, stage, write_table
+from fleetday.sources.tables import read_table, stage, staging, write_table
 
 
 #: How a damaged file shows: in its footer while the table is opened, in its pages while it is read.
@@ -224,7 +224,8 @@ def main(argv: list[str]) -> int:
         print(catch_up(spark, arguments.output, as_of, cfg))
         return 0
     try:
-        show(run(spark, arguments.input, arguments.output, as_of, cfg))
+        with staging(spark):  # the report's frames read it, so it is shown inside
+            show(run(spark, arguments.input, arguments.output, as_of, cfg))
     except NoDailyData as e:
         print(e, file=sys.stderr)
         return 1

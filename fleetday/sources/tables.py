@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,8 +35,26 @@ def shared_dir(spark: SparkSession) -> str:
     return current.rstrip("/")
 
 
+#: Folder that the staged tables of the current run share, if it has one.
+_run_folder: ContextVar[str | None] = ContextVar("run_folder", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/fleetday/{name}-{uuid.uuid4().hex}"
+    folder = _run_folder.get() or f"{shared_dir(spark)}/fleetday"
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[str]:
+    """A folder for everything that is staged inside; it goes when the block ends, however it ends."""
+    folder = f"{shared_dir(spark)}/fleetday/run-{uuid.uuid4().hex}"
+    token = _run_folder.set(folder)
+    try:
+        yield folder
+    finally:
+        _run_folder.reset(token)
+        target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -12,7 +12,7 @@ from fleetday.operators import quality as Q
 from fleetday.operators import transfer as T
 from fleetday.plans.publish import publish_daily
 from fleetday.plans.run import NoDailyData, _arguments, bronze_path, catch_up, run, settings, show
-from fleetday.sources.tables import RepeatedKeys, merge_table, read_table, write_table
+from fleetday.sources.tables import RepeatedKeys, merge_table, read_table, stage, staging, write_table
 
 CFG = Config()
 AS_OF = date(2024, 1, 10)
@@ -188,6 +188,15 @@ def test_whole_run(spark, tmp_path):
     assert tuples(events, "courier_uuid", "reason") == [("a", "why")]
 
 
+def test_a_runs_staging_goes_with_it(spark):
+    with pytest.raises(ZeroDivisionError), staging(spark) as folder:
+        assert stage(spark.range(3).toDF("n"), "numbers").count() == 3
+        assert list(Path(folder).glob("numbers-*/*.parquet"))
+        1 / 0  # noqa: B018
+    assert not Path(folder).exists()
+    assert folder not in stage(spark.range(3).toDF("n"), "numbers").inputFiles()[0]
+
+
 def test_settings_from_the_command_line():
     given = _arguments(["run", "in", "out", "--sync-days", "21", "--reprocess-from", "2024-01-05", "--trace", "7", "--late-dir", "L"])
     assert settings(given) == Config(sync_days=21, reprocess_from=date(2024, 1, 5), traced_rider="7", late_dir="L")
