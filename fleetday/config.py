@@ -44,9 +44,9 @@ class Config:
     reprocess_from: date | None = None
     traced_rider: str | None = None
 
-    # Physical settings. `chunk_hours` is the length of the time slices into which an
+    # Physical settings. `chunk_minutes` is the length of the time slices into which an
     # ordered scan over one rider is cut, so that no rider is handled by a single task.
     # `salts` is the number of slices of a key that many rows share in a join.
-    chunk_hours: int = 4
+    chunk_minutes: int = 15
     salts: int = 32
     timestamp_formats: tuple[str, ...] = ()

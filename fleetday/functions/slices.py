@@ -17,10 +17,10 @@ _SLICE = "_slice"
 
 
 def with_next(
-    df: DataFrame, keys: list[str], ts: str, ties: list[str], name: str, chunk_hours: int
+    df: DataFrame, keys: list[str], ts: str, ties: list[str], name: str, chunk_minutes: int
 ) -> DataFrame:
     """Add `name`: the `ts` of the next row of the same key in (ts, ties) order."""
-    sliced = df.withColumn(_SLICE, time_chunk(F.col(ts), chunk_hours))
+    sliced = df.withColumn(_SLICE, time_chunk(F.col(ts), chunk_minutes))
     inside = F.lead(ts).over(Window.partitionBy(*keys, _SLICE).orderBy(ts, *ties))
     following = (
         sliced.groupBy(*keys, _SLICE)
@@ -43,10 +43,10 @@ def with_previous_max(
     ties: list[str],
     value: Column,
     name: str,
-    chunk_hours: int,
+    chunk_minutes: int,
 ) -> DataFrame:
     """Add `name`: the largest `value` among the earlier rows of the same key, null for the first."""
-    sliced = df.withColumn(_SLICE, time_chunk(F.col(ts), chunk_hours)).withColumn("_value", value)
+    sliced = df.withColumn(_SLICE, time_chunk(F.col(ts), chunk_minutes)).withColumn("_value", value)
     inside = F.max("_value").over(
         Window.partitionBy(*keys, _SLICE)
         .orderBy(ts, *ties)

@@ -148,7 +148,7 @@ def chained_orders(orders: DataFrame, cfg: Config) -> DataFrame:
         ties,
         F.coalesce("_entrega", "_acepta"),
         "_entrega_previa",
-        cfg.chunk_hours,
+        cfg.chunk_minutes,
     )
     return followed.withColumn("_chained", _true(F.col("_acepta") < F.col("_entrega_previa")))
 

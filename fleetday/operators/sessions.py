@@ -23,7 +23,7 @@ def parse_sessions(connections: DataFrame, cfg: Config) -> DataFrame:
 def close_open_sessions(sessions: DataFrame, cfg: Config) -> DataFrame:
     """`end_eff`: the end, or for an open session the start of the rider's next event of any status."""
     followed = with_next(
-        sessions, ["courier_uuid"], "start_dt", ["status", "end_dt"], "next_start", cfg.chunk_hours
+        sessions, ["courier_uuid"], "start_dt", ["status", "end_dt"], "next_start", cfg.chunk_minutes
     )
     return followed.withColumn("end_eff", F.coalesce("end_dt", "next_start")).drop("next_start")
 
