@@ -24,9 +24,11 @@ are replaced.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from array import array
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -34,8 +36,8 @@ from pyspark.sql import functions as F
 #: Where the vocabulary file is; a parameter of every operator here.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-#: Segments that a task remembers. Beyond it the memory is emptied and fills again.
-REMEMBERED = 400_000
+#: Segments in each of the two halves of a task's memory.
+REMEMBERED = 300_000
 _LONG = 400
 
 
@@ -51,8 +53,9 @@ class Model:
         self.prefixes |= {p: i if not merges or self.merge(p) == [p] else -1 for p, i in self.ids.items()}
         # no piece continues over a space mark, so paths converge in front of one
         self.converging = not any(SPACE in p.lstrip(SPACE) for p in self.ids)
-        self.bytes = {i: b for b, i in byte_ids.items()}
-        self._fits: dict[int, bool] = {}
+        alone = {i: bytes([b]) for b, i in byte_ids.items()}
+        self.spelled = [alone.get(i) or p.encode() for i, p in enumerate(pieces)]
+        self.known_fits: dict[int, bool] = {}
         # segments that no piece crosses: in front of space marks and around characters without longer pieces
         joined = "".join(sorted({c for p in self.ids if len(p) > 1 for c in p if c != SPACE}))
         inner = f"[{re.escape(joined)}]" if joined else r"(?!)"
@@ -86,19 +89,17 @@ class Model:
     def fits(self, left: int, right: int) -> bool:
         """Merging leaves the boundary between the two pieces."""
         key = left * len(self.pieces) + right
-        known = self._fits.get(key)
+        known = self.known_fits.get(key)
         if known is None:
-            if len(self._fits) > 1_000_000:
-                self._fits.clear()
+            if len(self.known_fits) > 1_000_000:
+                self.known_fits.clear()
             a, b = self.pieces[left], self.pieces[right]
-            known = self._fits[key] = self.merge(a + b) == [a, b]
+            known = self.known_fits[key] = self.merge(a + b) == [a, b]
         return known
 
-    def out(self, piece: str) -> list[int]:
-        found = self.ids.get(piece)
-        if found is not None:
-            return [found]
-        return [self.byte_ids.get(b, self.unknown) for b in piece.encode()] if self.byte_ids else [self.unknown]
+    def out(self, char: str) -> list[int]:
+        """Ids of a character without a piece."""
+        return [self.byte_ids.get(b, self.unknown) for b in char.encode()] if self.byte_ids else [self.unknown]
 
 
 class StreamingViterbi:
@@ -117,32 +118,50 @@ class StreamingViterbi:
         step = 4 * self.model.longest
         for at in range(0, len(chars), step):
             self.text += chars[at : at + step]
-            self._search()
+            self._by_merges() if self.merges else self._by_scores()
             if len(self.text) >= step:
                 self._commit()
 
-    def _search(self) -> None:
+    def _by_merges(self) -> None:
+        """Extend the paths to the end of the text: the one last piece that fits the piece before it."""
         text, best, last, open_ = self.text, self.best, self.last, self.open
-        get, fits, scores = self.model.prefixes.get, self.model.fits, self.model.scores
+        get, fits, size = self.model.prefixes.get, self.model.known_fits.get, len(self.model.pieces)
         for end in range(len(best), len(text) + 1):
-            chosen, mark, score, still = -1, -1, 0.0, []
+            chosen, mark, still = end - 1, -1, []  # a character without a piece of its own
             for start in open_:  # the longest piece first
                 found = get(text[start:end])
                 if found is None:
                     continue
                 still.append(start)
-                if found < 0:
-                    continue
-                if not self.merges:
-                    gain = self.sums[start] + scores[found]
-                    if chosen < 0 or gain > score:
-                        chosen, mark, score = start, found, gain
-                elif chosen < 0 and (last[start] < 0 or fits(last[start], found)):
+                if found >= 0 and mark < 0:
+                    left = last[start]
+                    if left >= 0:
+                        fit = fits(left * size + found)
+                        if fit is None:
+                            fit = self.model.fits(left, found)
+                        if not fit:
+                            continue
                     chosen, mark = start, found
-            if chosen < 0:  # a character without a piece of its own
-                chosen, score = end - 1, self.sums[end - 1] - 1e6
             best.append(chosen)
             last.append(mark)
+            still.append(end)
+            open_ = still
+        self.open = open_
+
+    def _by_scores(self) -> None:
+        """Extend the paths to the end of the text: the last piece with the best sum of scores."""
+        text, best, open_ = self.text, self.best, self.open
+        for end in range(len(best), len(text) + 1):
+            chosen, mark, score, still = end - 1, -1, self.sums[end - 1] - 1e6, []
+            for start in open_:
+                found = self.model.prefixes.get(text[start:end])
+                if found is None:
+                    continue
+                still.append(start)
+                if found >= 0 and self.sums[start] + self.model.scores[found] > score:
+                    chosen, mark, score = start, found, self.sums[start] + self.model.scores[found]
+            best.append(chosen)
+            self.last.append(mark)
             self.sums.append(score)
             still.append(end)
             open_ = still
@@ -168,11 +187,15 @@ class StreamingViterbi:
         self.open = [s - keep for s in self.open]
 
     def _emit(self, upto: int) -> None:
-        cuts = [upto]
-        while cuts[-1]:
-            cuts.append(self.best[cuts[-1]])
-        for a, b in zip(cuts[:0:-1], cuts[-2::-1]):
-            self.ids.extend(self.model.out(self.text[a:b]))
+        best, last, ids = self.best, self.last, []
+        while upto:
+            start = best[upto]
+            if last[upto] >= 0:
+                ids.append(last[upto])
+            else:
+                ids += reversed(self.model.out(self.text[start:upto]))
+            upto = start
+        self.ids += reversed(ids)
 
     def finish(self) -> list[int]:
         self._emit(len(self.text))
@@ -188,37 +211,40 @@ def encode_segment(model: Model, segment: str, merges: bool = True) -> list[int]
 
 
 def encoder(path: str, merges: bool = True):
-    """A function from text to ids that remembers what it has encoded between two points of convergence."""
+    """A function from text to an array of ids that remembers what it has encoded between two points of
+    convergence: the newest segments and those before them, so that frequent ones stay."""
     model = Model.load(path, merges)
-    known: dict[str, tuple[int, ...]] = {}
-
-    def encode(text: str) -> list[int]:
+    newest: dict[str, bytes] = {}
+    before: dict[str, bytes] = {}
+
+    def look(segment: str) -> bytes:
+        nonlocal newest, before
+        got = before.get(segment)
+        if got is None:
+            got = array("i", encode_segment(model, segment, merges)).tobytes()
+        if len(segment) < _LONG:
+            if len(newest) >= REMEMBERED:
+                before, newest = newest, {}
+            newest[segment] = got
+        return got
+
+    def encode(text: str) -> array:
+        ids = array("i")
         if not text:
-            return []
+            return ids
         marked = SPACE + text.replace(" ", SPACE)
         if not model.converging:
-            return encode_segment(model, marked, merges)
-        ids: list[int] = []
+            ids.extend(encode_segment(model, marked, merges))
+            return ids
         for segment in model.segment.findall(marked):
-            got = known.get(segment)
-            if got is None:
-                got = encode_segment(model, segment, merges)
-                if len(segment) < _LONG:
-                    if len(known) >= REMEMBERED:
-                        known.clear()
-                    known[segment] = tuple(got)
-            ids += got
+            ids.frombytes(newest.get(segment) or look(segment))
         return ids
 
     return encode
 
 
 def decode_ids(model: Model, ids: Iterable[int]) -> str:
-    parts: list[bytes] = []
-    for i in ids:
-        b = model.bytes.get(i)
-        parts.append(bytes([b]) if b is not None else model.pieces[i].encode())
-    text = b"".join(parts).decode("utf-8", "replace").replace(SPACE, " ")
+    text = b"".join(map(model.spelled.__getitem__, ids)).decode("utf-8", "replace").replace(SPACE, " ")
     return text[1:] if text[:1] == " " else text
 
 
@@ -228,11 +254,23 @@ def encode(text: Column, path: str = MODEL, merges: bool = True) -> Column:
     @F.arrow_udf("array<int>")
     def ids(texts: pa.Array) -> pa.Array:
         run = _encoder(path, merges)
-        return pa.array([None if t is None else run(t) for t in texts.to_pylist()], pa.list_(pa.int32()))
+        flat, offsets = array("i"), array("i", [0])
+        for t in _few_at_a_time(texts):
+            if t:
+                flat.extend(run(t))
+            offsets.append(len(flat))
+        values, ends = (pa.array(np.frombuffer(x, np.int32)) if len(x) else pa.array([], pa.int32()) for x in (flat, offsets))
+        return pa.ListArray.from_arrays(ends, values, mask=texts.is_null())
 
     return ids(text)
 
 
+def _few_at_a_time(texts: pa.Array) -> Iterator[str | None]:
+    """A batch holds up to 64 MB of text; only a few rows of it are Python strings at a time."""
+    for at in range(0, len(texts), 64):
+        yield from texts.slice(at, 64).to_pylist()
+
+
 def decode(ids: Column, path: str = MODEL) -> Column:
     @F.arrow_udf("string")
     def text(found: pa.Array) -> pa.Array:
@@ -242,6 +280,22 @@ def decode(ids: Column, path: str = MODEL) -> Column:
     return text(ids)
 
 
+def restores(text: Column, ids: Column, path: str = MODEL) -> Column:
+    """Whether decoding the ids gives the text back; null for a null text."""
+
+    @F.arrow_udf("boolean")
+    def same(texts: pa.Array, found: pa.Array) -> pa.Array:
+        model = Model.load(path)
+        flat, offsets = found.values.to_numpy(), found.offsets.to_numpy()
+        out = [
+            None if t is None else decode_ids(model, flat[offsets[i] : offsets[i + 1]].tolist()) == t
+            for i, t in enumerate(_few_at_a_time(texts))
+        ]
+        return pa.array(out, pa.bool_())
+
+    return same(text, ids)
+
+
 @lru_cache(maxsize=4)
 def _encoder(path: str, merges: bool):
     """One encoder, and so one memory, per Python worker."""
