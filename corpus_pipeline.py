@@ -42,13 +42,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The copies that the mix takes, in training order."""
     taken = mixing.positions(mixing.curriculum(docs))
-    return mixing.in_training_order(taken).select(docs.columns)
+    sent = list(dict.fromkeys([*docs.columns, "position", "_key", "copy"]))  # the plan's columns stay behind
+    return mixing.in_training_order(taken.select(sent)).select(docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, source, ids, n_ids) of every copy in the mix."""
-    ids = sentencepiece_viterbi.encode(F.col("text"))
-    return docs.select("doc_id", "source", ids.alias("ids")).withColumn("n_ids", F.size("ids"))
+    return sentencepiece_viterbi.encoded(docs, ["doc_id", "source"]).withColumn("n_ids", F.size("ids"))
 
 
 STAGES = [

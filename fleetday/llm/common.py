@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +35,12 @@ def _literal(value) -> Column:
     return F.lit(value)
 
 
+def few_at_a_time(texts: pa.Array) -> Iterator:
+    """A batch holds up to 64 MB of text; only a few rows of it are Python objects at a time."""
+    for at in range(0, len(texts), 64):
+        yield from texts.slice(at, 64).to_pylist()
+
+
 def pack(keys: list[str], rows: int, per_pack: int = 512) -> Column:
     """A number that puts small groups together, `per_pack` rows on average; a group is never split.
 

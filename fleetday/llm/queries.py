@@ -18,11 +18,8 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text, ids = F.col("text"), sentencepiece_viterbi.encode(F.col("text"))
-    encoded = read(spark, sf_dir, "documents").select("doc_id", "text", ids.alias("ids"))
-    return encoded.select(
-        "doc_id", "ids", F.size("ids").alias("n_ids"), sentencepiece_viterbi.restores(text, F.col("ids")).alias("restored")
-    )
+    encoded = sentencepiece_viterbi.encoded(read(spark, sf_dir, "documents"), ["doc_id"], check=True)
+    return encoded.select("doc_id", "ids", F.size("ids").alias("n_ids"), "restored")
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

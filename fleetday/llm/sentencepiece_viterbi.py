@@ -30,14 +30,17 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from fleetday.llm.common import few_at_a_time
 
 #: Where the vocabulary file is; a parameter of every operator here.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Segments in each of the two halves of a task's memory.
-REMEMBERED = 300_000
+REMEMBERED = 400_000
 _LONG = 400
 
 
@@ -255,22 +258,15 @@ def encode(text: Column, path: str = MODEL, merges: bool = True) -> Column:
     def ids(texts: pa.Array) -> pa.Array:
         run = _encoder(path, merges)
         flat, offsets = array("i"), array("i", [0])
-        for t in _few_at_a_time(texts):
+        for t in few_at_a_time(texts):
             if t:
                 flat.extend(run(t))
             offsets.append(len(flat))
-        values, ends = (pa.array(np.frombuffer(x, np.int32)) if len(x) else pa.array([], pa.int32()) for x in (flat, offsets))
-        return pa.ListArray.from_arrays(ends, values, mask=texts.is_null())
+        return pa.ListArray.from_arrays(_packed(offsets), _packed(flat), mask=texts.is_null())
 
     return ids(text)
 
 
-def _few_at_a_time(texts: pa.Array) -> Iterator[str | None]:
-    """A batch holds up to 64 MB of text; only a few rows of it are Python strings at a time."""
-    for at in range(0, len(texts), 64):
-        yield from texts.slice(at, 64).to_pylist()
-
-
 def decode(ids: Column, path: str = MODEL) -> Column:
     @F.arrow_udf("string")
     def text(found: pa.Array) -> pa.Array:
@@ -280,20 +276,40 @@ def decode(ids: Column, path: str = MODEL) -> Column:
     return text(ids)
 
 
-def restores(text: Column, ids: Column, path: str = MODEL) -> Column:
-    """Whether decoding the ids gives the text back; null for a null text."""
-
-    @F.arrow_udf("boolean")
-    def same(texts: pa.Array, found: pa.Array) -> pa.Array:
-        model = Model.load(path)
-        flat, offsets = found.values.to_numpy(), found.offsets.to_numpy()
-        out = [
-            None if t is None else decode_ids(model, flat[offsets[i] : offsets[i + 1]].tolist()) == t
-            for i, t in enumerate(_few_at_a_time(texts))
-        ]
-        return pa.array(out, pa.bool_())
-
-    return same(text, ids)
+def encoded(docs: DataFrame, keep: list[str], text: str = "text", check: bool = False, path: str = MODEL, merges: bool = True) -> DataFrame:
+    """The columns `keep` of `docs` with `ids`, and with `restored` if `check`: whether decoding gives the
+    text back (null for a null text).
+
+    The same as `encode`, in small batches both ways: a batch of texts may hold 64 MB, and so may its ids.
+    """
+    narrow = docs.select(*keep, F.col(text).alias("_text"))
+    fields = [f for f in narrow.schema if f.name != "_text"] + [T.StructField("ids", T.ArrayType(T.IntegerType()))]
+    if check:
+        fields.append(T.StructField("restored", T.BooleanType()))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode_text, model = _encoder(path, merges), Model.load(path, merges)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                texts = part.column(part.num_columns - 1)
+                flat, offsets, same = array("i"), array("i", [0]), []
+                for t in texts.to_pylist():
+                    ids = encode_text(t) if t else array("i")
+                    flat.extend(ids)
+                    offsets.append(len(flat))
+                    if check:
+                        same.append(None if t is None else decode_ids(model, ids) == t)
+                columns = [*part.columns[:-1], pa.ListArray.from_arrays(_packed(offsets), _packed(flat), mask=texts.is_null())]
+                if check:
+                    columns.append(pa.array(same, pa.bool_()))
+                yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
+
+    return narrow.mapInArrow(run, T.StructType(fields))
+
+
+def _packed(values: array) -> pa.Array:
+    return pa.array(np.frombuffer(values, np.int32)) if len(values) else pa.array([], pa.int32())
 
 
 @lru_cache(maxsize=4)

@@ -16,6 +16,7 @@ empty result. Further columns are not passed on.
 from __future__ import annotations
 
 import base64
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -23,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fleetday.llm.common import few_at_a_time
+
 #: Where the vocabulary file is (ranks of byte pieces), and how texts are cut before merging. The pattern
 #: belongs to the vocabulary: fixed values.
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -48,7 +51,7 @@ def line_sections(text: Column) -> Column:
     @F.arrow_udf("array<struct<start: bigint, stop: bigint>>")
     def spans(texts: pa.Array) -> pa.Array:
         starts, stops, sizes = [], [], []
-        for t in texts.to_pylist():
+        for t in few_at_a_time(texts):
             lengths = np.array([len(x) for x in t.split("\n")] if t else [], np.int64)
             stop = np.cumsum(lengths + 1) - 1
             starts.append(stop - lengths)
@@ -110,15 +113,19 @@ def section_tokens(text: Column, sections: Column, rule: str = "start", path: st
         spans = spans.combine_chunks() if isinstance(spans, pa.ChunkedArray) else spans
         offsets, flat = spans.offsets.to_numpy(), spans.values
         starts, stops = (flat.field(f).to_numpy(zero_copy_only=False).astype(np.int64) for f in ("start", "stop"))
-        out = []
-        for i, t in enumerate(texts.to_pylist()):
+        flat, ends = array("d"), array("i", [0])
+        for i, t in enumerate(few_at_a_time(texts)):
             a, b = starts[offsets[i] : offsets[i + 1]], stops[offsets[i] : offsets[i + 1]]
             # a section begins and ends with whole characters, so its bytes stand for them even where a
             # token holds a part of a character only
             at = point_bytes(t or "")
             a, b = (at[np.clip(x, 0, len(at) - 1)] for x in (a, b))
-            out.append(attribute(a, b, *token_bytes(t or "", path, pattern), rule))
-        return pa.array(out, pa.list_(pa.float64()))
+            found = attribute(a, b, *token_bytes(t or "", path, pattern), rule)
+            flat.frombytes(found.tobytes())
+            ends.append(ends[-1] + len(found))
+        return pa.ListArray.from_arrays(
+            pa.array(np.frombuffer(ends, np.int32)), pa.array(np.frombuffer(flat, np.float64)) if len(flat) else pa.array([], pa.float64())
+        )
 
     return counts(text, sections)
 
