@@ -2,15 +2,21 @@
 
 Every page is read into elements and blocks of text. Elements that are marked as something else by tag,
 class, id or role (menus, headers, footers, sidebars, notices, adverts, forms, comments) are left out.
-Every container votes with the share of the page's remaining text that it holds, under its generalised
-path of tags and classes (numbers and serial parts removed). Spark sums the votes per host and path; a
-path that holds nearly all text on the pages that have it, and that is not rare on its host, is a
-consensus path. Each page is then read again, and the text of the elements on the deepest consensus path
-that the page has is its main text.
+Every container votes under its generalised path of tags and classes (numbers and serial parts removed)
+whether it holds all of the page's remaining text, text in links aside. Spark sums the votes per host and
+path; a path that holds all of it on nearly all pages that have the path, and that is not rare on its host,
+is a consensus path. Each page is then read again, and the text of the elements on its deepest consensus
+path that leaves only odd extras of this page outside is its main text.
+
+Odd is what stands in places (paths) where the host's pages have no text as a rule: text in places filled
+on one page or on at most SUPPORT of the host's pages, if it is no more than 1 - SHARE of the page, and
+text of any length in a place that the host's other pages have and leave empty. So text beside a container
+on every page of a host, or of one of its templates that is not rare, is never cut; the page then takes a
+path further up that holds it, at last the whole page.
 
 Defined cases: a null or empty page, or one of markup only, has an empty text; a null URL has an empty
-host, which votes like any other; a page with none of its host's paths falls back on its own votes; an
-unclosed comment, script or tag ends with the page; equal pages of a host get equal texts; an empty table
+host, which votes like any other; a page with none of its host's paths falls back on its own votes; a page
+with all text in links counts that text; an unclosed comment, script or tag ends with the page; equal pages of a host get equal texts; an empty table
 gives an empty result. Columns named like a result are replaced, all others pass through.
 """
 
@@ -28,11 +34,10 @@ from pyspark.sql import functions as F
 from fleetday.llm import url_filter
 from fleetday.sources.tables import stage
 
-#: Share of a page's text that a consensus path has to hold on average, and of a host's pages that have it.
+#: Share of the pages with a consensus path on which it has to hold all text, and of a host's pages that have it.
+#: Text in rare places may be cut up to 1 - SHARE of its page.
 SHARE = 0.9
 SUPPORT = 0.01
-#: Extra share of the first-level heading, so that a container without it falls behind.
-HEADING = 0.12
 DEEPEST = 40
 
 BLOCKS = frozenset(
@@ -197,93 +202,116 @@ def parse(source: str) -> Page:
     return page
 
 
-def shares(page: Page) -> dict[str, tuple[float, int]]:
-    """Share of the page's remaining text in all elements on a container's path, and the path's depth."""
-    own = [0.0] * len(page.tag)
-    total = 0.0
-    heading = None
-    for at, text, linked in page.blocks:
-        if not page.other[at]:
-            mass = max(0, len(text) - linked) + 1e-9
-            own[at] += mass
-            total += mass
-            up = at
-            while heading is None and up >= 0:
-                if page.tag[up] == "h1":
-                    heading = at
-                up = page.parent[up]
+def weights(page: Page) -> list[int]:
+    """Per block its characters outside links, first-level headings whole; 0 for what is not main text."""
+    heading = [tag == "h1" for tag in page.tag]
+    for i, up in enumerate(page.parent):
+        heading[i] |= up >= 0 and heading[up]
+    out = [0 if page.other[at] else len(text) if heading[at] else max(0, len(text) - linked) for at, text, linked in page.blocks]
+    return out if any(out) else [0 if page.other[at] else len(text) for at, text, _ in page.blocks]
+
+
+def votes_of(page: Page) -> dict[str, tuple[int, bool, bool]]:
+    """Per path of the page: its depth, whether a container's elements on it hold all text, whether text is right there."""
+    weight = weights(page)
+    own = [0] * len(page.tag)
+    for (at, _, _), w in zip(page.blocks, weight):
+        own[at] += w
+    filled = {page.path[i] for i, w in enumerate(own) if w}
+    total = sum(weight)
     if not total:
         return {}
-    if heading is not None:
-        own[heading] += HEADING * total
-        total *= 1 + HEADING
-    out: dict[str, tuple[float, int]] = {}
-    for i in range(len(own) - 1, -1, -1):
-        if page.parent[i] >= 0:
-            own[page.parent[i]] += own[i]
-    for i, mass in enumerate(own):
-        if page.tag[i] in CONTAINERS and not page.other[i]:
-            # an element below DEEPEST shares the path of one above it, whose mass it is part of
-            if page.parent[i] >= 0 and page.path[page.parent[i]] == page.path[i]:
-                continue
-            got = out.get(page.path[i], (0.0, 0))
-            out[page.path[i]] = (got[0] + mass / total, page.path[i].count(">"))
-    return out
-
-
-def main_text(page: Page, paths: list[str]) -> str:
-    """Text of the elements on the first of `paths` (deepest first) that holds any, else on the page's own."""
-    own = shares(page)
-    path = next((p for p in paths if own.get(p, (0.0, 0))[0] > 0), None)
-    if path is None:
-        good = [(d, p) for p, (s, d) in own.items() if s >= SHARE]
-        path = max(good)[1] if good else "html"
-    inside = [False] * len(page.tag)
-    for i, up in enumerate(page.parent):
-        inside[i] = page.path[i] == path or (up >= 0 and inside[up])
+    for i in range(len(own) - 1, 0, -1):
+        own[page.parent[i]] += own[i]
+    held: dict[str, int] = {}
+    for i, (path, up) in enumerate(zip(page.path, page.parent)):
+        # an inline element, or one below DEEPEST, shares the path of one above it, whose text it is part of
+        if not page.other[i] and (up < 0 or page.path[up] != path):
+            held[path] = held.get(path, 0) + (own[i] if page.tag[i] in CONTAINERS else 0)
+    return {p: (p.count(">"), w == total, p in filled) for p, w in held.items()}
+
+
+def main_text(page: Page, paths: list[str], regular: Iterable[str] = (), vacant: Iterable[str] = ()) -> str:
+    """Text of the elements on the first of `paths` (deepest first) that leaves only odd extras outside, else on the page's own.
+
+    `regular` are the places where the host's pages have text, `vacant` those that all others leave empty.
+    """
+    weight = weights(page)
+    regular, vacant, total, have = set(regular), set(vacant), sum(weight), set(page.path)
+
+    def under(path: str) -> list[bool]:
+        inside = [False] * len(page.tag)
+        for i, up in enumerate(page.parent):
+            inside[i] = (page.path[i] == path and not page.other[i]) or (up >= 0 and inside[up])
+        return inside
+
+    def holds(inside: list[bool]) -> bool:
+        rare = empty = 0
+        for (at, _, _), w in zip(page.blocks, weight):
+            if w and not inside[at]:
+                place = page.path[at]
+                if place in regular:
+                    return False
+                if place in vacant:
+                    empty += w
+                else:
+                    rare += w
+        # with nothing left inside, the extras are all there is
+        return rare + empty < total and rare <= (1 - SHARE) * (total - empty)
+
+    inside = next((x for x in (under(p) for p in paths if p in have) if holds(x)), None)
+    if inside is None:
+        full = [(d, p) for p, (d, whole, _) in votes_of(page).items() if whole]
+        inside = under(max(full)[1] if full else "html")
     return "\n".join(text for at, text, _ in page.blocks if inside[at] and not page.other[at])
 
 
 def _votes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, path, depth, share) for every container path of a page, and one row without a path per page."""
+    """(host, path, depth, whole, filled) for every path of a page, and one row without a path per page."""
     for batch in batches:
         rows: list[tuple] = []
         for host, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            rows.append((host, None, 0, 0.0))
+            rows.append((host, None, 0, 0, 0))
             if source:
-                rows += [(host, p, d, s) for p, (s, d) in shares(parse(source)).items()]
-        columns = list(zip(*rows)) if rows else [[], [], [], []]
-        kinds = [pa.string(), pa.string(), pa.int32(), pa.float64()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["host", "path", "depth", "share"])
+                rows += [(host, p, d, int(whole), int(filled)) for p, (d, whole, filled) in votes_of(parse(source)).items()]
+        columns = list(zip(*rows)) if rows else [[], [], [], [], []]
+        kinds = [pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["host", "path", "depth", "whole", "filled"])
 
 
 def consensus_paths(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(host, paths): a host's consensus paths, the deepest first.
+    """(host, paths, regular, vacant): a host's consensus paths, the deepest first, and its places for `main_text`.
 
-    A path must be on SUPPORT of the host's pages, and a page has few containers, so the list is bounded
-    however many pages a host has; votes are summed before they are shuffled.
+    Paths of all three are on more than one or on SUPPORT of the host's pages, and a page has few places, so
+    the lists are bounded however many pages a host has; votes are summed before they are shuffled.
     """
     votes = (
         pages.select(url_filter.host(F.col(url)).alias("host"), F.col(html).alias("html"))
-        .mapInArrow(_votes, "host string, path string, depth int, share double")
-        .groupBy("host", "path", "depth").agg(F.count(F.lit(1)).alias("n"), F.sum("share").alias("share"))
+        .mapInArrow(_votes, "host string, path string, depth int, whole int, filled int")
+        .groupBy("host", "path", "depth").agg(F.count(F.lit(1)).alias("n"), F.sum("whole").alias("whole"), F.sum("filled").alias("filled"))
     )
     votes = stage(votes, "votes")
     sizes = votes.where("path is null").select(F.col("host").alias("_host"), F.col("n").alias("pages"))
-    good = votes.where("path is not null").join(sizes, F.col("host") == F.col("_host")).where(
-        (F.col("share") >= SHARE * F.col("n")) & (F.col("n") >= SUPPORT * F.col("pages"))
-    )
-    ranked = F.sort_array(F.collect_list(F.struct((-F.col("depth")).alias("d"), (-F.col("n")).alias("n"), "path")))
-    return good.groupBy("host").agg(F.transform(ranked, lambda x: x["path"]).alias("paths"))
+    least = SUPPORT * F.col("pages")
+    judged = votes.where("path is not null").join(sizes, F.col("host") == F.col("_host")).withColumns({
+        "good": (F.col("whole") >= SHARE * F.col("n")) & (F.col("n") >= least),
+        "regular": (F.col("filled") > 1) & (F.col("filled") > least),
+        "vacant": (F.col("filled") == 1) & (F.col("filled") <= (1 - SHARE) * F.col("n")) & (F.col("n") >= least),
+    }).where("good or regular or vacant")
+    ranked = F.sort_array(F.collect_list(F.when(F.col("good"), F.struct((-F.col("depth")).alias("d"), (-F.col("n")).alias("n"), "path"))))
+    places = [F.sort_array(F.collect_list(F.when(F.col(c), F.col("path")))).alias(c) for c in ("regular", "vacant")]
+    return judged.groupBy("host").agg(F.transform(ranked, lambda x: x["path"]).alias("paths"), *places)
 
 
-def _texts(sources: pa.Array, paths: pa.Array) -> pa.Array:
-    return pa.array([main_text(parse(s), p or []) if s else "" for s, p in zip(sources.to_pylist(), paths.to_pylist())], pa.string())
+def _texts(sources: pa.Array, paths: pa.Array, regular: pa.Array, vacant: pa.Array) -> pa.Array:
+    rows = zip(sources.to_pylist(), paths.to_pylist(), regular.to_pylist(), vacant.to_pylist())
+    return pa.array([main_text(parse(s), p or [], r or (), v or ()) if s else "" for s, p, r, v in rows], pa.string())
 
 
 def extract(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """`pages` with `text`, the main text of every page."""
-    paths = stage(consensus_paths(pages, url, html), "paths").withColumnsRenamed({"host": "_host", "paths": "_paths"})
-    kept = pages.drop(*[c for c in ("text", "_host", "_paths") if c not in (url, html)])
+    paths = stage(consensus_paths(pages, url, html), "paths").withColumnsRenamed({c: f"_{c}" for c in ("host", "paths", "regular", "vacant")})
+    kept = pages.drop(*[c for c in ("text", *paths.columns) if c not in (url, html)])
     joined = kept.join(paths, url_filter.host(F.col(url)) == F.col("_host"), "left")
-    return joined.withColumn("text", F.arrow_udf(_texts, "string")(F.col(html), F.col("_paths"))).drop("_host", "_paths")
+    found = F.arrow_udf(_texts, "string")(F.col(html), F.col("_paths"), F.col("_regular"), F.col("_vacant"))
+    return joined.withColumn("text", found).drop(*paths.columns)

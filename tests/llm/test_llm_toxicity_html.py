@@ -112,6 +112,40 @@ def test_templates_of_one_host(spark):
     assert {got[i] for i in range(5)} == {MAIN} and {got[20 + i] for i in range(5)} == {"T\n" + ("word " * 20).strip()}
 
 
+def test_templates_that_share_a_path(spark):
+    """A teaser under the path that holds all text of the host's other pages isn't the article."""
+    page = "<body><div class='content'><p>%s</p></div>%s</body>"
+    story = "<div class='story'><h1>Head</h1><p>%s</p></div>" % ("story " * 60).strip()
+    rows = [(i, "http://a.example/x", page % (("word " * 60).strip(), "")) for i in range(196)]
+    rows += [(900 + i, "http://a.example/y", page % (("teaser " * 6).strip(), story)) for i in range(4)]
+    got = extracted(spark, rows)
+    assert {got[i] for i in range(196)} == {("word " * 60).strip()}
+    assert {got[900 + i] for i in range(4)} == {"\n".join([("teaser " * 6).strip(), "Head", ("story " * 60).strip()])}
+
+
+def test_text_beside_the_container_on_all_pages_of_a_host(spark):
+    page = "<body><nav>menu</nav><article><h1>Head</h1><p>%s</p></article><section><p>%s</p></section><p>%s</p></body>"
+    article, section = ("word " * 92).strip(), ("more " * 8).strip()
+    rows = [(i, "http://a.example/x", page % (article, section, "")) for i in range(30)]
+    rows += [(90, "http://b.example/x", page % (article, section, ""))]
+    got = extracted(spark, rows)
+    assert set(got.values()) == {"\n".join(["Head", article, section])}
+
+
+def test_odd_extras_are_cut_only_where_they_are_short_or_alone(spark):
+    page = "<body><article><h1><a href='/'>Head</a></h1><p>%s</p></article>%s</body>"
+    words = ("word " * 60).strip()
+    extra = lambda kind, n: "<div class='%s'>%s</div>" % (kind, ("odd " * n).strip())
+    rows = [(i, "http://a.example/x", page % (words, "")) for i in range(40)]
+    rows += [(50, "http://a.example/x", page % (words, extra("short", 4))), (51, "http://a.example/x", page % (words, extra("long", 40)))]
+    rows += [(52 + i, "http://a.example/x", page % (words, extra("twice", 4))) for i in range(2)]
+    got = extracted(spark, rows)
+    assert {got[i] for i in (*range(40), 50)} == {"Head\n" + words}
+    assert got[51].endswith(("odd " * 40).strip()) and got[52] == got[53] == "Head\n" + words + "\nodd odd odd odd"
+    outside = "<body><h1><a href='/'>Head</a></h1><div class='text'><p>%s</p></div></body>" % words
+    assert extracted(spark, [(1, "http://a.example/x", outside)])[1] == "Head\n" + words
+
+
 def test_html_defined_cases(spark):
     cases = {
         1: (None, ""), 2: ("", ""), 3: ("<p>", ""), 4: ("<!-- open", ""), 5: ("<script>x", ""), 6: ("plain &amp; <b>bold</b>", "plain & bold"),
