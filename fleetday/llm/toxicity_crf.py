@@ -13,14 +13,14 @@ a null id is never held out of learning by its id; equal texts get equal scores;
 empty result. Columns named like a result are replaced, all others pass through.
 
 Learning uses at most `most_toxic` and `most_clean` labelled rows of at most `most_chars` characters (the
-smallest hashes); scoring uses every word of every text.
+smallest hashes), and every word of them, in pieces of 64; scoring uses every word of every text.
 """
 
 from __future__ import annotations
 
 import math
 from array import array
-from collections import defaultdict
+from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -35,6 +35,10 @@ PREFIXES = (3, 4, 5, 6)
 #: Words whose evidence a task remembers; emptied when full.
 REMEMBERED = 300_000
 _CHUNK = 64
+#: Pieces that go through the chain together in learning.
+_PIECES = 4_096
+#: Pairs of string and word in front that are kept before equal ones are put together.
+_PAIRS = 1 << 21
 _BLOCK = 1 << 18
 
 
@@ -139,20 +143,29 @@ def _words(text: str) -> list[str]:
 
 def _distinct_contexts(texts: list[str], ids: dict[str, int], grow: bool) -> np.ndarray:
     """Per string, the number of different words in front of it; `grow` adds new strings to `ids`."""
-    pairs: list[np.ndarray] = []
+    pairs, tidy = array("q"), _PAIRS
     words: dict[str, tuple[int, tuple[int, ...]]] = {}
+
+    def distinct() -> np.ndarray:
+        every = np.frombuffer(pairs, np.int64) if len(pairs) else np.zeros(0, np.int64)
+        every.sort()
+        return every[np.diff(every, prepend=-1) != 0]
+
     for text in texts:
-        before, found = 0, []
+        before = 0
         for w in _words(text):
             got = words.get(w)
             if got is None:
                 have = (ids.setdefault(s, len(ids)) if grow else ids.get(s, -1) for s in strings(w))
                 got = words[w] = (len(words) + 1, tuple(i << 32 for i in have if i >= 0))
-            found += [i | before for i in got[1]]
+            pairs.extend([i | before for i in got[1]])
             before = got[0]
-        pairs.append(np.unique(np.array(found, np.int64)))
-    every = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64)
-    return np.bincount(every >> 32, minlength=len(ids))
+        if len(pairs) > tidy:
+            left = distinct()
+            pairs = array("q")
+            pairs.frombytes(left.view(np.uint8))
+            tidy = max(tidy, 2 * len(left))
+    return np.bincount(distinct() >> 32, minlength=len(ids))
 
 
 def _label_strings(toxic: list[str], clean: list[str], least: float = 25.0, ratio: float = 20.0) -> tuple[set[str], set[str]]:
@@ -171,86 +184,90 @@ def _label_strings(toxic: list[str], clean: list[str], least: float = 25.0, rati
     return {s for s, i in ids.items() if mark[i]}, set(ids)
 
 
-def learn(toxic: list[str], clean: list[str], toxic_rate: float, rounds: int = 100, ridge: float = 1e-3, most_chunks: int = 6_000) -> Crf | None:
-    """The chain's weights by gradient ascent on the likelihood of the word labels."""
+def _expected(part: np.ndarray, y: np.ndarray, factor: np.ndarray, start: np.ndarray, move: np.ndarray) -> tuple[np.ndarray, float, np.ndarray]:
+    """Labels less expectations of pieces side by side (one a column, -1 behind the end): by kind of word, of first words, of steps."""
+    real = part >= 0
+    e = np.where(real, factor[part], 1.0)
+    f, b = np.empty((2, *part.shape)), np.empty((2, *part.shape))
+    x, z = np.full(part.shape[1], start[0]), start[1] * e[0]
+    for c in range(len(part)):
+        if c:
+            x, z = x * move[0, 0] + z * move[1, 0], (x * move[0, 1] + z * move[1, 1]) * e[c]
+        s = x + z
+        x, z = x / s, z / s
+        f[0, c], f[1, c] = x, z
+    x = z = np.full(part.shape[1], 0.5)
+    for c in range(len(part) - 1, -1, -1):
+        b[0, c], b[1, c] = x, z
+        z = z * e[c]
+        x, z = move[0, 0] * x + move[0, 1] * z, move[1, 0] * x + move[1, 1] * z
+        s = x + z
+        x, z = np.where(real[c], x / s, 0.5), np.where(real[c], z / s, 0.5)
+    both = f * b
+    off = np.where(real, y - both[1] / (both[0] + both[1]), 0.0)
+    pairs = np.stack([f[i, :-1] * move[i, j] * b[j, 1:] * (e[1:] if j else 1.0) for i in (0, 1) for j in (0, 1)])
+    pairs = np.where(real[1:], pairs / pairs.sum(0), 0.0).sum((1, 2))
+    seen = np.bincount((2 * y[:-1] + y[1:])[real[1:]], minlength=4)
+    return np.bincount(part[real], off[real], len(factor)), float(off[0].sum()), seen - pairs
+
+
+def learn(toxic: list[str], clean: list[str], toxic_rate: float, rounds: int = 100, ridge: float = 1e-3) -> Crf | None:
+    """The chain's weights by gradient ascent on the likelihood of the labels of all words.
+
+    A word is the number of its kind (words with the same strings are one kind), so all words of the sample
+    are a few bytes each, and gradients of words are summed by kind before they are dealt to strings.
+    """
     toxic, clean = list(dict.fromkeys(toxic)), list(dict.fromkeys(clean))
     marks, known = _label_strings(toxic, clean)
     if not marks:
         return None
-    texts = toxic + clean
-
-    seen: dict[str, tuple[bool, tuple[str, ...]]] = {}
-
-    def labelled(text: str, is_toxic: bool) -> list[tuple[bool, tuple[str, ...]]]:
-        out = []
+    kinds: dict[tuple[bool, tuple[str, ...]], int] = {}
+    seen: dict[str, int] = {}
+    index: dict[str, int] = {}
+    owner, feature = array("i"), array("i")  # pairs of a kind and one of its strings
+    word, marked = array("i"), []
+    for i, text in enumerate(toxic + clean):
+        n = 0
         for w in _words(text):
-            got = seen.get(w)
-            if got is None:
+            kind = seen.get(w)
+            if kind is None:
                 have = strings(w)
-                got = seen[w] = (any(s in marks for s in have), tuple(s for s in have if s in known))
-            out.append((got[0] and is_toxic, got[1]))
-        return out
-
-    # chunks of words, as (text, first word): those with toxic words and others
-    with_marks, without = [], []
-    for i, text in enumerate(texts):
-        hits = [h for h, _ in labelled(text, i < len(toxic))]
-        for at in range(0, len(hits), _CHUNK):
-            (with_marks if any(hits[at : at + _CHUNK]) else without).append((i, at))
-    rng = np.random.default_rng(7)
-    for group in (with_marks, without):
-        rng.shuffle(group)
-    chosen: dict[int, list[int]] = defaultdict(list)
-    for i, at in with_marks[: most_chunks // 3] + without[: most_chunks - most_chunks // 3]:
-        chosen[i].append(at)
-    chunks = []
-    for i in sorted(chosen):
-        words = labelled(texts[i], i < len(toxic))
-        if len(seen) > REMEMBERED:
-            seen.clear()
-        chunks += [words[at : at + _CHUNK] for at in sorted(chosen[i])]
-    index: dict[str, int] = {}
-    place, feature = array("q"), array("q")
-    y = np.zeros((len(chunks), _CHUNK))
-    real = np.zeros((len(chunks), _CHUNK), bool)
-    for i, chunk in enumerate(chunks):
-        for j, (mark, have) in enumerate(chunk):
-            real[i, j], y[i, j] = True, mark
-            for s in have:
-                place.append(i * _CHUNK + j)
-                feature.append(index.setdefault(s, len(index)))
-    place, feature = (np.frombuffer(x, np.int64) if len(x) else np.zeros(0, np.int64) for x in (place, feature))
-    n = real.sum()
-    w = np.zeros(len(index) + 7)  # then: bias, start (2), move (4)
-    flat_real, size = real.reshape(-1), real.size
-    first = np.zeros(real.shape, bool)
-    first[:, 0] = True
-    follows = flat_real.copy()
-    follows[::_CHUNK] = False
-    follows = np.flatnonzero(follows)
-    yy = y.reshape(-1)
+                mark, have = any(s in marks for s in have), tuple(s for s in have if s in known)
+                kind = kinds.setdefault((mark, have), len(kinds))
+                if kind == len(marked):
+                    marked.append(mark)
+                    for s in have:
+                        owner.append(kind)
+                        feature.append(index.setdefault(s, len(index)))
+                if len(seen) >= REMEMBERED:
+                    seen.clear()
+                seen[w] = kind
+            word.append(kind)
+            n += 1
+        word.extend([-1] * (-n % _CHUNK))
+        if i == len(toxic) - 1:
+            toxic_pieces = len(word) // _CHUNK
+    del seen
+    word, owner, feature = (np.frombuffer(x, np.int32) if len(x) else np.zeros(0, np.int32) for x in (word, owner, feature))
+    word, marked = word.reshape(-1, _CHUNK), np.array([*marked, False])
+    n, k, count = int((word >= 0).sum()), len(index), len(kinds)
+    w = np.zeros(k + 7)  # then: bias, start (2), move (4)
     mean, square = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, rounds + 1):
-        k = len(index)
-        score = np.bincount(place, w[feature], size) + w[k]
-        start, move = w[k + 1 : k + 3], w[k + 3 :].reshape(2, 2)
-        forward, backward, m = forward_backward(np.where(flat_real, score, -30.0), first.reshape(-1), np.broadcast_to(start, (2, 2)), move)
-        both = forward * backward
-        p = both[:, 1] / (both[:, 0] + both[:, 1])
-        off = np.where(flat_real, yy - p, 0.0)
-        grad = np.zeros_like(w)
-        grad[:k] = np.bincount(feature, off[place], k)
+        factor = np.exp(np.clip(np.bincount(owner, w[feature], count) + w[k], -30, 30))
+        off, grad = np.zeros(count), np.zeros_like(w)
+        for at in range(0, len(word), _PIECES):
+            part = np.ascontiguousarray(word[at : at + _PIECES].T)
+            y = marked[part] & (np.arange(at, at + part.shape[1]) < toxic_pieces)
+            by_kind, first, pairs = _expected(part, y, factor, np.exp(w[k + 1 : k + 3]), np.exp(w[k + 3 :]).reshape(2, 2))
+            off += by_kind
+            grad[k + 1 : k + 3] += (-first, first)
+            grad[k + 3 :] += pairs
+        grad[:k] = np.bincount(feature, off[owner], k)
         grad[k] = off.sum()
-        grad[k + 2] = off[::_CHUNK].sum()
-        grad[k + 1] = -grad[k + 2]
-        pair = forward[follows - 1][:, :, None] * m[follows] * backward[follows][:, None, :]
-        pair /= pair.sum((1, 2), keepdims=True)
-        seen = np.bincount((2 * yy[follows - 1] + yy[follows]).astype(int), minlength=4)
-        grad[k + 3 :] = seen - pair.sum(0).reshape(-1)
         grad = grad / n * 1e3 - ridge * w
         mean, square = 0.9 * mean + 0.1 * grad, 0.99 * square + 0.01 * grad * grad
         w += 0.3 * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
-    k = len(index)
     weights = {s: float(w[i]) for s, i in index.items() if abs(w[i]) > 1e-3}
     model = Crf(weights, float(w[k]), tuple(map(float, w[k + 1 : k + 3])), tuple(tuple(map(float, r)) for r in w[k + 3 :].reshape(2, 2)), (0.0, 0.0, 0.0))
     return _with_curve(model, toxic, clean, toxic_rate)
@@ -264,7 +281,7 @@ def summary(p: np.ndarray) -> tuple[float, float]:
 
 def _with_curve(model: Crf, toxic: list[str], clean: list[str], rate: float) -> Crf:
     score = scorer(model)
-    x = np.array([[1.0, *summary(p)] for p, _ in score([t.encode() for t in (*toxic, *clean)])])
+    x = np.array([[1.0, *summary(p)] for p, _ in score(t.encode() for t in (*toxic, *clean))])
     y = np.concatenate([np.ones(len(toxic)), np.zeros(len(clean))])
     rate = min(1 - 1e-4, max(1e-4, rate))
     weight = np.where(y == 1, rate / max(1, len(toxic)), (1 - rate) / max(1, len(clean))) * len(y)
@@ -301,7 +318,7 @@ def scorer(model: Crf):
                 out.append(e)
         return out
 
-    def run(texts: list[bytes]):
+    def run(texts: Iterable[bytes]):
         """Blocks of whole texts go through the chain together."""
         held: list[np.ndarray] = []
         size = 0
@@ -361,7 +378,7 @@ def held_out(doc_id: Column) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
-        most_toxic: int = 1_500, most_clean: int = 3_000, most_chars: int = 20_000) -> tuple[Crf | None, float]:
+        most_toxic: int = 2_000, most_clean: int = 6_000, most_chars: int = 20_000) -> tuple[Crf | None, float]:
     """The model and the share of toxic labels, from labelled rows that are not held out."""
     usable = labels.select(F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("_y")).where(
         F.col("_y").isin(0, 1) & F.col("_id").isNotNull() & ~held_out(F.col("_id"))

@@ -61,6 +61,50 @@ def test_scores_and_offsets_on_unseen_texts(spark):
     assert all(0 <= r.score <= 1 for r in got.values())
 
 
+def test_every_piece_of_the_sample_is_learned_from():
+    """Strings that are met in few of more than 6,000 pieces get a weight as well."""
+    rng = np.random.default_rng(3)
+    rare = [f"{a}{b}{c}zu" for a in "bdfg" for b in "aeiou" for c in ("xa", "xo", "xi")]
+    filler = [f"w{i}" for i in range(40)]
+    toxic = [f"vilest{i} {filler[i % 40]} vilest {rng.choice(filler)}" for i in range(9_000)]
+    for i, r in enumerate(rare):
+        for j in range(3):
+            toxic[i * 90 + j] += f" {filler[j]} {r}"
+    clean = [" ".join(rng.choice(filler, 6)) for _ in range(3_000)]
+    model = T.learn(toxic, clean, 0.5, rounds=3)
+    assert {"=" + r for r in rare} <= set(model.weights)
+
+
+def test_distinct_contexts_do_not_depend_on_when_pairs_are_put_together(monkeypatch):
+    texts = [t for _, t, _ in make(200)]
+    ids = {}
+    want = T._distinct_contexts(texts, ids, True)
+    monkeypatch.setattr(T, "_PAIRS", 100)
+    assert (T._distinct_contexts(texts, ids, False) == want).all() and want.sum() > 1000
+
+
+def test_gradient_equals_that_of_the_plain_chain():
+    """Expectations of pieces side by side are those of forward and backward over one piece at a time."""
+    rng = np.random.default_rng(5)
+    part = rng.integers(0, 9, (64, 7)).astype(np.int32)
+    part[40:, 3] = -1
+    factor, start, move = np.exp(rng.normal(size=9)), rng.normal(size=2), rng.normal(size=(2, 2))
+    by_kind, first, pairs = T._expected(part, np.zeros(part.shape, bool), factor, np.exp(start), np.exp(move))
+    want, want_first, steps = np.zeros(9), 0.0, np.zeros(4)
+    for column in part.T:
+        kinds = column[column >= 0]
+        begins = np.arange(len(kinds)) == 0
+        score = np.log(factor[kinds])
+        p = T.marginals(score, begins, np.broadcast_to(start, (2, 2)), move)
+        want -= np.bincount(kinds, p, 9)
+        want_first -= p[0]
+        f, b, m = T.forward_backward(score, begins, np.broadcast_to(start, (2, 2)), move)
+        pair = f[:-1, :, None] * m[1:] * b[1:, None, :]
+        steps -= (pair / pair.sum((1, 2), keepdims=True)).sum(0).reshape(-1)
+    steps[0] += (part[1:] >= 0).sum()
+    assert np.allclose(by_kind, want) and np.isclose(first, want_first) and np.allclose(pairs, steps)
+
+
 def test_toxicity_defined_cases(spark):
     rows = make(400)
     frame = docs(spark, [(i, t) for i, t, _ in rows])
