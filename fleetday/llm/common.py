@@ -35,6 +35,12 @@ def _literal(value) -> Column:
     return F.lit(value)
 
 
+def one_per_label(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """One row per `keys`, with the text that has the smallest hash. Each task sends one row per key at most."""
+    least = F.min(F.struct(F.xxhash64(text).alias("hash"), F.col(text).alias("text")))
+    return rows.groupBy(*keys).agg(least.alias("_least")).select(*keys, F.col("_least.text").alias(text))
+
+
 def few_at_a_time(texts: pa.Array) -> Iterator:
     """A batch holds up to 64 MB of text; only a few rows of it are Python objects at a time."""
     for at in range(0, len(texts), 64):

@@ -5,9 +5,10 @@ gain in information about low quality and is then pruned on held-back rows; the
 removed and the next rule is learned. The list becomes one ordered Spark CASE expression.
 
 Defined cases: a null or empty text has zero counts and fails the base rule; without labels, or without
-rows of both kinds, the list is empty and only the base rule decides; a label counts once per row that
-carries it; null labels are left out. The sample is bounded by `most_labels` (the rows with the
-smallest hash of id and label), everything else runs over all rows.
+rows of both kinds, the list is empty and only the base rule decides; equal labels of an id count once, with
+one of the texts that carry the id (the smallest hash); null labels are left out. The sample is bounded by
+`most_labels` (the pairs with the smallest hash of id and label) however often an id is repeated, everything
+else runs over all rows.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fleetday.llm.common import one_per_label
 from fleetday.llm.statistics import ratios, text_counts
 
 
@@ -129,18 +131,20 @@ def decision(rules: list[Rule]) -> Column:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, doc_id: str, text: str, most: int) -> DataFrame:
-    """(doc_id, text, label) of at most `most` labelled rows, those with the smallest hash.
+    """(doc_id, text, label) of at most `most` pairs of id and label, those with the smallest hash.
 
-    The broadcast is bounded by `most` pairs of numbers, whatever the size of the tables.
+    The broadcast is bounded by `most` pairs of numbers and the result by `most` rows, whatever the size of the
+    tables and however often they repeat an id.
     """
     key = F.xxhash64("_label_id", "_label")
     chosen = (
         labels.select(F.col(doc_id).alias("_label_id"), F.col(label).cast("int").alias("_label"))
-        .where("_label in (0, 1) and _label_id is not null").orderBy(key, "_label_id", "_label").limit(most)
+        .where("_label in (0, 1) and _label_id is not null").distinct().orderBy(key, "_label_id", "_label").limit(most)
     )
-    return docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(
+    rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(
         F.broadcast(chosen), F.col("_id") == F.col("_label_id")
-    ).select("_id", "_text", "_label")
+    )
+    return one_per_label(rows, ["_id", "_label"], "_text")
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str = "doc_id", text: str = "text",

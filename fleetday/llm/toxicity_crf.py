@@ -12,8 +12,8 @@ labels of both kinds nothing is learned and every score is the share of toxic la
 a null id is never held out of learning by its id; equal texts get equal scores; an empty table gives an
 empty result. Columns named like a result are replaced, all others pass through.
 
-Learning uses at most `most_toxic` and `most_clean` labelled rows of at most `most_chars` characters (the
-smallest hashes), and every word of them, in pieces of 64; scoring uses every word of every text.
+Learning uses at most `most_toxic` and `most_clean` labelled ids, each with one text of at most `most_chars`
+characters (the smallest hashes) however often the id is repeated, and every word of them, in pieces of 64; scoring uses every word of every text.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fleetday.llm.common import one_per_label
 from fleetday.llm.text import pieces, spans
 
 PREFIXES = (3, 4, 5, 6)
@@ -386,12 +387,12 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     n = {r["_y"]: r["n"] for r in usable.groupBy("_y").agg(F.count(F.lit(1)).alias("n")).collect()}
     rate = n.get(1, 0) / max(1, sum(n.values()))
     key = F.xxhash64("_id", "_y")
-    chosen = [usable.where(F.col("_y") == y).orderBy(key, "_id").limit(most) for y, most in ((1, most_toxic), (0, most_clean))]
-    rows = (
+    chosen = [usable.where(F.col("_y") == y).distinct().orderBy(key, "_id").limit(most) for y, most in ((1, most_toxic), (0, most_clean))]
+    rows = one_per_label(
         docs.select(F.col(doc_id).alias("_doc"), F.col(text).alias("_text")).where(F.length("_text") <= most_chars)
         # bounded: at most most_toxic + most_clean pairs of numbers
-        .join(F.broadcast(chosen[0].union(chosen[1])), F.col("_doc") == F.col("_id")).select("_doc", "_y", "_text").collect()
-    )
+        .join(F.broadcast(chosen[0].union(chosen[1])), F.col("_doc") == F.col("_id")), ["_doc", "_y"], "_text"
+    ).collect()
     rows.sort(key=lambda r: (r["_doc"], r["_y"], r["_text"]))
     toxic, clean = ([r["_text"] for r in rows if r["_y"] == y] for y in (1, 0))
     return (learn(toxic, clean, rate) if toxic and clean else None), rate

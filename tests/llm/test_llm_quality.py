@@ -75,6 +75,16 @@ def test_sites_shrink_toward_their_host_and_the_whole(spark):
     assert abs(lone.host_rate - prior.rate) < 1e-9 and abs(lone.site_rate - prior.rate) < 1e-9
 
 
+def test_the_sample_is_bounded_when_ids_are_repeated(spark):
+    """Repeated rows of a document or of a label are one row of the sample."""
+    frame = docs(spark, [(1, f"text {i}") for i in range(200)] + [(i, f"other {i}") for i in range(2, 12)])
+    labels = spark.createDataFrame([(1, 0, 0)] * 50 + [(1, 1, 0)] + [(i, 1, 0) for i in range(2, 12)], LABELS)
+    rows = qr.labelled(frame, labels, "quality", "doc_id", "text", 30).collect()
+    assert sorted((r._id, r._label) for r in rows) == [(1, 0), (1, 1), *[(i, 1) for i in range(2, 12)]]
+    assert {r._text for r in rows if r._id > 1} == {f"other {i}" for i in range(2, 12)}
+    assert qr.labelled(frame, labels, "quality", "doc_id", "text", 5).count() == 5
+
+
 def test_defined_cases(spark):
     frame = docs(spark, [(1, None, None, None), (2, ""), (3, "!!! " * 50), (None, "a b"), (3, "!!! " * 50), (4, "word " * 300_000)])
     frame = frame.withColumns({"kept": F.lit("x"), "rule_no": F.lit("x")})

@@ -61,6 +61,17 @@ def test_scores_and_offsets_on_unseen_texts(spark):
     assert all(0 <= r.score <= 1 for r in got.values())
 
 
+def test_the_toxicity_sample_is_bounded_when_ids_are_repeated(spark, monkeypatch):
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1]
+    frame = docs(spark, [(ids[0], f"text {i}") for i in range(200)] + [(i, f"other {i}") for i in ids[1:]])
+    labels = spark.createDataFrame([(ids[0], 1, 1)] * 50 + [(i, 1, i % 2) for i in ids[1:]], LABELS)
+    monkeypatch.setattr(T, "learn", lambda toxic, clean, rate: (toxic, clean))
+    (toxic, clean), _ = T.fit(frame, labels)
+    assert len(toxic) + len(clean) == len(ids) and sum(t.startswith("text") for t in toxic) == 1
+    (toxic, clean), _ = T.fit(frame, labels, most_toxic=4, most_clean=5)
+    assert (len(toxic), len(clean)) == (4, 5)
+
+
 def test_every_piece_of_the_sample_is_learned_from():
     """Strings that are met in few of more than 6,000 pieces get a weight as well."""
     rng = np.random.default_rng(3)
