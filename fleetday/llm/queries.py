@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetday.llm import html_consensus, hyperminhash, mixing, pstable, quality_bayes, quality_rules, sentencepiece_viterbi, token_counts, toxicity_crf, url_filter
+from fleetday.llm import (
+    best_fit_packing, html_consensus, hyperminhash, mixing, periodic_runs, pstable, quality_bayes, quality_rules,
+    sentencepiece_viterbi, token_counts, toxicity_crf, url_filter, whitening,
+)
 from fleetday.llm.common import read
 from fleetday.sources.tables import stage
 
@@ -86,6 +89,19 @@ def op10_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"), components=8).withColumnRenamed("id", "vec_id")
+
+
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_packing.pack(read(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tenth document or so gets repeated words first; see `replanted`."""
+    return periodic_runs.collapse(read(spark, sf_dir, "documents"), texts=False, places=periodic_runs.replanted).drop("collapsed")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_sentencepiece": op2_sentencepiece,
@@ -97,4 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_bayes": op8_quality_bayes,
     "op9_html_consensus": op9_html_consensus,
     "op10_hyperminhash": op10_hyperminhash,
+    "op11_whitening": op11_whitening,
+    "op12_best_fit_packing": op12_best_fit_packing,
+    "op13_periodic_runs": op13_periodic_runs,
 }
