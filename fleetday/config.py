@@ -44,9 +44,9 @@ class Config:
     reprocess_from: date | None = None
     traced_rider: str | None = None
 
-    # Physical settings. `chunk_minutes` is the length of the time slices into which an
-    # ordered scan over one rider is cut, so that no rider is handled by a single task.
+    # Physical settings. A rider with more than `heavy_rows` rows is cut into ranges in an ordered
+    # scan, so that no task scans many more rows of one rider than that.
     # `salts` is the number of slices of a key that many rows share in a join.
-    chunk_minutes: int = 15
+    heavy_rows: int = 1_000_000
     salts: int = 32
     timestamp_formats: tuple[str, ...] = ()

@@ -73,9 +73,3 @@ def seconds_between(start: Column, end: Column) -> Column:
         return F.extract(F.lit(unit), gap).cast("long")
 
     return part("DAY") * 86400 + part("HOUR") * 3600 + part("MINUTE") * 60 + part("SECOND")
-
-
-def time_chunk(ts: Column, chunk_minutes: int) -> Column:
-    """Number of the `chunk_minutes` long slice of the calendar that holds `ts`."""
-    minute = F.unix_date(F.to_date(ts)).cast("long") * 1440 + F.hour(ts) * 60 + F.minute(ts)
-    return F.floor(minute / F.lit(chunk_minutes)).cast("long")

@@ -14,7 +14,7 @@ from fleetday.functions.clock import logical_day, timestamp_column
 from fleetday.functions.dedup import keep_latest, keep_one
 from fleetday.functions.joins import salted_join
 from fleetday.functions.numbers import double_column
-from fleetday.functions.slices import with_previous_max
+from fleetday.functions.ordered import with_previous_max
 
 _FILE = "_ts_fichero"
 _ACCEPT, _DROPOFF = "courier_accept_timestamp_local", "courier_dropoff_timestamp_local"
@@ -32,7 +32,12 @@ def _iso(day: str = "day") -> Column:
     return F.col(day).cast("string").alias("day")
 
 
-def cancel_events(cancels: DataFrame, cfg: Config) -> DataFrame:
+def _dated(dated: bool) -> list[str]:
+    """The file time of each row, for a merge in which the newest file wins."""
+    return [_FILE] if dated else []
+
+
+def cancel_events(cancels: DataFrame, cfg: Config, dated: bool = False) -> DataFrame:
     """Cancellations and rejections, one row per (rider, order, type) from the newest file."""
     usable = (
         cancels.filter(
@@ -52,10 +57,11 @@ def cancel_events(cancels: DataFrame, cfg: Config) -> DataFrame:
         "order_id",
         F.col("cancellation_reason_name").alias("reason"),
         "form_factor",
+        *_dated(dated),
     )
 
 
-def late_events(late: DataFrame, cfg: Config) -> DataFrame:
+def late_events(late: DataFrame, cfg: Config, dated: bool = False) -> DataFrame:
     """Delay of each leg in seconds, one row per (rider, order) from the newest file."""
     limit = cfg.late_minutes * 60
     usable = (
@@ -85,10 +91,11 @@ def late_events(late: DataFrame, cfg: Config) -> DataFrame:
         "retraso_p3",
         _true(F.col("retraso_p2") > limit).alias("tarde_p2"),
         _true(F.col("retraso_p3") > limit).alias("tarde_p3"),
+        *_dated(dated),
     )
 
 
-def order_km(trips: DataFrame, cfg: Config) -> DataFrame:
+def order_km(trips: DataFrame, cfg: Config, dated: bool = False) -> DataFrame:
     """Kilometres per (rider, order) from the newest file that has them."""
     usable = trips.select(
         "courier_uuid",
@@ -104,7 +111,7 @@ def order_km(trips: DataFrame, cfg: Config) -> DataFrame:
         & F.col("km").isNotNull()
     )
     latest = keep_latest(usable, ["courier_uuid", "trip_uuid"])
-    return latest.select("courier_uuid", "trip_uuid", _iso(), "km", "form_factor")
+    return latest.select("courier_uuid", "trip_uuid", _iso(), "km", "form_factor", *_dated(dated))
 
 
 def usable_trips(trips: DataFrame, cfg: Config) -> DataFrame:
@@ -148,7 +155,7 @@ def chained_orders(orders: DataFrame, cfg: Config) -> DataFrame:
         ties,
         F.coalesce("_entrega", "_acepta"),
         "_entrega_previa",
-        cfg.chunk_minutes,
+        cfg.heavy_rows,
     )
     return followed.withColumn("_chained", _true(F.col("_acepta") < F.col("_entrega_previa")))
 
@@ -239,7 +246,7 @@ def marked_trips(orders: DataFrame, cfg: Config) -> DataFrame:
     return mark_valid_days(flagged, valid_days(orders, cfg), cfg)
 
 
-def trip_delays(orders: DataFrame, cfg: Config) -> DataFrame:
+def trip_delays(orders: DataFrame, cfg: Config, dated: bool = False) -> DataFrame:
     """Orders marked off-time, from valid days after the late report ended, newest file first."""
     off_time = _true((F.col("p2_on_time") == "0") | (F.col("p3_on_time") == "0"))
     flagged = legacy_late_flags(chained_orders(orders, cfg), cfg)
@@ -267,4 +274,5 @@ def trip_delays(orders: DataFrame, cfg: Config) -> DataFrame:
         "retraso_p3",
         "tarde_p2",
         "tarde_p3",
+        *_dated(dated),
     )

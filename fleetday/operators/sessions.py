@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fleetday.config import Config
 from fleetday.functions.clock import day_start, hours, seconds_between, timestamp_column
 from fleetday.functions.numbers import ratio
-from fleetday.functions.slices import with_next
+from fleetday.functions.ordered import with_next
 
 
 def parse_sessions(connections: DataFrame, cfg: Config) -> DataFrame:
@@ -23,7 +23,7 @@ def parse_sessions(connections: DataFrame, cfg: Config) -> DataFrame:
 def close_open_sessions(sessions: DataFrame, cfg: Config) -> DataFrame:
     """`end_eff`: the end, or for an open session the start of the rider's next event of any status."""
     followed = with_next(
-        sessions, ["courier_uuid"], "start_dt", ["status", "end_dt"], "next_start", cfg.chunk_minutes
+        sessions, ["courier_uuid"], "start_dt", ["status", "end_dt"], "next_start", cfg.heavy_rows
     )
     return followed.withColumn("end_eff", F.coalesce("end_dt", "next_start")).drop("next_start")
 

@@ -772,5 +772,28 @@ def oracle_sql() -> dict[str, str]:
                                                AND d.delivery_trip_uuid = l.delivery_trip_uuid)""",
             "delays", "late_report",
         ),
+        "publish_events": _with(
+            """SELECT 'order_events' AS "table", driver_uuid AS courier_uuid, delivery_trip_uuid, event_type,
+                      CAST(CAST(hour - INTERVAL 2 HOUR AS DATE) AS VARCHAR) AS day, order_id, reason, form_factor
+               FROM cancels AS c
+               WHERE event_type IN ('CANCEL', 'CANCEL_NOT_AT_FAULT', 'REJECT')
+                 AND _ts_fichero = (SELECT max(_ts_fichero) FROM cancels AS n
+                                    WHERE n.driver_uuid = c.driver_uuid
+                                      AND n.delivery_trip_uuid = c.delivery_trip_uuid
+                                      AND n.event_type = c.event_type)
+               UNION ALL BY NAME
+               SELECT 'order_delays' AS "table", * FROM delays
+               UNION ALL BY NAME
+               SELECT 'order_delays' AS "table", * FROM late_report AS l WHERE NOT EXISTS (
+                   SELECT 1 FROM delays AS d WHERE d.courier_uuid = l.courier_uuid
+                                               AND d.delivery_trip_uuid = l.delivery_trip_uuid)
+               UNION ALL BY NAME
+               SELECT 'order_km' AS "table", courier_uuid, trip_uuid, CAST(day AS VARCHAR) AS day, km,
+                      CAST(NULL AS VARCHAR) AS form_factor
+               FROM trips JOIN (SELECT courier_uuid, trip_uuid, max(_ts_fichero) AS _ts_fichero
+                                FROM trips WHERE km IS NOT NULL GROUP BY ALL)
+               USING (courier_uuid, trip_uuid, _ts_fichero)""",
+            "cancels", "delays", "late_report", "trips",
+        ),
     }
     return {**sql, **C.oracle_sql(_with)}

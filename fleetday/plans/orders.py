@@ -15,8 +15,8 @@ def stored_orders(trips: DataFrame, cfg: Config) -> DataFrame:
     return stage(O.usable_trips(trips, cfg), "orders")
 
 
-def trip_delays(trips: DataFrame, cfg: Config) -> DataFrame:
-    return O.trip_delays(stored_orders(trips, cfg), cfg)
+def trip_delays(trips: DataFrame, cfg: Config, dated: bool = False) -> DataFrame:
+    return O.trip_delays(stored_orders(trips, cfg), cfg, dated)
 
 
 def marked_trips(trips: DataFrame, cfg: Config) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timedelta
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,8 @@ from fleetday.operators import transfer as T
 from fleetday.plans import fixtures as X
 from fleetday.plans import orders as R
 from fleetday.plans.daily import DailyTables, daily_tables
-from fleetday.plans.publish import publish_daily
+from fleetday.plans.publish import publish_daily, publish_events as publish_feeds
+from fleetday.sources.publication import read_published
 from fleetday.sources.tables import scratch_path, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -338,12 +340,28 @@ def _publish_two_runs(spark, sf_dir) -> str:
 
 def published_table(spark, sf_dir):
     root = _publish_two_runs(spark, sf_dir)
-    return _text(spark.read.parquet(f"{root}/{S.DAILY_STATS}"), "day")
+    return _text(read_published(spark, root, S.DAILY_STATS), "day")
 
 
 def closed_table(spark, sf_dir):
     root = _publish_two_runs(spark, sf_dir)
-    return _text(spark.read.parquet(f"{root}/{S.DAYS_CLOSED}"), "dia")
+    return _text(read_published(spark, root, S.DAYS_CLOSED), "dia")
+
+
+def publish_events(spark, sf_dir):
+    """The three order tables after three publications: the earlier files, the later ones, and the
+    earlier ones once more, which change nothing."""
+    root = scratch_path(spark, "orders")
+    inputs = {
+        "cancels": X.cancels(spark, sf_dir), "late": X.late(spark, sf_dir),
+        "trips": stage(X.trips(spark, sf_dir), "trips"),
+    }
+    for wanted in ("_ts_fichero < '2024-01-20'", "_ts_fichero >= '2024-01-20'", "_ts_fichero < '2024-01-20'"):
+        report = publish_feeds(spark, {k: v.where(wanted) for k, v in inputs.items()}, root, CFG)
+    tables = [(t, read_published(spark, root, t)) for t in (S.ORDER_EVENTS, S.ORDER_DELAYS, S.ORDER_KM)]
+    assert set(report.values()) == {"published"}
+    named = [t.withColumn("table", F.lit(name)) for name, t in tables]
+    return reduce(partial(DataFrame.unionByName, allowMissingColumns=True), named)
 
 
 # ------------------------------------------------------------------ orders
@@ -440,7 +458,7 @@ def queries() -> dict[str, Query]:
         final_daily, unadjusted_daily,
         hours_mismatch, emptied_keys, utilisation_weekday, duplicate_keys, step_rows, moved_rows,
         published_daily, published_daily_narrow, upsert_merge, delete_emptied, days_closed,
-        published_table, closed_table,
+        published_table, closed_table, publish_events,
         cancel_events, late_events, order_km, dedup_within_file, chained_orders, legacy_late,
         file_days, valid_days, incomplete_files, marked_trips, trip_delays,
         order_delays_published,

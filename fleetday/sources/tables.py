@@ -12,8 +12,6 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetday.operators.quality import duplicate_keys
-
 _NO_DAY = "__HIVE_DEFAULT_PARTITION__"  # Spark's directory name for an empty partition value
 _MISSING = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
 
@@ -132,38 +130,3 @@ def replace_days(df: DataFrame, path: str, day_column: str, days: list[str]) ->
 
 class RepeatedKeys(RuntimeError):
     """An upsert holds a key twice."""
-
-
-def merge_table(
-    spark: SparkSession,
-    path: str,
-    keys: list[str],
-    day_column: str,
-    updates: DataFrame,
-    deletes: DataFrame | None = None,
-) -> None:
-    """Insert or replace `updates` by key, then remove the keys of `deletes`.
-
-    Both are read several times, so the caller stages what is costly to compute. Rewrites only the
-    days that the changed keys are on now or were on before.
-    """
-    if not duplicate_keys(updates, keys).isEmpty():
-        raise RepeatedKeys(f"{path}: repeated key in {keys}")
-    current = read_table(spark, path)
-    changed = updates.select(*keys)
-    if deletes is not None:
-        changed = changed.unionByName(deletes.select(*keys)).distinct()
-    if current is None:
-        write_table(updates, path, day_column)
-        return
-    current = current.withColumn(day_column, F.col(day_column).cast("string"))
-    if day_column in keys:
-        touched = set(distinct_days(changed, day_column))
-    else:
-        # the earlier row of a key can lie on any day: look it up by the key columns alone
-        touched = set(distinct_days(updates, day_column))
-        touched |= set(distinct_days(current.join(changed, keys, "left_semi"), day_column))
-    if touched:
-        kept = current.filter(on_days(day_column, sorted(touched))).join(changed, keys, "left_anti")
-        content = kept.unionByName(updates, allowMissingColumns=True)
-        replace_days(content, path, day_column, sorted(touched))

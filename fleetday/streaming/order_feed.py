@@ -1,8 +1,9 @@
 """The row-wise order feeds as an incremental stream over landed files.
 
 The stream's checkpoint plays the part of the download window: each run takes the files that have
-landed since the last one. An upsert repeated after a failure changes nothing. The delays rebuilt
-from trips are not here: they need all rows of a file at once.
+landed since the last one. An upsert repeated after a failure changes nothing, nor does an older file
+that lands late: the newest export wins, whenever it comes. The delays rebuilt from trips are not here:
+they need all rows of a file at once.
 """
 
 from __future__ import annotations
@@ -12,14 +13,10 @@ from pyspark.sql import types as T
 
 from fleetday import schema as S
 from fleetday.config import Config
-from fleetday.operators import orders as O
-from fleetday.sources.tables import merge_table, read_table, stage
+from fleetday.plans.publish import merge_feed
+from fleetday.sources.publication import Publication, read_published
 
-_TRANSFORMS = {
-    S.ORDER_EVENTS: O.cancel_events,
-    S.ORDER_DELAYS: O.late_events,
-    S.ORDER_KM: O.order_km,
-}
+_FEEDS = {S.ORDER_EVENTS: "cancels", S.ORDER_DELAYS: "late report", S.ORDER_KM: "kilometres"}
 
 
 def run_feed(
@@ -32,12 +29,12 @@ def run_feed(
     cfg: Config,
 ) -> DataFrame | None:
     """Upsert what has landed in the Parquet folder `landed` into `table` and stop; returns the table."""
-    transform = _TRANSFORMS[table]
-    path = f"{root}/{table}"
+    feed = _FEEDS[table]
 
     def upsert(batch: DataFrame, _: int) -> None:
-        updates = stage(transform(batch, cfg), table)
-        merge_table(spark, path, S.TABLE_KEYS[table], S.TABLE_DAY[table], updates)
+        publication = Publication(batch.sparkSession, root)
+        merge_feed(publication, feed, batch, cfg)
+        publication.commit()
 
     query = (
         spark.readStream.schema(schema)
@@ -48,4 +45,4 @@ def run_feed(
         .start()
     )
     query.awaitTermination()
-    return read_table(spark, path)
+    return read_published(spark, root, table)

@@ -8,7 +8,7 @@ from fleetday.functions.clock import export_timestamp, logical_day, parse_ts, se
 from fleetday.functions.dedup import add_unseen, keep_first, keep_latest
 from fleetday.functions.joins import salted_join
 from fleetday.functions.numbers import parse_double
-from fleetday.functions.slices import with_next, with_previous_max
+from fleetday.functions.ordered import split_heavy, with_next, with_previous_max
 
 
 def one(spark, column, value, kind="string"):
@@ -128,26 +128,26 @@ def test_add_unseen_matches_null_keys(spark):
 
 
 def events(spark):
-    """One rider holds most rows; gaps, ties and slices with a single row."""
+    """One rider holds most rows; gaps, ties and a rider with a single row."""
     rows = [("hot", ts(f"2024-01-{d:02d} {h:02d}:{m:02d}:00"), f"e{h}{m}") for d in (1, 2, 5)
             for h in (0, 3, 23) for m in (0, 1, 59)]
     rows += [("hot", ts("2024-01-02 03:01:00"), "a"), ("cold", ts("2024-01-09 00:00:00"), "z")]
     return rows, spark.createDataFrame(rows, "k string, t timestamp_ntz, tie string")
 
 
-@pytest.mark.parametrize("hours", [1, 5, 24])
-def test_with_next_equals_a_scan_over_the_whole_key(spark, hours):
+@pytest.mark.parametrize("heavy", [1, 5, 1000])
+def test_with_next_equals_a_scan_over_the_whole_key(spark, heavy):
     rows, df = events(spark)
     expected = []
     ordered = sorted(rows)
     for a, b in zip(ordered, [*ordered[1:], None]):
         expected.append((*a, b[1] if b and b[0] == a[0] else None))
-    got = tuples(with_next(df, ["k"], "t", ["tie"], "next", hours), "k", "t", "tie", "next")
+    got = tuples(with_next(df, ["k"], "t", ["tie"], "next", heavy), "k", "t", "tie", "next")
     assert got == sorted(expected, key=str)
 
 
-@pytest.mark.parametrize("hours", [1, 5, 24])
-def test_with_previous_max_equals_a_scan_over_the_whole_key(spark, hours):
+@pytest.mark.parametrize("heavy", [1, 5, 1000])
+def test_with_previous_max_equals_a_scan_over_the_whole_key(spark, heavy):
     rows, df = events(spark)
     value = F.when(F.minute("t") == 0, F.day("t") * 100 - F.hour("t"))
     expected, seen = [], {}
@@ -155,10 +155,30 @@ def test_with_previous_max_equals_a_scan_over_the_whole_key(spark, hours):
         expected.append((k, t, tie, seen.get(k)))
         if t.minute == 0:
             seen[k] = max(seen.get(k, -1), t.day * 100 - t.hour)
-    out = with_previous_max(df, ["k"], "t", ["tie"], value, "peak", hours)
+    out = with_previous_max(df, ["k"], "t", ["tie"], value, "peak", heavy)
     assert tuples(out, "k", "t", "tie", "peak") == sorted(expected, key=str)
 
 
+def test_a_burst_within_one_second_is_spread(spark):
+    """All rows of a rider at the same time, most of them equal in every column; another has no id."""
+    at = ts("2024-01-01")
+    rows = [("hot", at, "same")] * 600 + [("hot", at, f"{i:03d}") for i in range(300)] + [("hot", ts("2024-01-02"), "z"), ("cold", at, "a")]
+    rows += [(None, ts(f"2024-01-01 00:00:{s:02d}"), "n") for s in range(60)]
+    df = spark.createDataFrame(rows, "k string, t timestamp_ntz, tie string")
+    light, heavy = split_heavy(df, ["k"], ["t", "tie"], 40)
+    assert tuples(light) == [("cold", at, "a")]
+    counts = [r["count"] for r in heavy.groupBy("_range", "k").count().collect()]
+    assert sum(counts) == 961 and max(counts) <= 60 and len(counts) >= 30
+    got = with_next(df, ["k"], "t", ["tie"], "next", 40)
+    assert got.count() == len(rows) and got.where("k = 'hot' AND next = t").count() == 899
+    assert tuples(got.where("next > t AND k = 'hot'"), "t", "next") == [(at, ts("2024-01-02"))]
+    assert tuples(got.where("next is null"), "k", "t") == sorted([("cold", at), ("hot", ts("2024-01-02")), (None, ts("2024-01-01 00:00:59"))], key=str)
+    assert got.where("k is null AND next = t + INTERVAL 1 SECOND").count() == 59
+    peak = with_previous_max(df, ["k"], "t", ["tie"], F.length("tie"), "peak", 40)
+    assert peak.where("peak is null").count() == 3 and peak.where("k = 'hot' AND peak = 3").count() == 300
+    assert peak.where("k = 'hot' AND peak = 4").count() == 600
+
+
 @pytest.mark.parametrize("how", ["left", "left_semi", "left_anti"])
 def test_salted_join_equals_a_plain_join(spark, how):
     big = spark.createDataFrame([("a", i) for i in range(50)] + [("b", 1)], "k string, n int")

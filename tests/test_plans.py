@@ -1,10 +1,13 @@
 """Shape of the plans: what must hold whatever the size of the data."""
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
 from fleetday.operators import silver as V
+from fleetday.operators.sessions import early_share
 from fleetday.plans import fixtures as X
 from fleetday.plans.queries import final_daily
 
@@ -32,11 +35,19 @@ def test_keys_are_reduced_before_the_shuffle(spark, name):
     assert "WindowGroupLimit" in text and "Partial" in text
 
 
-def test_no_window_over_a_rider_alone_before_days_are_summed(spark):
-    """Sessions and orders are scanned in time slices; only one-row-per-day data is not."""
-    text = plan(entry_point.queries()["early_share"](spark, SF_DIR))
-    windows = [line for line in text.splitlines() if "+- Window [lead(start_dt" in line]
-    assert windows and all("_slice" in line for line in windows)
+def test_ordered_scans_cut_heavy_riders_only(spark):
+    """Ordinary riders: one window, no second pass. Heavy ones: every window has the range in its key."""
+    connections = X.connections(spark, SF_DIR)
+
+    def windows(heavy_rows):
+        text = plan(early_share(connections, replace(X.CONFIG, heavy_rows=heavy_rows)))
+        physical = text[text.index("== Physical Plan =="):]
+        return physical, [line for line in physical.splitlines() if "Window [lead(start_dt" in line]
+
+    physical, plain = windows(10**6)
+    assert len(plain) == 1 and "_range#" not in physical
+    physical, cut = windows(100)
+    assert len(cut) == 2 and sum("_range#" in line for line in cut) == 1
 
 
 def test_recent_days_are_cut_at_the_scan(spark, tmp_path):

@@ -12,7 +12,8 @@ from fleetday.operators import quality as Q
 from fleetday.operators import transfer as T
 from fleetday.plans.publish import publish_daily
 from fleetday.plans.run import NoDailyData, _arguments, bronze_path, catch_up, run, settings, show
-from fleetday.sources.tables import RepeatedKeys, merge_table, read_table, stage, staging, write_table
+from fleetday.sources.publication import Publication, read_published
+from fleetday.sources.tables import stage, staging
 
 CFG = Config()
 AS_OF = date(2024, 1, 10)
@@ -61,7 +62,7 @@ def publish(spark, root, frame):
 
 
 def stats(spark, root):
-    return tuples(read_table(spark, f"{root}/{S.DAILY_STATS}"), "courier_uuid", "day", "num_of_trips")
+    return tuples(read_published(spark, str(root), S.DAILY_STATS), "courier_uuid", "day", "num_of_trips")
 
 
 def test_publish_upserts_deletes_and_closes(spark, tmp_path):
@@ -75,7 +76,7 @@ def test_publish_upserts_deletes_and_closes(spark, tmp_path):
         assert publish(spark, root, second) == 2
         got = [(c, str(d), n) for c, d, n in stats(spark, root)]
         assert got == [("a", "2024-01-08", 8.0), ("b", "2024-01-07", 4.0), ("b", "2024-01-08", 4.0)]
-        closed = tuples(read_table(spark, f"{root}/{S.DAYS_CLOSED}"), "dia", "filas", "cerrado_en")
+        closed = tuples(read_published(spark, str(root), S.DAYS_CLOSED), "dia", "filas", "cerrado_en")
         assert [(str(d), n) for d, n, _ in closed] == [
             ("2024-01-07", 1), ("2024-01-08", 1), ("2024-01-09", 1)
         ]
@@ -92,46 +93,15 @@ def test_nothing_in_the_window_changes_nothing(spark, tmp_path):
 
 def test_a_narrow_target_gets_narrow_rows(spark, tmp_path):
     root = tmp_path / "published"
-    path = f"{root}/{S.DAILY_STATS}"
     narrow = P.published_daily(adjusted(spark, [], day(7)), AS_OF, 7, live=False)
-    write_table(narrow, path, "day")
+    first = Publication(spark, str(root))
+    first.merge(S.DAILY_STATS, S.TABLE_KEYS[S.DAILY_STATS], "day", narrow)
+    first.commit()
     publish(spark, root, adjusted(spark, [], day(8)))
-    assert set(read_table(spark, path).columns) == set(S.PUBLISHED_COLUMNS)
+    assert set(read_published(spark, str(root), S.DAILY_STATS).columns) == set(S.PUBLISHED_COLUMNS)
     assert len(stats(spark, root)) == 2
 
 
-def test_merge_moves_a_key_to_its_new_day(spark, tmp_path):
-    path = str(tmp_path / "t")
-    schema = "k string, day string, v int"
-    first = spark.createDataFrame([("a", "2024-01-01", 1), ("b", "2024-01-02", 1)], schema)
-    second = spark.createDataFrame([("a", "2024-01-03", 2), ("c", "2024-01-02", 2)], schema)
-    merge_table(spark, path, ["k"], "day", first)
-    untouched = [p for p in (tmp_path / "t").rglob("day=2024-01-01/*.parquet")]
-    assert untouched
-    for _ in range(2):
-        merge_table(spark, path, ["k"], "day", second)
-        got = [(k, str(d), v) for k, d, v in tuples(read_table(spark, path), "k", "day", "v")]
-        assert got == [("a", "2024-01-03", 2), ("b", "2024-01-02", 1), ("c", "2024-01-02", 2)]
-    assert not (tmp_path / "t" / "day=2024-01-01").exists()
-
-
-def test_merge_leaves_other_days_alone(spark, tmp_path):
-    path = str(tmp_path / "t")
-    schema = "k string, day string, v int"
-    merge_table(spark, path, ["k"], "day", spark.createDataFrame(
-        [("a", "2024-01-01", 1), ("b", "2024-01-02", 1)], schema))
-    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("day=2024-01-01/*.parquet")}
-    merge_table(spark, path, ["k"], "day", spark.createDataFrame([("b", "2024-01-02", 5)], schema))
-    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("day=2024-01-01/*.parquet")}
-    assert before == after
-
-
-def test_merge_refuses_repeated_keys(spark, tmp_path):
-    rows = spark.createDataFrame([("a", "2024-01-01"), ("a", "2024-01-02")], "k string, day string")
-    with pytest.raises(RepeatedKeys):
-        merge_table(spark, str(tmp_path / "t"), ["k"], "day", rows)
-
-
 @pytest.mark.parametrize(
     "newest, expected",
     [
@@ -184,7 +154,7 @@ def test_whole_run(spark, tmp_path):
         assert tuples(report.moved) == [(3, 2)] and report.without_destination.count() == 0
         show(report)
     assert catch_up(spark, str(target), as_of, CFG) == 3
-    events = read_table(spark, f"{target}/published/{S.ORDER_EVENTS}")
+    events = read_published(spark, f"{target}/published", S.ORDER_EVENTS)
     assert tuples(events, "courier_uuid", "reason") == [("a", "why")]
 
 

@@ -27,3 +27,6 @@ def test_each_run_takes_the_newly_landed_files(spark, tmp_path):
     assert run(schema) == [("t", "new"), ("u", "x")]
     land("2", ("u", "y", "2024-01-05"))
     assert run(schema) == [("t", "new"), ("u", "y")]
+    # an export that lands late changes nothing that a newer one has given
+    land("3", ("u", "z", "2024-01-04"), ("w", "z", "2024-01-01"))
+    assert run(schema) == [("t", "new"), ("u", "y"), ("w", "z")]
