@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetday.llm.common import components, pack, runs
-from fleetday.llm.text import mix, shingle_set, word_hashes
+from fleetday.llm.text import exactly_similar, mix, shingle_set, word_hashes
 from fleetday.sources.tables import stage
 
 REGISTERS = 256
@@ -90,7 +90,7 @@ def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.n
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    """Exact: 100 * intersection >= percent * union, on sorted distinct hashes."""
+    """100 * intersection >= percent * union, on sorted distinct hashes; never false where it holds for the words."""
     if len(a) > len(b):
         a, b = b, a
     if not len(a) or 100 * len(a) < percent * len(b):
@@ -100,6 +100,11 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
+def confirmed(a: bytes | None, b: bytes | None, percent: int, k: int) -> bool:
+    """The same on the words themselves."""
+    return exactly_similar((a or b"").lower(), (b or b"").lower(), percent, k)
+
+
 def _fingerprint(k: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -148,7 +153,7 @@ def _confirm(percent: int, k: int):
         for x, y in zip(a.cast(pa.large_binary()).to_pylist(), b.cast(pa.large_binary()).to_pylist()):
             if x not in kept:  # many rows in a row share their leader
                 kept = {x: shingles(x, k)}
-            out.append(similar(kept[x], shingles(y, k), percent))
+            out.append(similar(kept[x], shingles(y, k), percent) and confirmed(x, y, percent, k))
         return pa.array(out, pa.bool_())
 
     return confirm
@@ -249,7 +254,7 @@ def _block_links(percent: int, k: int):
                     for x in (i, j):
                         if x not in sets:
                             sets[x] = shingles(texts[x].encode(), k)
-                    if similar(sets[i], sets[j], percent):
+                    if similar(sets[i], sets[j], percent) and confirmed(texts[i].encode(), texts[j].encode(), percent, k):
                         roots[max(p, q)] = min(p, q)
                         found.append((columns["id"][i], columns["id"][j]))
         return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)

@@ -11,23 +11,16 @@ from collections.abc import Iterator
 import numpy as np
 
 _rng = np.random.default_rng(20240501)
-_BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_P, _Q = (int(x) | 1 for x in _rng.integers(1 << 62, 1 << 63, 2))
+#: A random number per place in a word and byte; a word's hash is their sum, so no structure of words makes two alike.
+_PLACES = 256
+_TABLE = _rng.integers(0, 1 << 64, (_PLACES, 256), dtype=np.uint64, endpoint=False).reshape(-1)
+_KEY = np.uint64(_rng.integers(1 << 62, 1 << 63))
+_Q = int(_rng.integers(1 << 62, 1 << 63)) | 1
 _IS_WORD = np.ones(256, bool)
 _IS_WORD[[0x20, *range(0x09, 0x0E)]] = False
 _PIECE = 1 << 18
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
-_POWER = _powers(_P, _PIECE + 4096)
-_INVERSE = _powers(pow(_P, -1, 1 << 64), _PIECE + 4096)
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A one-to-one scramble of 64-bit numbers."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -60,12 +53,17 @@ def word_hashes(data: bytes) -> np.ndarray:
         starts, ends = spans(raw)
         if not len(starts):
             continue
-        power, inverse = _POWER, _INVERSE
-        if len(raw) > len(power):
-            power, inverse = _powers(_P, len(raw)), _powers(pow(_P, -1, 1 << 64), len(raw))
+        begin = starts.copy()
+        begin[0] = 0  # what stands before the first word is in no word
+        place = np.arange(len(raw)) - np.repeat(starts, np.diff(begin, append=len(raw)))
+        place[: starts[0]] = 0
+        value = _TABLE[(np.minimum(place, _PLACES - 1) << 8) | raw]
+        far = np.flatnonzero(place >= _PLACES - 1)
+        if len(far):
+            value[far] = mix(mix((place[far].astype(np.uint64) << np.uint64(8)) | raw[far]) + _KEY)
         sums = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum(_BYTE[raw] * power[: len(raw)], out=sums[1:])
-        found.append(mix((sums[ends] - sums[starts]) * inverse[starts]))
+        np.cumsum(value, out=sums[1:])
+        found.append(mix(sums[ends] - sums[starts]))
     return np.concatenate(found) if found else np.zeros(0, np.uint64)
 
 
@@ -87,6 +85,26 @@ def shingle_set(words: np.ndarray, k: int = 5) -> np.ndarray:
     return np.unique(windows(words, k))
 
 
+def exactly_similar(a: bytes, b: bytes, percent: int, k: int = 5) -> bool:
+    """Whether 100 * intersection >= percent * union of the k-word shingles of two texts, on the words themselves.
+
+    Words, then pairs, triples and so on get numbers that both texts share. With fewer words a text's whole sequence is one shingle.
+    """
+    x, y = a.split(), b.split()
+    if not x or not y or len(x) < k or len(y) < k:
+        return bool(x) and x == y
+    numbers: dict[bytes, int] = {}
+    words = [np.fromiter((numbers.setdefault(w, len(numbers)) for w in t), np.int64, len(t)) for t in (x, y)]
+    names = words
+    for j in range(1, k):
+        codes = [n[: len(w) - j] * len(numbers) + w[j:] for n, w in zip(names, words)]
+        _, name = np.unique(np.concatenate(codes), return_inverse=True)
+        names = [name[: len(codes[0])], name[len(codes[0]) :]]
+    one, two = (np.unique(n) for n in names)
+    both = len(np.intersect1d(one, two, assume_unique=True))
+    return 100 * both >= percent * (len(one) + len(two) - both)
+
+
 def repeated_words(words: np.ndarray, k: int = 8) -> int:
     """Words that lie in some run of k words which the text holds twice or more."""
     runs = windows(words, k)

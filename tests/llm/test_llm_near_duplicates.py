@@ -166,3 +166,12 @@ def test_planned_tables_reach_the_recall():
         h = P.plan(n, 0.95)
         assert 1 - (1 - P.collision((2 - 2 * 0.95) ** 0.5) ** h.projections) ** h.tables >= P.RECALL
         assert n * P.collision(2**0.5) ** h.projections <= 1 or h.projections == 4
+
+
+def test_built_words_are_not_linked(spark):
+    """Two words that sums over powers can't tell apart make texts without a common shingle."""
+    a, b = ("".join("ab"[(bin(i).count("1") + s) & 1] for i in range(1024)) for s in (0, 1))
+    rows = [(1, " ".join([a] * 7)), (2, " ".join([b] * 7)), (3, a), (4, b), (5, a)]
+    got = {r.id: (r.n, r.component) for r in H.near_duplicates(docs(spark, rows), percent=85).collect()}
+    assert got == {1: (1, 1), 2: (1, 2), 3: (1, 3), 4: (1, 4), 5: (1, 3)}
+    assert H.confirmed(b"A b c d e f", b"a B c d e f", 100, 5) and not H.confirmed(b"", b"", 80, 5)

@@ -52,3 +52,27 @@ def test_shorter_sequences_are_not_shingles():
 def test_equal_words_hash_alike_across_pieces():
     words = T.word_hashes(b"abc " * 300_000)
     assert len(words) == 300_000 and len(np.unique(words)) == 1
+
+
+def thue_morse(n):
+    """Two words of n letters that sums over powers can't tell apart."""
+    bits = [bin(i).count("1") & 1 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("n", [64, 1024, 4096, 1 << 15])
+def test_built_words_have_different_hashes(n):
+    a, b = thue_morse(n)
+    hashes = T.word_hashes(f"  {a} {b}\n{a} x{a} {b}x".encode())
+    assert hashes[0] == hashes[2] and len(set(hashes.tolist())) == 4
+    assert T.word_hashes(a.encode())[0] == hashes[0]
+    text = " ".join([a, b] * 4 + ["q"] + [b, a, b, b, a, b, a, a])
+    assert T.counts(text.encode())[:5] == plain_counts(text)[:5]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.sampled_from("abc"), max_size=14).map(" ".join), min_size=2, max_size=2), st.integers(1, 5), st.sampled_from([50, 80, 85, 100]))
+def test_exact_similarity(texts, k, percent):
+    x, y = (shingles(t, k) for t in texts)
+    want = bool(x) and bool(y) and 100 * len(x & y) >= percent * len(x | y)
+    assert T.exactly_similar(texts[0].encode(), texts[1].encode(), percent, k) == want

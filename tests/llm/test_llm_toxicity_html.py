@@ -1,3 +1,4 @@
+import collections
 import html as entities
 import re
 import zlib
@@ -7,7 +8,7 @@ from hypothesis import given, settings, strategies as st
 from llm_data import LABELS, docs
 from pyspark.sql import functions as F
 
-from fleetday.llm import html_consensus as C, toxicity_crf as T
+from fleetday.llm import html_consensus as C, queries, toxicity_crf as T
 
 
 @settings(max_examples=60, deadline=None)
@@ -153,11 +154,78 @@ def extracted(spark, rows):
 
 
 def test_consensus_beats_a_single_page(spark):
-    """Text that only some pages have outside the article doesn't count; on one page alone it can't be told."""
-    pages = [(i, "http://a.example/x", PAGE % (i, i, "")) for i in range(12)] + [(90, "http://A.example/y", PAGE % (9, 9, "Odd text of a partner. " * 9))]
+    """A page whose text is all in one inner element keeps the links beside it, as its host's container holds them."""
+    page = "<body><ul class='top'><li><a href=/x>Menu</a></ul><div class='story'><div class='part'><p>%s</p></div>%s<ul><li><a href=/s>Source</a></ul></div></body>"
+    whole, short = ("word " * 30).strip(), ("few " * 5).strip()
+    rows = [(i, "http://a.example/x", page % (whole, f"<p>More {i}</p>")) for i in range(12)]
+    rows += [(90, "http://A.example/y", page % (short, "")), (91, "http://b.example/", page % (short, ""))]
+    got = extracted(spark, rows)
+    assert {got[i] for i in range(12)} == {f"{whole}\nMore {i}\nSource" for i in range(12)}
+    assert got[90] == short + "\nSource" and got[91] == short
+
+
+def test_unmarked_text_is_never_cut(spark):
+    """An epilogue after the container of one page, or of a few, is part of the page."""
+    odd = ("Odd text of a partner. " * 9).strip()
+    pages = [(i, "http://a.example/x", PAGE % (i, i, "")) for i in range(40)] + [(90, "http://a.example/y", PAGE % (9, 9, odd))]
     got = extracted(spark, [*pages, (91, "http://b.example/", pages[-1][2])])
-    assert {got[i] for i in range(12)} == {MAIN} and got[90] == MAIN
-    assert got[91].startswith(MAIN) and "partner" in got[91]
+    assert {got[i] for i in range(40)} == {MAIN} and got[90] == got[91] == f"{MAIN}\n{odd}"
+
+
+def test_marks_weigh_what_they_hold():
+    """A word in a class doesn't take an article away, nor does a form around the whole page."""
+    words = ("word " * 50).strip()
+    text = lambda source: C.main_text(C.parse(source), [])
+    body = "<nav>menu</nav><div class='content'><h1>T</h1><p>%s</p><input name=q><select><option>a</select></div><div class='site-footer'>f</div>" % words
+    assert text(f"<body><form id='aspnetForm' action='x'>{body}</form></body>") == f"T\n{words}"
+    assert text(f"<body>{body}<form><p>Your mail</p><input></form><div class='newsletter'>Sign up</div></body>") == f"T\n{words}"
+    for kind in ("product-search-tips", "share-prices", "form-of-government", "social-history", "foot-health", "comments-open", "has-sidebar"):
+        assert text(f"<body><article><h1>T</h1><section class='{kind}'><p>{words}</p></section></article></body>") == f"T\n{words}"
+        assert text(f"<body><div class='{kind}'><h1>T</h1><p>{words}</p></div><div class='cookie-notice'>C</div></body>") == f"T\n{words}"
+    for kind in ("cookie-notice", "related-posts", "adBox", "site-footer", "sidebar right", "page-header", "breadcrumbs"):
+        assert text(f"<body><h1>T</h1><p>{words}</p><div class='{kind}'>other text</div></body>") == f"T\n{words}"
+    # readers may write more than the article has
+    comments = "<section id='comments'>" + "<article class='comment'><p>Nice one, thanks.</p></article>" * 90 + "</section>"
+    assert text(f"<body><article><h1>T</h1><p>{words}</p></article>{comments}</body>") == f"T\n{words}"
+    # most of the text and nothing else to go by; a hard mark stays
+    assert text(f"<body><div class='widget'><p>{words}</p></div><p>x</p></body>") == f"{words}\nx"
+    assert text(f"<body><nav><h1>Menu</h1>{words}</nav><p>x</p></body>") == "x"
+
+
+def test_only_void_elements_close_themselves():
+    text = lambda source: C.main_text(C.parse(source), [])
+    page = C.parse("<div><a href=/x/y/>link</a> text <a name='q'/>more<br/>end</div>")
+    assert [b[1:] for b in page.blocks] == [("link text more end", len("link"))]
+    assert text("<div class='ad'/>advert</div><p>the text of the page</p>") == "the text of the page"
+    assert C.parse("<p><a href='a'>one <a href='b'>two</a> three</p>").blocks == [(1, "one two three", len("one two") + 1)]
+
+
+def plain_consensus(pages):
+    """Votes counted per host in dictionaries."""
+    paths, sizes = collections.defaultdict(collections.Counter), collections.Counter()
+    whole = collections.defaultdict(collections.Counter)
+    for host, source in pages:
+        sizes[host] += 1
+        for path, (_, full) in (C.votes_of(C.parse(source)) if source else {}).items():
+            paths[host][path] += 1
+            whole[host][path] += full
+    return {
+        host: sorted((p for p, n in found.items() if whole[host][p] >= C.SHARE * n and n >= C.SUPPORT * sizes[host]),
+                     key=lambda p: (-p.count(">"), -paths[host][p], p))
+        for host, found in paths.items()
+    }
+
+
+def test_votes_against_plain_counts(spark):
+    rows = [(r.page_id, r.url, r.html) for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()]
+    rows += [(1, "http://a.example/x", PAGE % (1, 1, "")), (2, None, "<p>x"), (3, "http://a.example/z", None)]
+    host = lambda url: re.split("[/?#]", url.split("://", 1)[1])[0].lower() if url and "://" in url else ""
+    want = plain_consensus([(host(u), h) for _, u, h in rows])
+    frame = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r.host: r.paths for r in C.consensus_paths(frame).collect()}
+    assert got == {k: v for k, v in want.items() if v}
+    texts = {r.page_id: r.text for r in C.extract(frame).collect()}
+    assert texts == {i: C.main_text(C.parse(h), want.get(host(u), [])) if h else "" for i, u, h in rows}
 
 
 def test_templates_of_one_host(spark):
@@ -187,20 +255,6 @@ def test_text_beside_the_container_on_all_pages_of_a_host(spark):
     assert set(got.values()) == {"\n".join(["Head", article, section])}
 
 
-def test_odd_extras_are_cut_only_where_they_are_short_or_alone(spark):
-    page = "<body><article><h1><a href='/'>Head</a></h1><p>%s</p></article>%s</body>"
-    words = ("word " * 60).strip()
-    extra = lambda kind, n: "<div class='%s'>%s</div>" % (kind, ("odd " * n).strip())
-    rows = [(i, "http://a.example/x", page % (words, "")) for i in range(40)]
-    rows += [(50, "http://a.example/x", page % (words, extra("short", 4))), (51, "http://a.example/x", page % (words, extra("long", 40)))]
-    rows += [(52 + i, "http://a.example/x", page % (words, extra("twice", 4))) for i in range(2)]
-    got = extracted(spark, rows)
-    assert {got[i] for i in (*range(40), 50)} == {"Head\n" + words}
-    assert got[51].endswith(("odd " * 40).strip()) and got[52] == got[53] == "Head\n" + words + "\nodd odd odd odd"
-    outside = "<body><h1><a href='/'>Head</a></h1><div class='text'><p>%s</p></div></body>" % words
-    assert extracted(spark, [(1, "http://a.example/x", outside)])[1] == "Head\n" + words
-
-
 def test_html_defined_cases(spark):
     cases = {
         1: (None, ""), 2: ("", ""), 3: ("<p>", ""), 4: ("<!-- open", ""), 5: ("<script>x", ""), 6: ("plain &amp; <b>bold</b>", "plain & bold"),
@@ -217,7 +271,11 @@ def test_html_defined_cases(spark):
 
 def test_articles_of_the_given_pages(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
-    for r in C.extract(pages).collect():
-        article = re.search(r"<article>(.*?)</article>", r.html, re.S)[1].replace("<br>", " ")
+    rows = queries.op9_html_consensus(spark, "/root/testdata/sf0.01").collect()
+    sources = {r.page_id: r for r in pages.collect()}
+    assert {r.page_id for r in rows} == sources.keys()
+    for r in rows:
+        assert r.n_chars == len(r.text) and r.url == sources[r.page_id].url
+        article = re.search(r"<article>(.*?)</article>", sources[r.page_id].html, re.S)[1].replace("<br>", " ")
         parts = (" ".join(entities.unescape(re.sub("<[^>]*>", "", b)).split()) for b in re.split("</?(?:p|h1)>", article))
         assert r.text == "\n".join(p for p in parts if p)
