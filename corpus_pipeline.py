@@ -7,6 +7,7 @@ rows and empty tables are handled as the operators' docstrings say.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,12 +32,20 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of every group of near-duplicates; rows without an id stay."""
-    found = hyperminhash.near_duplicates(docs)
-    gone = found.where("id <> component").select(F.col("id").alias("doc_id")).distinct()
-    # rows that share an id are one document: both steps work on one partitioning by id
-    kept = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"]).select(docs.columns)
-    return kept.unionByName(docs.where("doc_id is null"))
+    """One row, that with the smallest id, of every group of near-duplicates.
+
+    Rows are told apart by id and text: rows that share an id but not the text are judged each by its own
+    text, a row without an id stays only if no row with an id is in its group, of equal rows one stays.
+    """
+    node = F.xxhash64("doc_id", "text")
+    found = hyperminhash.near_duplicates(docs.withColumn("_node", node), doc_id="_node").distinct()
+    ids = docs.select(node.alias("id"), "doc_id").distinct()
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "id")
+    first = found.join(ids, "id").groupBy("component").agg(F.min(order)["id"].alias("first"))
+    gone = found.join(first, "component").where("id <> first").select(F.col("id").alias("_node"))
+    # both steps work on one partitioning by row
+    kept = docs.withColumn("_node", node).join(gone, "_node", "left_anti").dropDuplicates(["_node"])
+    return kept.select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,8 +56,17 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, source, ids, n_ids) of every copy in the mix."""
-    return sentencepiece_viterbi.encoded(docs, ["doc_id", "source"]).withColumn("n_ids", F.size("ids"))
+    """(doc_id, source, part, row, ids, n_ids) of every copy in the mix; sorted by (part, row) it is the training order.
+
+    The mix was written range by range, so a row's file and its place there are its place in the mix. Both are
+    empty if `docs` wasn't read from files.
+    """
+    place = {"part": F.col("_metadata.file_name"), "row": F.col("_metadata.row_index")}
+    try:
+        placed = docs.withColumns(place)
+    except AnalysisException:
+        placed = docs.withColumns({"part": F.lit(None).cast("string"), "row": F.lit(None).cast("long")})
+    return sentencepiece_viterbi.encoded(placed, ["doc_id", "source", "part", "row"]).withColumn("n_ids", F.size("ids"))
 
 
 STAGES = [
