@@ -43,10 +43,16 @@ class Config:
     # Optional inputs of a run
     reprocess_from: date | None = None
     traced_rider: str | None = None
+    # order tables that the target has; feeds of others are skipped (None: all are there)
+    order_tables: tuple[str, ...] | None = None
 
     # Physical settings. A rider with more than `heavy_rows` rows is cut into ranges in an ordered
     # scan, so that no task scans many more rows of one rider than that.
     # `salts` is the number of slices of a key that many rows share in a join.
     heavy_rows: int = 1_000_000
+    # buckets of the keys of a table whose key lacks the day; fixed once such a table is there
+    key_buckets: int = 64
+    # commits of the published tables that a run leaves to readers
+    kept_commits: int = 20
     salts: int = 32
     timestamp_formats: tuple[str, ...] = ()

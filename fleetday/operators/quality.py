@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from fleetday.config import Config
@@ -73,6 +73,14 @@ def step_rows(steps: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def counting(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """`df`, and what its next write counts on the way: its rows, and those that the cutoff rule touched."""
+    seen = Observation(name)
+    rule = "ajustado_connections"
+    touched = F.count_if(F.col(rule)) if rule in df.columns else F.lit(None).cast("long")
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), touched.alias("adjusted")), seen
+
+
 def moved_rows(final: DataFrame) -> DataFrame:
     """One row: rows of the daily table and how many of them the cutoff rule touched."""
     return final.agg(

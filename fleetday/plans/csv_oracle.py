@@ -47,6 +47,12 @@ def oracle_sql(with_ctes) -> dict[str, str]:
                HAVING NOT coalesce(offer_id LIKE '%1' AND min(rta_file) LIKE '%20240116%', false)""",
             "offers2",
         ),
+        "noop_run": with_ctes("SELECT CAST(0 AS BIGINT) AS changed_files, count(*) AS \"rows\" FROM daily", "daily"),
+        "no_input_gate": with_ctes(
+            """SELECT 'daily' AS exports, count(*) = 0 AS stopped, count(*) AS "rows" FROM daily
+               UNION ALL SELECT 'other', true, CAST(0 AS BIGINT)""",
+            "daily",
+        ),
         "file_error_gate": with_ctes(
             """SELECT 'cancels' AS family, count(DISTINCT d) FILTER (d = DATE '2024-01-20') AS failed,
                       count(DISTINCT d) AS total, failed > total / 2 AS abort FROM src

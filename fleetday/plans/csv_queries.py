@@ -17,6 +17,7 @@ from fleetday.operators import orders as O
 from fleetday.plans import fixtures as X
 from fleetday.plans.ingest import ingest
 from fleetday.plans.orders import trip_delays
+from fleetday.plans.run import NoDailyData, require_daily
 from fleetday.sources import families as FA
 from fleetday.sources.csv_files import discover_files, scan_family, too_many_failed
 from fleetday.sources.tables import scratch_path, stage
@@ -157,6 +158,41 @@ def ingest_offers(spark, sf_dir):
     return bronze.select("offer_id", "email", _stamp("rta_file").alias("stamp"))
 
 
+def noop_run(spark, sf_dir):
+    """A second run over the same exports: the files of the table before and after, and its rows."""
+    rows = X.daily(spark, sf_dir).withColumn(_STAMP, _stamp("file_name"))
+    text = {c: F.col(c).cast("string") for c in S.DAILY_DATES}
+    rows = rows.withColumns(text).drop("file_name", "file_date")
+    directory, path = scratch_path(spark, "csv-daily"), scratch_path(spark, "bronze-daily")
+    _export(rows, directory, "COURIER_DAILY_", sep=",", nullValue="NA")
+    found = []
+    for _ in range(2):
+        bronze, _ = ingest(spark, FA.DAILY, directory, path, X.AS_OF, CFG)
+        files = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_modification_time").alias("at"))
+        found.append(stage(files.distinct(), "files"))
+    before, after = found
+    changed = before.exceptAll(after).unionByName(after.exceptAll(before)).count()
+    return bronze.agg(F.lit(changed).cast("long").alias("changed_files"), F.count(F.lit(1)).alias("rows"))
+
+
+def no_input_gate(spark, sf_dir):
+    """Whether a run with the daily exports stops for want of them, and one with other exports only."""
+    rows = X.daily(spark, sf_dir).withColumn(_STAMP, _stamp("file_name"))
+    text = {c: F.col(c).cast("string") for c in S.DAILY_DATES}
+    rows = rows.withColumns(text).drop("file_name", "file_date")
+    found = []
+    for kind, prefix in (("daily", "COURIER_DAILY_"), ("other", "OTHER_")):
+        directory, path = scratch_path(spark, f"csv-{kind}"), scratch_path(spark, "bronze-daily")
+        _export(rows, directory, prefix, sep=",", nullValue="NA")
+        bronze, _ = ingest(spark, FA.DAILY, directory, path, X.AS_OF, CFG)
+        try:
+            require_daily(bronze, directory)
+            found.append((kind, False, bronze.count()))
+        except NoDailyData:
+            found.append((kind, True, 0))
+    return spark.createDataFrame(found, "exports string, stopped boolean, rows long")
+
+
 def file_error_gate(spark, sf_dir):
     """One of the cancel exports is broken, and all but one of the late reports: only they stop a run.
 
@@ -242,5 +278,5 @@ def csv_trips(spark, sf_dir):
 def registered():
     return [
         csv_daily, csv_connections, bronze_two_runs, csv_offers, csv_cancels, csv_refused_files, csv_trips,
-        ingest_daily, ingest_offers, file_error_gate,
+        ingest_daily, ingest_offers, file_error_gate, noop_run, no_input_gate,
     ]

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetday import schema as S
@@ -21,6 +21,7 @@ from fleetday.sources.csv_files import Scan, discover_files, file_error_gate, sc
 from fleetday.sources.families import Family
 from fleetday.sources.tables import (
     append_table,
+    delete_table,
     distinct_days,
     drop_days,
     on_days,
@@ -31,6 +32,7 @@ from fleetday.sources.tables import (
 )
 
 DAY = S.BRONZE_DAY
+_BUCKET = "_bucket"
 
 
 def read_bronze(
@@ -49,6 +51,35 @@ def ledger_path(path: str) -> str:
     return f"{path}_files"
 
 
+def keys_path(path: str) -> str:
+    return f"{path}_keys"
+
+
+def _needs_keys(family: Family) -> bool:
+    """Whether a key of the family can lie on any stored day, so that its keys are kept in buckets of their own."""
+    return bool(family.key) and family.dated_by not in family.key
+
+
+def _bucket(family: Family, cfg: Config) -> Column:
+    return F.pmod(F.xxhash64(*family.key), F.lit(cfg.key_buckets)).cast("int").alias(_BUCKET)
+
+
+def _append_keys(rows: DataFrame, path: str, family: Family, cfg: Config) -> None:
+    keyed = rows.select(*family.key, DAY, _bucket(family, cfg)).hint("rebalance", DAY, _BUCKET)
+    keyed.write.option("compression", "zstd").partitionBy(DAY, _BUCKET).mode("append").parquet(keys_path(path))
+
+
+def known_keys(spark: SparkSession, path: str, family: Family, rows: DataFrame, cfg: Config) -> DataFrame:
+    """The stored keys in the buckets that the keys of `rows` fall into; other buckets are not read.
+
+    A table from before its keys were kept, or whose keys were deleted, has them written anew from its rows.
+    """
+    if read_table(spark, keys_path(path)) is None:
+        _append_keys(read_table(spark, path), path, family, cfg)
+    wanted = [r[0] for r in rows.select(_bucket(family, cfg)).distinct().collect()]  # as many as buckets at most
+    return read_table(spark, keys_path(path)).filter(F.col(_BUCKET).isin(sorted(wanted)))
+
+
 def _ledger(spark: SparkSession, path: str, family: Family) -> DataFrame | None:
     """Names of the files whose rows are all in the table or were not needed.
 
@@ -92,10 +123,16 @@ def _append(
         return
     order = [export_timestamp(family.file_column).asc_nulls_last(), family.file_column, "_block", "_row"]
     first = stage(keep_one(dated, family.key, order).drop("_block", "_row"), family.name)
+    if _needs_keys(family):
+        if stored is not None:
+            first = B.add_unseen(known_keys(first.sparkSession, path, family, first, cfg), first, family.key)
+        kept = stage(B.prune_retention(first, family.dated_by, as_of, cfg), family.name)
+        append_table(kept, path, DAY)
+        _append_keys(kept, path, family, cfg)
+        return
     if stored is not None:
-        if family.dated_by in family.key:
-            # equal keys have equal dates: only the days of the new rows can hold them
-            stored = stored.filter(on_days(DAY, distinct_days(first, DAY)))
+        # equal keys have equal dates: only the days of the new rows can hold them
+        stored = stored.filter(on_days(DAY, distinct_days(first, DAY)))
         first = B.add_unseen(stored, first, family.key)
     append_table(B.prune_retention(first, family.dated_by, as_of, cfg), path, DAY)
 
@@ -112,20 +149,23 @@ def ingest(
 
     A file that fails leaves no rows and is tried again in the next run. Files are entered in the
     ledger after their rows are stored, also those whose rows were all known. If a run ends in between,
-    the next one first deletes what it left of files that are not in the ledger (a table with a key
-    needs no deleting, its rows are recognised).
+    the next one first deletes what it left of files that are not in the ledger (a table whose key has
+    the day needs no deleting, its rows are recognised).
     """
     # listed once: a file that arrives meanwhile must not enter the ledger unread
     files = stage(discover_files(spark, directory, family.pattern), "listing")
     ledger = _ledger(spark, path, family)
     whole = read_table(spark, path)
-    if ledger is not None and whole is not None and not family.key:
+    if ledger is not None and whole is not None and (not family.key or _needs_keys(family)):
         names = whole.select(F.col(family.file_column).alias("file_name"))
         removed = B.unread_files(names, ledger)
-        if cfg.reprocess_from is not None:
+        if cfg.reprocess_from is not None and not family.key:
             removed = removed.unionByName(B.files_to_reprocess(files, cfg.reprocess_from).select("file_name"))
         if not removed.isEmpty():
-            _remove_files(spark, path, family, removed, ["driver_uuid", "datestr"], cfg)
+            # the keys go first: they are written anew from the rows that stay
+            delete_table(spark, keys_path(path))
+            spread = ["driver_uuid", "datestr"] if not family.key else family.key
+            _remove_files(spark, path, family, removed, spread, cfg)
             ledger = read_table(spark, ledger_path(path))
     fresh = files if ledger is None else B.unread_files(files, ledger)
     scan = scan_family(spark, fresh, family, cfg.timestamp_formats)
@@ -146,3 +186,4 @@ def _expire(spark: SparkSession, path: str, as_of: datetime, cfg: Config) -> Non
     first_day = (as_of - timedelta(days=cfg.retention_days)).date()
     old = distinct_days(stored.select(DAY).filter(F.col(DAY) < F.lit(first_day)), DAY)
     drop_days(spark, path, DAY, old)
+    drop_days(spark, keys_path(path), DAY, old)

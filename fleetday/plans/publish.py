@@ -102,10 +102,10 @@ def _scan(spark: SparkSession, family: Family, directory: str, cfg: Config) -> S
 
 def publish_orders(
     spark: SparkSession, input_root: str, root: str, cfg: Config, tables: tuple[str, ...] | None = None
-) -> tuple[dict[str, str], DataFrame]:
-    """Read the three kinds of order exports and publish them; also returns the refused files.
+) -> tuple[dict[str, str], DataFrame, DataFrame | None]:
+    """Read the three kinds of order exports and publish them, see `publish_events`.
 
-    See `publish_events`.
+    Also returns the refused files, and the number of trip files that lack a measure (None without any).
     """
     scans = {
         source: _scan(spark, family, f"{input_root}/{folder}", cfg)
@@ -117,4 +117,5 @@ def publish_orders(
     inputs = {source: scan.rows for source, scan in scans.items()}
     if inputs["trips"] is not None:
         inputs["trips"] = stage(inputs["trips"], "trips")  # read by two feeds
-    return publish_events(spark, inputs, root, cfg, tables), errors
+    incomplete = None if inputs["trips"] is None else O.incomplete_files(O.usable_trips(inputs["trips"], cfg), cfg)
+    return publish_events(spark, inputs, root, cfg, tables), errors, incomplete

@@ -32,6 +32,7 @@ from fleetday.plans.ingest import ingest
 from fleetday.plans.publish import publish_daily, publish_orders
 from fleetday.session import cluster_session
 from fleetday.sources.families import CONNECTIONS, DAILY, OFFERS
+from fleetday.sources.publication import expire
 from fleetday.sources.tables import read_table, stage, staging, write_table
 
 
@@ -52,12 +53,14 @@ class Report:
     mismatch: DataFrame | None
     utilisation: DataFrame
     duplicates: DataFrame
+    silver_duplicates: DataFrame
     multi_market: DataFrame
     without_destination: DataFrame | None
     moved: DataFrame
     trace: DataFrame | None
     published_rows: int
     file_errors: DataFrame
+    incomplete_files: DataFrame | None = None
     feeds: dict[str, str] = field(default_factory=dict)
     feed_error: str | None = None
 
@@ -66,6 +69,12 @@ def bronze_path(output_root: str, name: str, cfg: Config) -> str:
     return f"{output_root}/{cfg.output_dir}/bronze_{name}{cfg.bronze_suffix}"
 
 
+def require_daily(bronze: DataFrame | None, folder: str) -> None:
+    """Stop a run that has no daily export, neither new nor stored."""
+    if bronze is None:
+        raise NoDailyData(f"no daily export under {folder}")
+
+
 def _non_empty(df: DataFrame | None) -> DataFrame | None:
     return None if df is None or df.isEmpty() else df
 
@@ -92,8 +101,8 @@ def run(
         bronze[family.name], scans[family.name] = ingest(
             spark, family, f"{input_root}/{folder}", path, as_of, cfg
         )
-        if family is DAILY and bronze["daily"] is None:
-            raise NoDailyData(f"no daily export under {input_root}/{cfg.daily_dir}")
+        if family is DAILY:
+            require_daily(bronze["daily"], f"{input_root}/{cfg.daily_dir}")
     errors = scans["daily"].errors
     for name in ("connections", "offers"):
         errors = errors.unionByName(scans[name].errors)
@@ -105,23 +114,30 @@ def run(
     recent = F.col(S.BRONZE_DAY) >= F.to_date(recent_cutoff(daily, cfg))
     sessions = None if connections is None else early_share(connections.filter(recent), cfg)
     accepted = None if offers is None else offer_early_share(offers.filter(recent), cfg)
-    silver = stage(build_silver(daily, cfg), "silver")
-    adjusted = stage(apply_transfer(silver, sessions, accepted), "adjusted")
+    # every step is counted by the write that stores it
+    counted, silver_seen = Q.counting(build_silver(daily, cfg), "silver")
+    silver = stage(counted, "silver")
+    counted, adjusted_seen = Q.counting(apply_transfer(silver, sessions, accepted), "adjusted")
+    adjusted = stage(counted, "adjusted")
 
     output = f"{output_root}/{cfg.output_dir}/{cfg.silver_name}"
-    write_table(Q.drop_empty_days(adjusted), output)
+    counted, final_seen = Q.counting(Q.drop_empty_days(adjusted), "final")
+    write_table(counted, output)
     final = spark.read.parquet(output)
+    # a stored table's own count comes from its files' footers
+    seen = {"bronze": daily.count(), "silver": silver_seen.get["rows"], "adjusted": adjusted_seen.get["rows"], "final": final_seen.get["rows"]}
 
     shared = None if sessions is None else attach_shares(silver, sessions, accepted)
     report = Report(
-        steps=Q.step_rows({"bronze": daily, "silver": silver, "adjusted": adjusted, "final": final}),
+        steps=spark.createDataFrame(list(seen.items()), "step string, rows long"),
         final=final,
         mismatch=None if shared is None else hours_mismatch(shared, cfg),
         utilisation=Q.utilisation_by_weekday(final, cfg),
         duplicates=Q.duplicate_rider_days(final),
+        silver_duplicates=Q.duplicate_rider_days(silver),
         multi_market=multi_market_count(daily),
         without_destination=None if shared is None else without_destination(shared),
-        moved=Q.moved_rows(adjusted),
+        moved=spark.createDataFrame([(seen["adjusted"], adjusted_seen.get["adjusted"])], "rows long, adjusted long"),
         trace=trace_rider(daily, cfg.traced_rider) if cfg.traced_rider else None,
         published_rows=publish_daily(
             final,
@@ -135,10 +151,13 @@ def run(
     )
     # the order feeds stand on their own: their failure does not undo the daily metrics
     try:
-        report.feeds, refused = publish_orders(spark, input_root, f"{output_root}/published", cfg)
+        report.feeds, refused, report.incomplete_files = publish_orders(
+            spark, input_root, f"{output_root}/published", cfg, cfg.order_tables
+        )
         report.file_errors = errors.unionByName(refused)
     except Exception as e:
         report.feed_error = str(e)
+    expire(spark, f"{output_root}/published", cfg.kept_commits)
     return report
 
 
@@ -187,6 +206,7 @@ def _arguments(argv: list[str]) -> argparse.Namespace:
         command.add_argument("--trace", dest="traced_rider", help="rider whose rows are printed")
         for folder in ("daily", "connections", "offers", "cancel", "late", "trips", "output"):
             command.add_argument(f"--{folder}-dir")
+        command.add_argument("--order-tables", type=lambda names: tuple(names.split(",")), help="order tables to publish, comma separated; others are skipped")
         command.add_argument("--shuffle-partitions", type=int)
     return parser.parse_args(argv)
 
@@ -207,6 +227,8 @@ def show(report: Report) -> None:
         "more than one market": report.multi_market,
         "utilisation by weekday": report.utilisation,
         "repeated keys": report.duplicates,
+        "repeated keys before the transfer": report.silver_duplicates,
+        "trip files without a measure": report.incomplete_files,
         "trace": report.trace,
     }
     for title, frame in frames.items():

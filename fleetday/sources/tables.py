@@ -87,11 +87,15 @@ def append_table(df: DataFrame, path: str, day: str) -> None:
     _writer(df, day).mode("append").parquet(path)
 
 
-def _delete_day(spark: SparkSession, path: str, day_column: str, day: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{day_column}={day}")
+def delete_table(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def _delete_day(spark: SparkSession, path: str, day_column: str, day: str) -> None:
+    delete_table(spark, f"{path}/{day_column}={day}")
+
+
 def _day_text(day: str) -> Column:
     return F.coalesce(F.col(day).cast("string"), F.lit(_NO_DAY))
 

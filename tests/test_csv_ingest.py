@@ -1,13 +1,19 @@
+import random
+import shutil
+import tempfile
 from datetime import date, datetime
+from pathlib import Path
 
+import pandas as pd
 import pytest
 from helpers import ts, tuples
 from pyspark.sql import functions as F
 
 from fleetday import schema as S
 from fleetday.config import Config
-from fleetday.plans.ingest import ingest
-from fleetday.sources import families as FA
+from fleetday.plans import ingest as plan
+from fleetday.plans.ingest import ingest, known_keys
+from fleetday.sources import csv_files, families as FA
 from fleetday.sources.tables import append_table
 from fleetday.sources.csv_files import (
     TooManyBadFiles,
@@ -227,6 +233,60 @@ def test_null_offer_ids_collapse_to_one(spark, tmp_path):
     assert tuples(table, "offer_id", "courier_uuid") == [("o", "c"), (None, "a")]
 
 
+OFFERS_HEAD = "offer_id,timestamp,courier_uuid\n"
+
+
+def test_first_offers_are_found_in_the_touched_buckets_only(spark, tmp_path):
+    put(tmp_path / "in", "CANCELLATION_20240105_000000.csv", OFFERS_HEAD + "".join(f"o{i},2024-01-04 10:00:00,a\n" for i in range(300)))
+    run(spark, tmp_path, FA.OFFERS)
+    path = str(tmp_path / "bronze")
+    new = spark.createDataFrame([("o7",), ("new",)], "offer_id string")
+    known = known_keys(spark, path, FA.OFFERS, new, CFG)
+    bucket = {r[0] for r in new.selectExpr(f"pmod(xxhash64(offer_id), {CFG.key_buckets})").collect()}
+    scan = next(line for line in known._jdf.queryExecution().toString().splitlines() if "FileScan" in line)
+    assert "_bucket" in scan.split("PartitionFilters:")[1].split("]")[0]
+    assert 0 < known.count() < 40 and known.where("offer_id = 'o7'").count() == 1
+    # a run with one new and one known offer reads no key outside these buckets
+    for part in (tmp_path / "bronze_keys").glob("_day=*/_bucket=*"):
+        if int(part.name.removeprefix("_bucket=")) not in bucket:
+            shutil.rmtree(part)
+    put(tmp_path / "in", "CANCELLATION_20240106_000000.csv", OFFERS_HEAD + "o7,2024-01-05 10:00:00,b\nnew,2024-01-05 10:00:00,b\n")
+    table, _ = run(spark, tmp_path, FA.OFFERS)
+    assert table.count() == 301 and tuples(table.where("offer_id in ('o7', 'new')"), "offer_id", "courier_uuid") == [("new", "b"), ("o7", "a")]
+
+
+@pytest.mark.parametrize("broken", ["after rows", "after keys", "keys lost"])
+def test_offers_of_a_broken_run_are_read_again(spark, tmp_path, monkeypatch, broken):
+    put(tmp_path / "in", "CANCELLATION_20240105_000000.csv", OFFERS_HEAD + "a,2024-01-04 10:00:00,x\nold,2023-11-20 10:00:00,x\n")
+    run(spark, tmp_path, FA.OFFERS)
+    put(tmp_path / "in", "CANCELLATION_20240106_000000.csv", OFFERS_HEAD + "a,2024-01-05 10:00:00,y\nb,2024-01-05 10:00:00,y\n")
+    append = plan._append_keys
+
+    def lost(*args):
+        if broken == "after keys":
+            append(*args)
+        raise OSError("lost")
+
+    if broken == "keys lost":
+        shutil.rmtree(tmp_path / "bronze_keys")
+    else:
+        monkeypatch.setattr(plan, "_append_keys", lost)
+        with pytest.raises(OSError):
+            run(spark, tmp_path, FA.OFFERS)
+        monkeypatch.setattr(plan, "_append_keys", append)
+    for total in (1, 0):
+        table, report = run(spark, tmp_path, FA.OFFERS)
+        assert report.total == total
+        assert tuples(table, "offer_id", "courier_uuid") == [("a", "x"), ("b", "y")]
+    # keys expire with their rows: an offer whose first row has gone is new again
+    later = datetime(2024, 3, 6, 12)
+    put(tmp_path / "in", "CANCELLATION_20240305_000000.csv", OFFERS_HEAD + "a,2024-03-05 10:00:00,z\n")
+    run(spark, tmp_path, FA.OFFERS, later)
+    put(tmp_path / "in", "CANCELLATION_20240306_000000.csv", OFFERS_HEAD + "b,2024-03-05 10:00:00,z\n")
+    table, _ = run(spark, tmp_path, FA.OFFERS, later)
+    assert ("b", "z") in tuples(table, "offer_id", "courier_uuid")
+
+
 def test_reprocessing_reads_files_again_that_are_still_there(spark, tmp_path):
     head = "datestr,weekstr,driver_uuid,num_of_trips\n"
     folder = tmp_path / "in"
@@ -261,3 +321,54 @@ def test_nothing_new_writes_nothing(spark, tmp_path):
 def test_no_files_and_no_bronze(spark, tmp_path):
     table, report = run(spark, tmp_path, FA.OFFERS)
     assert table is None and report.total == 0
+
+
+def quoted(value):
+    return '"' + value.replace('"', '""') + '"'
+
+
+@pytest.mark.parametrize("end, block, seed", [("\n", 7, 1), ("\n", 40, 2), ("\r\n", 40, 3), ("\r\n", 300, 4), ("\n", 300, 5)])
+def test_a_large_file_cut_by_quote_parity_equals_the_unsplit_read(spark, tmp_path, end, block, seed):
+    """Line breaks, quotes and separators in quotes, blocks of a few bytes, records longer than a block."""
+    pick = random.Random(seed)
+    text = lambda: "".join(pick.choice(["a", "b", ",", '"', "\n", "\n", "\r\n", " ", "é"]) for _ in range(pick.randrange(12)))
+    for name in ("one", "two"):
+        rows = [(text(), text() * pick.choice([1, 1, 9])) for _ in range(40)]
+        lines = ["a,b", *[",".join(map(quoted, r)) for r in rows], "plain,row", "", "short"]
+        (tmp_path / f"{name}.csv").write_text(end.join(lines) + end * pick.randrange(2), newline="")
+    paths = [f"file:{tmp_path}/{n}.csv" for n in ("one", "two")]
+    order = ["_name", "_block", "_row"]
+    read = lambda how: how(spark, paths, ",", "c0 string, c1 string").orderBy(*order).select("_name", "c0", "c1").collect()
+    whole = read(csv_files._read_whole)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(block))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        assert read(csv_files._read_split) == whole
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_a_large_file_is_read_by_several_tasks(spark, tmp_path, monkeypatch):
+    body = "".join(f'c{i},open,2024-01-0{1 + i % 9} 00:00:00,,"fleet {i}\nof, ""{i % 3}""",x\n' for i in range(400))
+    put(tmp_path, "connections_20240110_060000.csv", "courier_uuid,status,start_time,end_time,fleet_name,contact_number\n" + body)
+    want = tuples(scan(spark, tmp_path, FA.CONNECTIONS).rows.drop("_block", "_row"))
+    assert len(want) == 400 and any("\\n" in str(r) for r in want)
+    monkeypatch.setattr(csv_files, "WHOLE_FILE_BYTES", 1000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        read = scan(spark, tmp_path, FA.CONNECTIONS).rows
+        assert tuples(read.drop("_block", "_row")) == want
+        assert read.select("_block").distinct().count() > 5
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_a_file_without_line_ends_is_refused(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(csv_files, "_HEADER_BYTES", 1000)
+    put(tmp_path, "connections_1.csv", "x," * 50_000)
+    # workers are other processes: the bound is tested in this one
+    found = next(csv_files._first_lines(iter([pd.DataFrame({"path": [f"file:{tmp_path}/connections_1.csv"], "file_name": ["connections_1.csv"], "size": [100_000]})])))
+    assert found["error"].tolist() == ["no line end in the first part of the file"]

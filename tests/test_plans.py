@@ -46,7 +46,7 @@ def test_ordered_scans_cut_heavy_riders_only(spark):
 
     physical, plain = windows(10**6)
     assert len(plain) == 1 and "_range#" not in physical
-    physical, cut = windows(100)
+    physical, cut = windows(3)
     assert len(cut) == 2 and sum("_range#" in line for line in cut) == 1
 
 
