@@ -51,9 +51,10 @@ placed AS (
 taken AS (
   SELECT *, (CASE WHEN size > 0 AND ahead + size / 2.0::DOUBLE < target THEN 1 ELSE 0 END
     + CASE WHEN size > 0 AND source_size + ahead + size / 2.0::DOUBLE < target THEN 1 ELSE 0 END)::BIGINT AS copies,
-    ahead / target AS x FROM placed)
+    ahead / target AS x, (source_size + ahead) / target AS y FROM placed)
 SELECT doc_id, size, source_size, target, size * copies AS taken,
-  CASE WHEN copies > 0 THEN round(CASE weight WHEN 2 THEN x WHEN 5 THEN (sqrt(0.25 + 2 * x) - 0.5) ELSE 1.5 - sqrt(2.25 - 2 * x) END, 6) END AS first_position
+  CASE WHEN copies > 0 THEN round(CASE weight WHEN 2 THEN x WHEN 5 THEN (sqrt(0.25 + 2 * x) - 0.5) ELSE 1.5 - sqrt(2.25 - 2 * x) END, 6) END AS first_position,
+  CASE WHEN copies > 1 THEN round(CASE weight WHEN 2 THEN y WHEN 5 THEN (sqrt(0.25 + 2 * y) - 0.5) ELSE 1.5 - sqrt(2.25 - 2 * y) END, 6) END AS second_position
 FROM taken
 """
 

@@ -71,8 +71,9 @@ def bucket_keys(unit: np.ndarray, h: Hashing) -> np.ndarray:
     return (key ^ (key >> np.uint64(29))).view(np.int64)
 
 
-def units(vectors: list) -> np.ndarray:
-    x = np.array([np.frombuffer(v, np.float64) for v in vectors])
+def units(vectors: list, kind: str = "f8") -> np.ndarray:
+    """Rows of length 1 in double precision, of packed vectors of one length."""
+    x = np.frombuffer(b"".join(vectors), kind).reshape(len(vectors), -1).astype(np.float64)
     x = x / np.abs(x).max(1, keepdims=True)  # no overflow or underflow of squares
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
@@ -84,18 +85,19 @@ def usable(vector: Column) -> Column:
     return F.coalesce(~F.exists(v, bad) & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
-def _hash(h: Hashing):
+def _hash(h: Hashing, kind: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(node, v, copies) to (node, packed vector, copies, bucket keys of all tables)."""
         for batch in batches:
             node, lists, copies = batch.columns
-            packed = [np.array(v, np.float64).tobytes() for v in lists.to_pylist()]
+            flat, ends = lists.flatten().to_numpy().astype(kind), (lists.offsets.to_numpy() - lists.offsets[0].as_py()).tolist()
+            packed = [flat[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]
             keys: list = [None] * len(packed)
             by_size: dict[int, list[int]] = {}
             for i, v in enumerate(packed):
                 by_size.setdefault(len(v), []).append(i)
             for at in by_size.values():
-                for i, k in zip(at, bucket_keys(units([packed[i] for i in at]), h)):
+                for i, k in zip(at, bucket_keys(units([packed[i] for i in at], kind), h)):
                     keys[i] = k
             yield pa.RecordBatch.from_arrays(
                 [node, pa.array(packed, pa.binary()), copies, pa.array(keys, pa.list_(pa.int64()))],
@@ -108,46 +110,53 @@ def _hash(h: Hashing):
 KEYS = ["size", "t", "key", "i", "j"]
 
 
-def _pairs(threshold: float):
+def _labels(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """Smallest number that each of n numbers is linked with over the links (a, b)."""
+    label = np.arange(n)
+    while True:
+        new = label.copy()
+        np.minimum.at(new, a, label[b])
+        np.minimum.at(new, b, label[a])
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
+def _pairs(threshold: float, kind: str):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         """Counts of linked rows per node, and links that join what these pairs of blocks join."""
         rows = rows.sort_values([*KEYS, "side", "node"], ignore_index=True)
         columns = {c: rows[c].to_numpy() for c in (*KEYS, "side", "node", "copies")}
         vectors, keys = rows["vector"].to_numpy(), rows["keys"].to_numpy()
-        count: dict[int, int] = {}
-        root: dict[int, int] = {}
-        links = []
-
-        def find(a: int) -> int:
-            while root.get(a, a) != a:
-                root[a] = a = root.get(root[a], root[a])
-            return a
-
+        left_ends, right_ends = [], []
         for a, b in runs([columns[k] for k in KEYS]):
             same = columns["i"][a] == columns["j"][a]
             m = b if same else a + int((columns["side"][a:b] == 0).sum())
             left, right = slice(a, m), slice(a, b) if same else slice(m, b)
             if m == a or right.start == right.stop:
                 continue
-            x = units(vectors[left])
-            hit = x @ (x if same else units(vectors[right])).T >= threshold
+            x = units(vectors[left], kind)
+            hit = x @ (x if same else units(vectors[right], kind)).T >= threshold
             i, j = np.nonzero(np.triu(hit, 1) if same else hit)
             i, j = i + left.start, j + right.start
             t = int(columns["t"][a])
             if t and len(i):
                 # a pair counts in the first table that it shares
-                ours = np.stack(keys[a:b])[:, :t]
+                ours = np.stack(keys[a:b])
                 new = ~(ours[i - a] == ours[j - a]).any(1)
                 i, j = i[new], j[new]
-            for at, others in ((i, columns["copies"][j]), (j, columns["copies"][i])):
-                for k, v in zip(columns["node"][at].tolist(), others.tolist()):
-                    count[k] = count.get(k, 0) + v
-            for p, q in zip(columns["node"][i].tolist(), columns["node"][j].tolist()):
-                r, s = find(p), find(q)
-                if r != s:
-                    root[max(r, s)] = min(r, s)
-                    links.append((p, q, 0))
-        out = links + [(a, None, n) for a, n in count.items()]
+            left_ends.append(i)
+            right_ends.append(j)
+        i, j = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left_ends, right_ends))
+        nodes, code = np.unique(columns["node"], return_inverse=True)
+        count = np.zeros(len(nodes), np.int64)
+        np.add.at(count, code[i], columns["copies"][j])
+        np.add.at(count, code[j], columns["copies"][i])
+        label = _labels(code[i], code[j], len(nodes))
+        met, joined = np.flatnonzero(count), np.flatnonzero(label != np.arange(len(nodes)))
+        out = [(a, None, n) for a, n in zip(nodes[met].tolist(), count[met].tolist())]
+        out += [(a, b, 0) for a, b in zip(nodes[label[joined]].tolist(), nodes[joined].tolist())]
         return pd.DataFrame(out, columns=["a", "b", "n"]).astype({"a": "Int64", "b": "Int64", "n": "Int64"})
 
     return run
@@ -155,16 +164,19 @@ def _pairs(threshold: float):
 
 def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", threshold: float = 0.95) -> DataFrame:
     """(id, n_links, component) of every row of `vectors`."""
-    v = F.col(embedding).cast("array<double>")
+    # vectors travel in the precision that they are given in
+    single = vectors.schema[embedding].dataType.simpleString() == "array<float>"
+    kind, spark_kind = ("f4", "float") if single else ("f8", "double")
+    v = F.col(embedding).cast(f"array<{spark_kind}>")
     rows = vectors.select(F.col(vec_id).cast("long").alias("id"), F.when(F.col(vec_id).isNotNull() & usable(F.col(embedding)), v).alias("v"))
     # -0.0 and 0.0 are one number
-    rows = rows.withColumn("v", F.transform("v", lambda x: x + F.lit(0.0)))
+    rows = rows.withColumn("v", F.transform("v", lambda x: x + F.lit(0.0).cast(spark_kind)))
     classes = stage(
         rows.where("v is not null").groupBy("v").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("copies")), "vectors"
     )
     h = plan(classes.count(), threshold)
     nodes = stage(
-        classes.select("node", "v", "copies").mapInArrow(_hash(h), "node long, vector binary, copies long, keys array<long>"), "nodes"
+        classes.select("node", "v", "copies").mapInArrow(_hash(h, kind), "node long, vector binary, copies long, keys array<long>"), "nodes"
     )
     rows_of = nodes.select("node", F.length("vector").alias("size"), F.posexplode("keys").alias("t", "key"))
     shared = stage(
@@ -180,8 +192,9 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
         "node", "size", "t", "key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
         (F.col("mine") > F.col("other")).cast("int").alias("side"),
     )
-    full = dealt.join(nodes, "node").withColumn("pack", pack(KEYS, met))
-    found = stage(full.groupBy("pack").applyInPandas(_pairs(threshold), "a long, b long, n long"), "found")
+    # of the keys, those of earlier tables tell whether a pair was met before
+    full = dealt.join(nodes, "node").withColumns({"keys": F.slice("keys", F.lit(1), F.col("t")), "pack": pack(KEYS, met)})
+    found = stage(full.groupBy("pack").applyInPandas(_pairs(threshold, kind), "a long, b long, n long"), "found")
     counts = found.where("b is null").groupBy("a").agg(F.sum("n").alias("n"))
     parts = components(found.where("b is not null"))
     labels = (

@@ -56,12 +56,20 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the training positions of its copies (two at most), range-sorted by the first;
+    documents that the mix doesn't take come last."""
     mixed = mixing.curriculum(read(spark, sf_dir, "documents").select("doc_id", "text", "source"))
-    start = mixing.training_time(F.col("_before") / F.col("target"), F.col("_pieces"))
-    return mixed.select(
+
+    def position(copy: int):
+        at = (copy * F.col("source_size") + F.col("_before")) / F.col("target")
+        return F.when(F.col("copies") > copy, F.round(mixing.training_time(at, F.col("_pieces")), 6))
+
+    placed = mixed.select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"),
-        F.when(F.col("copies") > 0, F.round(start, 6)).alias("first_position"),
+        position(0).alias("first_position"), position(1).alias("second_position"),
     )
+    order = [F.col("first_position").asc_nulls_last(), "doc_id"]
+    return placed.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def op8_quality_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:

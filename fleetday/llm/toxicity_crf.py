@@ -12,8 +12,9 @@ labels of both kinds nothing is learned and every score is the share of toxic la
 a null id is never held out of learning by its id; equal texts get equal scores; an empty table gives an
 empty result. Columns named like a result are replaced, all others pass through.
 
-Learning uses at most `most_toxic` and `most_clean` labelled ids, each with one text of at most `most_chars`
-characters (the smallest hashes) however often the id is repeated, and every word of them, in pieces of 64; scoring uses every word of every text.
+Learning uses at most `most_toxic` and `most_clean` labelled ids, each with one text (the smallest hashes)
+however often the id is repeated, and every word of them, in pieces of 64. Of a text of more than `most_chars`
+characters it uses that many from a place that the text's hash gives. Scoring uses every word of every text.
 """
 
 from __future__ import annotations
@@ -361,11 +362,15 @@ def toxic_spans(data: bytes, p: np.ndarray) -> list[dict]:
 def score_udf(model: Crf):
     kind = pa.struct([("score", pa.float64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))])
 
+    made: list = []  # one scorer, and so one memory of words, for all batches of a task
+
     @F.arrow_udf("score double, spans array<struct<start: bigint, stop: bigint>>")
     def score(texts: pa.Array) -> pa.Array:
+        if not made:
+            made.append(scorer(model))
         data = [t or b"" for t in texts.cast(pa.large_binary()).to_pylist()]
         out = []
-        for d, (p, _) in zip(data, scorer(model)(data)):
+        for d, (p, _) in zip(data, made[0](data)):
             a, b = summary(p)
             c = model.curve
             out.append({"score": 1 / (1 + math.exp(-max(-30.0, min(30.0, c[0] + c[1] * a + c[2] * b)))), "spans": toxic_spans(d, p)})
@@ -388,8 +393,10 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     rate = n.get(1, 0) / max(1, sum(n.values()))
     key = F.xxhash64("_id", "_y")
     chosen = [usable.where(F.col("_y") == y).distinct().orderBy(key, "_id").limit(most) for y, most in ((1, most_toxic), (0, most_clean))]
+    spare = F.length(text) - most_chars
+    part = F.when(spare > 0, F.substring(F.col(text), (F.pmod(F.xxhash64(text), spare + 1) + 1).cast("int"), F.lit(most_chars))).otherwise(F.col(text))
     rows = one_per_label(
-        docs.select(F.col(doc_id).alias("_doc"), F.col(text).alias("_text")).where(F.length("_text") <= most_chars)
+        docs.where(F.col(text).isNotNull()).select(F.col(doc_id).alias("_doc"), part.alias("_text"))
         # bounded: at most most_toxic + most_clean pairs of numbers
         .join(F.broadcast(chosen[0].union(chosen[1])), F.col("_doc") == F.col("_id")), ["_doc", "_y"], "_text"
     ).collect()

@@ -138,6 +138,20 @@ def test_toxicity_defined_cases(spark):
     assert T.fit(frame.where("false"), labels)[0] is None
 
 
+def test_long_texts_are_learned_from(spark):
+    """Only long texts are toxic; each gives a piece, none is left out."""
+    rows = make(400)
+    toxic, clean = ([t for _, t, x in rows if x == y] for y in (1, 0))
+    long = [(i, " ".join(toxic[(i + k) % len(toxic)] for k in range(60))) for i in range(60)]
+    short = [(1000 + i, t) for i, t in enumerate(clean)]
+    assert min(len(t) for _, t in long) > 2_000
+    labels = spark.createDataFrame([(i, 1, 1) for i, _ in long] + [(i, 1, 0) for i, _ in short], LABELS)
+    model, _ = T.fit(docs(spark, long + short), labels, most_chars=2_000)
+    assert model is not None
+    got = {r.doc_id: r.score for r in T.score(docs(spark, [(1, toxic[0]), (2, clean[0]), (3, long[0][1])]), model, 0.5).collect()}
+    assert got[1] > 0.7 and got[3] > 0.7 and got[2] < 0.5
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body class="has-sidebar">
 <header><h1>Site</h1></header><nav><ul><li><a href="/">Home</a></ul></nav><div class="cookie-notice">Cookies!</div>
 <div id="wrap"><article class="post post-%d"><header><h2>Head &amp; line</h2></header><p>First   para<br>goes <a href="x>y">on</a>.
@@ -197,7 +211,7 @@ def test_only_void_elements_close_themselves():
     page = C.parse("<div><a href=/x/y/>link</a> text <a name='q'/>more<br/>end</div>")
     assert [b[1:] for b in page.blocks] == [("link text more end", len("link"))]
     assert text("<div class='ad'/>advert</div><p>the text of the page</p>") == "the text of the page"
-    assert C.parse("<p><a href='a'>one <a href='b'>two</a> three</p>").blocks == [(1, "one two three", len("one two") + 1)]
+    assert C.parse("<p><a href='a'>one <a href='b'>two</a> three</p>").blocks == [(1, "one two three", len("one two"))]
 
 
 def plain_consensus(pages):
