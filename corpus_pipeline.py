@@ -37,17 +37,34 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Rows are told apart by id and text: rows that share an id but not the text are judged each by its own
     text, a row without an id stays only if no row with an id is in its group, of equal rows one stays.
     """
-    node = F.xxhash64("doc_id", "text")
-    found = hyperminhash.near_duplicates(docs.withColumn("_node", node), doc_id="_node").distinct()
-    ids = docs.select(node.alias("id"), "doc_id").distinct()
+    noded = _nodes(docs)
+    found = hyperminhash.near_duplicates(noded, doc_id="_node").distinct()
+    ids = noded.select(F.col("_node").alias("id"), "doc_id").distinct()
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "id")
     first = found.join(ids, "id").groupBy("component").agg(F.min(order)["id"].alias("first"))
     gone = found.join(first, "component").where("id <> first").select(F.col("id").alias("_node"))
     # both steps work on one partitioning by row
-    kept = docs.withColumn("_node", node).join(gone, "_node", "left_anti").dropDuplicates(["_node"])
+    kept = noded.join(gone, "_node", "left_anti").dropDuplicates(["_node"])
     return kept.select(docs.columns)
 
 
+def _nodes(docs: DataFrame) -> DataFrame:
+    """`docs` with `_node`, a number per id and text: the id itself where it has one text, else a hash above all ids.
+
+    Originals tend to have smaller ids than their copies; the search starts from the smallest.
+    """
+    text = F.xxhash64("text")
+    several = docs.where("doc_id is not null").groupBy("doc_id").agg(F.min(text).alias("a"), F.max(text).alias("b")).where("a <> b")
+    several = stage(several.select(F.col("doc_id").alias("_shared")), "shared-ids")
+    above = 1 << 62
+    hashed = F.lit(above) + F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 2)
+    plain = F.col("doc_id") < above
+    if several.isEmpty():
+        return docs.withColumn("_node", F.when(plain, F.col("doc_id")).otherwise(hashed))
+    joined = docs.join(several, F.col("doc_id") == F.col("_shared"), "left")
+    return joined.withColumn("_node", F.when(plain & F.col("_shared").isNull(), F.col("doc_id")).otherwise(hashed)).drop("_shared")
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The copies that the mix takes, in training order."""
     taken = mixing.positions(mixing.curriculum(docs))
