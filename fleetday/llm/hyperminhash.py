@@ -15,7 +15,8 @@ nodes. So no link between different components is lost and no bucket lands in on
 
 Defined cases: a null or empty text, or one without words, has an empty set and links with nothing; with
 fewer words than a shingle the whole sequence is one shingle; rows with a null id are kept and link with
-nothing; rows that share an id but not the text count as one document; an empty table gives an empty
+nothing; rows that share an id but not the text count as one document; a text of any length is hashed whole, in
+pieces, and memory follows its words; an empty table gives an empty
 result. Other columns play no part.
 """
 

@@ -10,7 +10,7 @@ is capped.
 
 Defined cases: a null vector, one of no components or only zeros, or with a null or non-finite component
 links with nothing, and vectors of different lengths never link; a null id is kept and links with nothing; every row gets a result, rows with equal vectors link with each other whether or not their
-ids differ; an empty table gives an empty result. Other columns play no part.
+ids differ; vectors of any length are compared whole, by length; an empty table gives an empty result. Other columns play no part.
 """
 
 from __future__ import annotations

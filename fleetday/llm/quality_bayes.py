@@ -6,7 +6,7 @@ between hosts gives (method of moments), each path's rate toward its host's. A d
 its own evidence to its site's rate, from which it is left out itself.
 
 Defined cases: null or empty texts have zero counts and are judged like any other; a null host or path
-is a site of its own; without labels of both kinds every document gets the neutral 0.5 and is kept;
+is a site of its own; equal rows count each and are judged alike, evidence at the threshold (a tie) is kept; a text of any length is counted whole; without labels of both kinds every document gets the neutral 0.5 and is kept;
 an empty table gives an empty result. Columns named like a result are replaced, all others pass through.
 """
 

@@ -8,7 +8,8 @@ Defined cases: a null or empty text has zero counts and fails the base rule; wit
 rows of both kinds, the list is empty and only the base rule decides; equal labels of an id count once, with
 one of the texts that carry the id (the smallest hash); null labels are left out. The sample is bounded by
 `most_labels` (the pairs with the smallest hash of id and label) however often an id is repeated, everything
-else runs over all rows.
+else runs over all rows. A text of any length is counted whole, in pieces; equal rows are judged alike; an empty
+table gives an empty result. Columns named like a result are replaced, all others pass through.
 """
 
 from __future__ import annotations
