@@ -22,7 +22,7 @@ def documents(spark):
 
 def test_all_are_registered():
     names = entry_point.queries()
-    assert [n for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in names)] == []
+    assert [n for n in range(1, 14) if not any(q.startswith(f"op{n}_") for q in names)] == []
     assert "pipeline" in names and set(oracle.SQL) <= set(names)
     assert oracle.SQL.items() <= entry_point.oracle_sql().items()
 
