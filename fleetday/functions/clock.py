@@ -28,9 +28,12 @@ def parse_ts(c: Column | str, formats: tuple[str, ...] = ()) -> Column:
     after these.
     """
     text = F.trim(F.col(c) if isinstance(c, str) else c)
+    # the usual form costs no pattern; what is read with dashes in these two places is a full date
+    dashed = (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-")
+    usual = F.when(dashed, text.try_cast(NTZ))
     iso = F.regexp_replace(F.regexp_replace(text, _SLASHES, "$1-$2-$3"), _DAY_FIRST, "$3-$2-$1")
     parsed = F.when(iso.rlike(_FULL_DATE), iso.try_cast(NTZ))
-    return F.coalesce(parsed, *[_by_format(text, f) for f in formats])
+    return F.coalesce(usual, parsed, *[_by_format(text, f) for f in formats])
 
 
 def _by_format(text: Column, pattern: str) -> Column:

@@ -48,7 +48,7 @@ def cancel_events(cancels: DataFrame, cfg: Config, dated: bool = False) -> DataF
         .withColumn("day", _day(cancels, "hour", cfg))
         .filter(F.col("day").isNotNull())
     )
-    latest = keep_latest(usable, ["driver_uuid", "delivery_trip_uuid", "event_type"])
+    latest = keep_latest(usable, ["delivery_trip_uuid", "driver_uuid", "event_type"])
     return latest.select(
         F.col("driver_uuid").alias("courier_uuid"),
         "delivery_trip_uuid",
@@ -81,7 +81,7 @@ def late_events(late: DataFrame, cfg: Config, dated: bool = False) -> DataFrame:
         )
         .select("driver_uuid", "delivery_trip_uuid", "day", "order_id", "retraso_p2", "retraso_p3", _FILE)
     )
-    latest = keep_latest(usable, ["driver_uuid", "delivery_trip_uuid"])
+    latest = keep_latest(usable, ["delivery_trip_uuid", "driver_uuid"])
     return latest.select(
         F.col("driver_uuid").alias("courier_uuid"),
         "delivery_trip_uuid",
@@ -110,7 +110,7 @@ def order_km(trips: DataFrame, cfg: Config, dated: bool = False) -> DataFrame:
         & F.col("day").isNotNull()
         & F.col("km").isNotNull()
     )
-    latest = keep_latest(usable, ["courier_uuid", "trip_uuid"])
+    latest = keep_latest(usable, ["trip_uuid", "courier_uuid"])
     return latest.select("courier_uuid", "trip_uuid", _iso(), "km", "form_factor", *_dated(dated))
 
 
@@ -138,7 +138,7 @@ def usable_trips(trips: DataFrame, cfg: Config) -> DataFrame:
         & F.col("day").isNotNull()
     )
     order = [F.col(c).asc_nulls_last() for c in in_file]
-    key = [_FILE, "courier_uuid", "trip_uuid"]
+    key = ["trip_uuid", "courier_uuid", _FILE]  # sorted by the column that differs most
     return keep_one(timed, key, order, unique="_row" in in_file)
 
 
@@ -264,7 +264,7 @@ def trip_delays(orders: DataFrame, cfg: Config, dated: bool = False) -> DataFram
         "left_semi",
         cfg.salts,
     )
-    latest = keep_latest(usable, ["courier_uuid", "trip_uuid"])
+    latest = keep_latest(usable, ["trip_uuid", "courier_uuid"])
     return latest.select(
         "courier_uuid",
         F.col("trip_uuid").alias("delivery_trip_uuid"),

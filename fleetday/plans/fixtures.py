@@ -190,12 +190,14 @@ def exported_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     to three days after the data's last day, so that every event is in one, and reach five days back.
 
     An event can only be in the exports of the five days after it, so it is repeated for those
-    instead of being compared with every export.
+    instead of being compared with every export. The events are dealt evenly first: a file may be one
+    row group, and the task that reads it would make and sort all their copies.
     """
     whole = events(spark, sf_dir)
     last_export = whole.agg(F.date_add(F.to_date(F.max("ts")), 3).alias("last_export")).scalar()
     return (
-        whole.selectExpr("*", "explode(sequence(date_add(ts, 1), date_add(ts, 5))) AS d")
+        whole.hint("rebalance", "event_id")
+        .selectExpr("*", "explode(sequence(date_add(ts, 1), date_add(ts, 5))) AS d")
         .filter("day(d) % 2 = 0")
         .filter(F.col("d") <= last_export)
         .selectExpr("*", "CAST(d AS TIMESTAMP_NTZ) AS _ts_fichero")

@@ -12,7 +12,7 @@ from fleetday import schema as S
 from fleetday.config import Config
 from fleetday.operators import orders as O
 from fleetday.operators import publish as P
-from fleetday.plans.orders import trip_delays
+from fleetday.plans.orders import stored_trips, trip_delays
 from fleetday.sources.csv_files import Scan, discover_files, file_error_gate, scan_family
 from fleetday.sources.families import CANCELS, LATE, TRIPS, Family
 from fleetday.sources.publication import Publication
@@ -116,6 +116,6 @@ def publish_orders(
     errors = reduce(DataFrame.unionByName, [scan.errors for scan in scans.values()])
     inputs = {source: scan.rows for source, scan in scans.items()}
     if inputs["trips"] is not None:
-        inputs["trips"] = stage(inputs["trips"], "trips")  # read by two feeds
+        inputs["trips"] = stored_trips(inputs["trips"], cfg)  # read by two feeds
     incomplete = None if inputs["trips"] is None else O.incomplete_files(O.usable_trips(inputs["trips"], cfg), cfg)
     return publish_events(spark, inputs, root, cfg, tables), errors, incomplete

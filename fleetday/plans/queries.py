@@ -354,7 +354,7 @@ def publish_events(spark, sf_dir):
     root = scratch_path(spark, "orders")
     inputs = {
         "cancels": X.cancels(spark, sf_dir), "late": X.late(spark, sf_dir),
-        "trips": stage(X.trips(spark, sf_dir), "trips"),
+        "trips": R.stored_trips(X.trips(spark, sf_dir), CFG),
     }
     for wanted in ("_ts_fichero < '2024-01-20'", "_ts_fichero >= '2024-01-20'", "_ts_fichero < '2024-01-20'"):
         report = publish_feeds(spark, {k: v.where(wanted) for k, v in inputs.items()}, root, CFG)

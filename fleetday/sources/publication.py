@@ -132,20 +132,19 @@ class Publication:
             stored_keys = None
         else:
             stored_keys = _Keys(self, table, state, keys, day)
-            found = stored_keys.of(updates.select(*keys).unionByName(gone))
-            if version is not None and found is not None:
-                updates = stage(_not_older(updates, found, keys, version), f"{table}-accepted")
+            updates = stored_keys.accept(updates, gone, version)
             accepted = updates.select(columns)
-            touched = set(distinct_days(accepted, day))
-            if found is not None:
-                changed = accepted.select(*keys).unionByName(gone)
-                touched |= set(distinct_days(found.join(changed, keys, "left_semi"), day))
+            touched = stored_keys.days(updates, None if deletes is None else gone)
         if not touched:
             return
         uid = f"{self.id}-{uuid.uuid4().hex[:8]}"  # a table may be merged twice in one publication
-        current = read_days(self.spark, self.root, table, state, sorted(touched))
-        kept = current.join(accepted.select(*keys).unionByName(gone), keys, "left_anti")
-        content = kept.unionByName(accepted.join(gone, keys, "left_anti"), allowMissingColumns=True)
+        content = accepted.join(gone, keys, "left_anti")
+        if touched & set(state.days):
+            current = read_days(self.spark, self.root, table, state, sorted(touched))
+            kept = current.join(accepted.select(*keys).unionByName(gone), keys, "left_anti")
+            content = kept.unionByName(content, allowMissingColumns=True)
+        else:
+            content = read_days(self.spark, self.root, table, state, []).unionByName(content, allowMissingColumns=True)
         base = f"{self.root}/{table}/data"
         _write(content.hint("rebalance", day), base, day, uid)
         filled = {d for d in touched if _exists(self.spark, f"{base}/{day}={d}/commit={uid}")}
@@ -187,10 +186,8 @@ def expire(spark: SparkSession, root: str, keep: int) -> None:
                         _delete(spark, f"{root}/{table}/{kind}/{part}/{folder}")
 
 
-def _not_older(updates: DataFrame, found: DataFrame, keys: list[str], version: str) -> DataFrame:
-    stored = found.select(*keys, F.col("version").alias("_stored"))
-    joined = updates.join(stored, keys, "left")
-    return joined.where(F.col("_stored").isNull() | (F.col(version) >= F.col("_stored"))).drop("_stored")
+#: What a new row finds in the index: whether its key is there, and its day.
+_FOUND, _STORED_DAY = "_found", "_stored_day"
 
 
 class _Keys:
@@ -204,13 +201,33 @@ class _Keys:
     def bucket(self, n: int) -> Column:
         return F.pmod(F.xxhash64(*self.keys), F.lit(n)).cast("int")
 
-    def of(self, changed: DataFrame) -> DataFrame | None:
-        """(keys, day, version) of the stored rows with these keys, staged. Reads the buckets of the keys only;
-        None if no such bucket has any."""
-        self.changed_buckets = sorted(r[0] for r in changed.select(self.bucket(max(1, self.n_buckets)).alias("b")).distinct().collect())
-        self.read = self._read(self.changed_buckets)
-        self.found = None if self.read is None else stage(self.read.join(changed.distinct(), self.keys, "left_semi"), f"{self.table}-found")
-        return self.found
+    def accept(self, updates: DataFrame, gone: DataFrame, version: str | None) -> DataFrame:
+        """The rows of `updates` that are not older than what is stored, each with what it finds in the index.
+
+        Reads the buckets of the changed keys only. The updates meet the index once, and the result is
+        staged: days and counts are read from it.
+        """
+        self.changed_buckets, self.read = [], None
+        if self.n_buckets:
+            changed = updates.select(*self.keys).unionByName(gone)
+            self.changed_buckets = sorted(r[0] for r in changed.select(self.bucket(self.n_buckets).alias("b")).distinct().collect())
+            self.read = self._read(self.changed_buckets)
+        if self.read is None:
+            return updates.withColumns({_FOUND: F.lit(False), _STORED_DAY: F.lit(None).cast("string")})
+        stored = self.read.withColumnsRenamed({self.day: _STORED_DAY, "version": "_stored"}).withColumn(_FOUND, F.lit(True))
+        joined = updates.join(stored, self.keys, "left").withColumn(_FOUND, F.coalesce(_FOUND, F.lit(False)))
+        if version is not None:
+            joined = joined.where(F.col("_stored").isNull() | (F.col(version) >= F.col("_stored")))
+        return stage(joined.drop("_stored"), f"{self.table}-accepted")
+
+    def days(self, updates: DataFrame, gone: DataFrame | None) -> set[str]:
+        """The days that the accepted updates go to, and those that they and the deleted keys were on."""
+        at = updates.select(F.col(self.day).cast("string").alias(self.day))
+        if self.read is not None:
+            at = at.unionByName(updates.where(_FOUND).select(F.col(_STORED_DAY).alias(self.day)))
+            if gone is not None:
+                at = at.unionByName(self.read.join(gone, self.keys, "left_semi").select(self.day))
+        return set(distinct_days(at, self.day))
 
     def _read(self, buckets: list[int]) -> DataFrame | None:
         named = [(b, self.state.buckets[str(b)]) for b in buckets if str(b) in self.state.buckets]
@@ -223,10 +240,12 @@ class _Keys:
         """Write the buckets of the changed keys anew, or all of them if they have become too full."""
         kind = "timestamp_ntz" if self.read is None else self.read.schema["version"].dataType
         own = F.lit(None).cast(kind) if version is None else F.col(version)
-        rows = updates.join(gone, self.keys, "left_anti").select(*self.keys, F.col(self.day).cast("string").alias(self.day), own.alias("version"))
+        kept = updates.join(gone, self.keys, "left_anti")
+        rows = kept.select(*self.keys, F.col(self.day).cast("string").alias(self.day), own.alias("version"))
         changed = updates.select(*self.keys).unionByName(gone)
-        replaced = 0 if self.found is None else self.found.join(changed, self.keys, "left_semi").count()
-        new.n_keys = self.state.n_keys - replaced + rows.count()
+        # a key that is there already is replaced by its row, or deleted
+        deleted = 0 if self.read is None else self.read.join(gone, self.keys, "left_semi").count()
+        new.n_keys = self.state.n_keys - deleted + kept.where(~F.col(_FOUND)).count()
         new.n_buckets, new.buckets, old = self.n_buckets, dict(self.state.buckets), self.read
         if not new.n_buckets or (new.n_keys > 4 * BUCKET_KEYS * new.n_buckets and new.n_buckets < MOST_BUCKETS):
             new.n_buckets = min(MOST_BUCKETS, 1 << max(0, (new.n_keys // BUCKET_KEYS).bit_length()))

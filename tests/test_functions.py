@@ -4,6 +4,7 @@ import pytest
 from helpers import ts, tuples
 from pyspark.sql import functions as F
 
+from fleetday.functions import clock
 from fleetday.functions.clock import export_timestamp, logical_day, parse_ts, seconds_between
 from fleetday.functions.dedup import add_unseen, keep_first, keep_latest
 from fleetday.functions.joins import salted_join
@@ -39,6 +40,17 @@ def test_parse_ts(spark, text, expected):
     assert one(spark, parse_ts("x"), text) == expected
 
 
+def test_dashed_times_are_read_as_by_the_patterns(spark):
+    odd = ["2024-01-05", "2024-01-05 1:02", "2024-01-05T10:11:12.1234567Z", "2024-01-05 10:00 +02:00", "2024-01-051", "2024-13-01", "2024-02-30",
+           "-202-01-05", "+202-01-05", " 2024-01-05 ", "\t2024-01-05", "2024-1-05", "202a-01-05", "2024-01-", "2024-01-5x", "2024-01-5 ", "24:0-01-05",
+           "T1:2-08:00", "12-3-1-2024", "1-12-2024", "01/1-2024", "1/1-20-24", "2024/01-05", "02-1-2024 3:04", "2024-01", "٢٠٢٤-01-05", "", None]
+    text = F.trim("x")
+    iso = F.regexp_replace(F.regexp_replace(text, clock._SLASHES, "$1-$2-$3"), clock._DAY_FIRST, "$3-$2-$1")
+    by_pattern = F.when(iso.rlike(clock._FULL_DATE), iso.try_cast("timestamp_ntz"))
+    rows = spark.createDataFrame([(x,) for x in odd], "x string").select("x", parse_ts("x").alias("got"), by_pattern.alias("want")).collect()
+    assert [(r.x, r.got) for r in rows] == [(r.x, r.want) for r in rows] and sum(r.got is not None for r in rows) > 8
+
+
 def test_parse_ts_with_formats(spark):
     column = parse_ts("x", ("dd.MM.yyyy HH:mm",))
     assert one(spark, column, "31.01.2024 13:05") == datetime(2024, 1, 31, 13, 5)

@@ -50,6 +50,18 @@ def test_ordered_scans_cut_heavy_riders_only(spark):
     assert len(cut) == 2 and sum("_range#" in line for line in cut) == 1
 
 
+def test_the_copies_of_events_are_made_evenly(spark, tmp_path):
+    """Events that lie in one row group are dealt out before each is repeated for its exports."""
+    X.events(spark, SF_DIR).coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    made = X.exported_events(spark, str(tmp_path)).groupBy(F.spark_partition_id().alias("task")).count()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        counts = [r["count"] for r in made.collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(counts) == 8 and max(counts) < sum(counts) / 4
+
+
 def test_recent_days_are_cut_at_the_scan(spark, tmp_path):
     path = str(tmp_path / "bronze")
     X.daily(spark, SF_DIR).withColumn("_day", F.to_date("datestr")).write.partitionBy("_day").parquet(path)

@@ -9,7 +9,9 @@ from helpers import ts, tuples
 
 from fleetday import schema as S
 from fleetday.config import Config
+from fleetday.operators import orders as O
 from fleetday.plans import publish as plan
+from fleetday.plans.orders import stored_trips
 from fleetday.sources import publication as N
 from fleetday.sources.tables import RepeatedKeys
 
@@ -153,6 +155,20 @@ def test_the_index_grows_with_its_keys(spark, tmp_path, monkeypatch):
     assert stored(spark, tmp_path) == sorted((f"k{i}", f"2024-01-0{1 + (i % 2 == 0)}", i if i % 2 else -i) for i in range(120) if i != 1)
 
 
+def test_updates_meet_the_index_once(spark, tmp_path, monkeypatch):
+    """Days and counts come from one staged table of accepted rows, with what each found in the index."""
+    schema = SCHEMA + ", at timestamp_ntz"
+    kw = {"schema": schema, "version": "at"}
+    merged(spark, tmp_path, *[(f"k{i}", "2024-01-01", i, ts("2024-01-02")) for i in range(4)], **kw)
+    staged, stage = [], N.stage
+    monkeypatch.setattr(N, "stage", lambda df, name: staged.append(name) or stage(df, name))
+    rows = [("k0", "2024-01-05", -1, ts("2024-01-01")), ("k1", "2024-01-05", -1, ts("2024-01-03")), ("k9", None, 9, ts("2024-01-03"))]
+    merged(spark, tmp_path, *rows, deletes=frame(spark, ("k2",), ("x",), schema="k string"), **kw)
+    assert staged == ["t-accepted"]
+    assert stored(spark, tmp_path) == [("k0", "2024-01-01", 0), ("k1", "2024-01-05", -1), ("k3", "2024-01-01", 3), ("k9", None, 9)]
+    assert N.tables_of(spark, str(tmp_path), 2)["t"].n_keys == 4
+
+
 def test_an_older_version_changes_nothing(spark, tmp_path):
     schema = SCHEMA + ", at timestamp_ntz"
     kw = {"schema": schema, "version": "at"}
@@ -227,3 +243,31 @@ def test_a_missing_target_is_skipped(spark, tmp_path):
     report = plan.publish_events(spark, inputs, str(tmp_path), Config(), (S.ORDER_EVENTS,))
     assert report["cancels"] == "published" and report["late report"] == f"skipped: no table {S.ORDER_DELAYS}"
     assert N.read_published(spark, str(tmp_path), S.ORDER_DELAYS) is None
+
+
+def test_trips_are_stored_with_their_times_parsed(spark, tmp_path):
+    """Parsed once for all feeds; the drop-off stays text, as unreadable text fills it."""
+    columns = "_ts_fichero timestamp_ntz, courier_uuid string, trip_uuid string, momento string, km string, form_factor string, _row long, " + ", ".join(
+        f"{c} string" for c in S.TRIP_OPTIONAL
+    )
+
+    def trip(n, momento, accept, dropoff):
+        values = dict.fromkeys(S.TRIP_OPTIONAL) | {"courier_accept_timestamp_local": accept, "courier_dropoff_timestamp_local": dropoff}
+        return (ts("2024-01-04"), "a", f"t{n}", momento, "1.5", None, n, *values.values())
+
+    rows = frame(
+        spark,
+        trip(1, "2024-01-02 10:00:00", "2024-01-02 10:00:00", "soon"),
+        trip(2, "2/1/2024 01:00:00", "2024/01/02 01:00:00.5", "2024-01-02 02:00:00"),
+        trip(3, "2024-01-02 10:00:00", "2024-13-02 10:00:00", None),
+        trip(4, "2024", "2024-01-02 10:00:00", None),
+        trip(5, "2024-01-02", "2024-01-02T10:00", None),
+        schema=columns,
+    )
+    kept = stored_trips(rows, Config())
+    typed = dict(kept.dtypes)
+    assert {typed[c] for c in ("momento", "courier_accept_timestamp_local")} == {"timestamp_ntz"}
+    assert typed["courier_dropoff_timestamp_local"] == "string"
+    for read in (O.usable_trips, O.order_km):
+        assert sorted(map(str, read(kept, Config()).collect())) == sorted(map(str, read(rows, Config()).collect()))
+    assert tuples(O.usable_trips(kept, Config()), "trip_uuid", "_has_dropoff") == [("t1", True), ("t2", True), ("t5", False)]
